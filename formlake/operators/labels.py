@@ -301,7 +301,9 @@ def label(
     known = {}
     if dictionary is not None:
         known = column_labels(df.sparkSession, df.columns, dictionary, strict)
-    found_none = all(k.kind in (None, "status") for k in known.values())
+    found_none = not any(
+        k.label or k.value_labels for k in known.values() if k.kind != "status"
+    )
     if found_none and (dictionary is None or dictionary.isEmpty()):
         warnings.warn("no dictionary available, returning data unchanged", stacklevel=2)
         return df

@@ -1,9 +1,9 @@
 """Content-driven type narrowing of all-text tables.
 
 One pass tells, for every column at once, which classes of text occur in it.
-The classes of a column fit in one small integer per row and combine with a
-bitwise OR, so the pass aggregates map-side and the results of several loads can
-be merged later without rereading the earlier ones.
+The classes of a column fit in one small integer and combine with a bitwise OR, so
+the pass aggregates map-side and the results of several loads can be merged later
+without rereading the earlier ones.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Patterns a text must match as a whole.
-INTEGER_TEXT = r"^-?[0-9]+\z"
 DECIMAL_TEXT = r"^-?[0-9]+(\.[0-9]+)?\z"
 DATE_TEXT = r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}\z"
 TIMESTAMP_TEXT = (
@@ -26,9 +25,6 @@ TIMESTAMP_TEXT = (
 # Classes of text, one bit each.
 INT32, BIG, DECIMAL, DATE, TIMESTAMP, OTHER, BLANK, ZEROS = (1 << i for i in range(8))
 
-# Columns per aggregation, to keep generated code within its limits.
-COLUMNS_PER_PASS = 100
-
 SPARK_TYPE = {
     "INTEGER": "int",
     "BIGINT": "bigint",
@@ -69,23 +65,42 @@ class ColumnType:
 
 
 def _dashed(text: Column) -> Column:
-    return F.translate(text, "/", "-")
+    return F.replace(text, F.lit("/"), F.lit("-"))
+
+
+def _integer_class(text: Column) -> Column:
+    """Class of a text that is known to be all digits, without a cast that can fail."""
+    padded = ((text >= "00") & (text < "1")) | ((text >= "-00") & (text < "-1"))
+    bare = F.when(padded, F.regexp_replace(text, "^(-?)0+", "$1")).otherwise(text)
+    size = F.length(bare)
+    within = bare.try_cast("bigint").between(-(1 << 31), (1 << 31) - 1)
+    zeros = F.when(padded, F.lit(ZEROS)).otherwise(F.lit(0))
+    large = zeros.bitwiseOR(F.when((size <= 11) & within, F.lit(INT32)).otherwise(F.lit(BIG)))
+    return F.when(~padded & (F.length(text) <= 9), F.lit(INT32)).otherwise(large)
 
 
 def text_class(text: Column) -> Column:
-    """Bit of the narrowest class one text belongs to; 0 for a missing cell."""
-    integer = text.rlike(INTEGER_TEXT)
-    zeros = F.when(text.rlike(r"^-?0[0-9]"), F.lit(ZEROS)).otherwise(F.lit(0))
-    size = F.when(text.try_cast("int").isNotNull(), F.lit(INT32)).otherwise(F.lit(BIG))
+    """Bit of the narrowest class one text belongs to; 0 for a missing cell.
+
+    A comparison settles plain words before any pattern is tried: numbers and dates
+    start with a digit or a minus. Casts are tried only on texts of the right shape,
+    because a failing numeric cast costs an exception.
+    """
+    numberlike = (text >= "-") & (text < ":")
+    dated = F.substring(text, 5, 1).isin("-", "/")
+    short = F.length(text) <= 10
     date = text.rlike(DATE_TEXT) & _dashed(text).try_cast("date").isNotNull()
     stamp = text.rlike(TIMESTAMP_TEXT) & _dashed(text).try_cast("timestamp_ntz").isNotNull()
     return (
         F.when(text.isNull(), F.lit(0))
         .when(text == "", F.lit(BLANK))
-        .when(integer, size.bitwiseOR(zeros))
-        .when(text.rlike(DECIMAL_TEXT), F.lit(DECIMAL))
-        .when(date, F.lit(DATE))
-        .when(stamp, F.lit(TIMESTAMP))
+        .when(~numberlike, F.lit(OTHER))
+        .when(
+            text.rlike(DECIMAL_TEXT),
+            F.when(F.contains(text, F.lit(".")), F.lit(DECIMAL)).otherwise(_integer_class(text)),
+        )
+        .when(dated & short & date, F.lit(DATE))
+        .when(dated & ~short & stamp, F.lit(TIMESTAMP))
         .otherwise(F.lit(OTHER))
     )
 
@@ -133,22 +148,29 @@ def _decide(
 
 
 def class_counts(df: DataFrame, columns: list[str] | None = None) -> list[tuple[str, int, int, int]]:
-    """Per column: name, classes present, non-missing cells, blank cells."""
+    """Per column: name, classes present, non-missing cells, blank cells.
+
+    Cells are laid out as (column, text) rows, so the generated code stays small and
+    compiled however many columns there are; they combine map-side into one row per
+    column before the shuffle.
+    """
     names = list(columns or df.columns)
-    found = []
-    for start in range(0, len(names), COLUMNS_PER_PASS):
-        part = names[start : start + COLUMNS_PER_PASS]
-        aggregates = []
-        for i, name in enumerate(part):
-            text = F.col(f"`{name}`")
-            aggregates += [
-                F.bit_or(text_class(text)).alias(f"c{i}"),
-                F.count(text).alias(f"n{i}"),
-                F.count_if(text == "").alias(f"b{i}"),
-            ]
-        row = df.agg(*aggregates).first()
-        found += [(n, row[f"c{i}"] or 0, row[f"n{i}"], row[f"b{i}"]) for i, n in enumerate(part)]
-    return found
+    cells = df.select(F.posexplode(F.array(*[F.col(f"`{n}`") for n in names])).alias("at", "text"))
+    text, found = F.col("text"), text_class(F.col("text"))
+    rows = (
+        cells.groupBy("at")
+        .agg(
+            F.bit_or(found).alias("classes"),
+            # A second use makes Spark evaluate the class once per cell; bit_or alone
+            # would repeat its code until the method is too large to be compiled.
+            F.max(found).alias("_top"),
+            F.count(text).alias("present"),
+            F.count_if(text == "").alias("blank"),
+        )
+        .collect()
+    )
+    by_column = {r["at"]: (r["classes"], r["present"], r["blank"]) for r in rows}
+    return [(n, *by_column.get(i, (0, 0, 0))) for i, n in enumerate(names)]
 
 
 def decide_types(
@@ -183,6 +205,7 @@ def profile_report(spark: SparkSession, profile: list[ColumnType]) -> DataFrame:
 
 def narrowed(text: Column, final_type: str) -> Column:
     """Cast one text column to a decided type."""
+    text = F.nullif(text, F.lit(""))  # a failing numeric cast costs an exception
     if final_type in ("DATE", "TIMESTAMP"):
         text = _dashed(text)
     return text.try_cast(SPARK_TYPE[final_type])

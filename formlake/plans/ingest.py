@@ -36,7 +36,7 @@ from formlake.operators.narrowing import (
     merge_counts,
 )
 from formlake.project import RUN, Project
-from formlake.session import materialise
+from formlake.session import materialise, spread_if_few
 from formlake.sources.requests import CONTROL, ERROR, EXTRA, KEY, STATUS
 
 _COUNTS = T.StructType(
@@ -169,7 +169,11 @@ def _load_audit(
 
 
 def _brief(e: Exception) -> str:
-    return (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
+    """The telling line of an error: for an error in a Python worker, the last one."""
+    lines = [line.strip() for line in str(e).splitlines() if line.strip()]
+    if not lines:
+        return type(e).__name__
+    return (lines[-1] if "Python worker" in lines[0] else lines[0])[:500]
 
 
 def _chunk_status(project: Project, source, chunks: DataFrame, run: str) -> DataFrame:
@@ -203,7 +207,8 @@ def publish_typed(project: Project, journal: Journal, **options) -> int:
     Only runs not yet profiled are read again, unless they change a column's type.
     """
     profiled = _runs(project, project.type_counts)
-    new = sorted(_runs(project, project.raw) - profiled)
+    arrived = _runs(project, project.raw)
+    new = sorted(arrived - profiled)
     if new:
         rows = landed(project, new).drop(RUN)
         counted = class_counts(rows)
@@ -223,7 +228,7 @@ def publish_typed(project: Project, journal: Journal, **options) -> int:
             journal.add(p.level, p.message)
 
     published = _runs(project, project.data)
-    missing = sorted(_runs(project, project.raw) - published)
+    missing = sorted(arrived - published)
     if published and missing:
         fresh = apply_types(landed(project, missing), profile)
         known = {f.name: f.dataType for f in project.read(project.data).schema.fields}
@@ -272,8 +277,6 @@ def ingest(
     _load_dictionary(project, source, journal, refresh)
     first, last = default_range()
     _load_audit(project, source, journal, audit_begin or first, audit_end or last, refresh)
-    journal.flush()
-
     journal.add(C.INFO, "Requesting record IDs")
     record_id = source.record_id
     try:
@@ -305,6 +308,8 @@ def ingest(
 
     run = now().strftime("%Y%m%dT%H%M%S%f")
     rows = source.fetch(chunked, everything=not has_raw)
+    if not source.reports_status:
+        rows = spread_if_few(rows)
     project.write(rows.withColumn(RUN, F.lit(run)), project.raw, "append", RUN)
 
     status = materialise(_chunk_status(project, source, chunked, run))

@@ -32,6 +32,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/formlake/{name}-{uuid.uuid4().hex}"
 
 
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Use every core on input that arrives in few partitions, such as one large file.
+
+    Input of many partitions is left as it is, so nothing shuffles at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so later jobs reread instead of recompute."""
     shared_dir(df.sparkSession)
