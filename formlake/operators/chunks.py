@@ -81,7 +81,7 @@ def delivered_status(rows: DataFrame, chunks: DataFrame, record_id: str) -> Data
 
 
 def chunk_messages(status: DataFrame) -> DataFrame:
-    """One log entry per chunk."""
+    """The log entry of each chunk, beside its status."""
     label = chunk_label(F.col("chunk"))
     done = F.concat(
         F.lit("Chunk "), label, F.lit(" successfully transferred ("),
@@ -92,7 +92,7 @@ def chunk_messages(status: DataFrame) -> DataFrame:
         F.coalesce(F.col("error"), F.lit("unknown error")),
     )
     return status.select(
-        "chunk",
+        "*",
         F.col("status").alias("type"),
         F.when(F.col("status") == SUCCESS, done).otherwise(failed).alias("message"),
     )

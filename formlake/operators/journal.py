@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from formlake.functions.text import stamp_literal
 from formlake.operators.chunks import ERROR, INFO
+from formlake.operators.lookup import tie_break
 
 # Columns of the log and the messages its state is read from.
 JOURNAL_SCHEMA = T.StructType(
@@ -50,7 +51,8 @@ class Journal:
 
 
 def in_time_order(log: DataFrame) -> DataFrame:
-    return log.select(*JOURNAL_SCHEMA.names).orderBy("timestamp")
+    entries = log.select(*JOURNAL_SCHEMA.names)
+    return entries.orderBy("timestamp", tie_break(entries))
 
 
 def counts_by_type(log: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,16 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 
 
+def _row_hash(df: DataFrame) -> Column:
+    fields = [f for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in fields])
+
+
+def tie_break(df: DataFrame) -> Column:
+    """Last sort key that lets a range sort split rows with equal keys over partitions."""
+    return _row_hash(df).asc()
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Measure whether ``df`` holds at most this many rows and bytes."""
     width = F.lit(0)
@@ -80,8 +90,7 @@ def attach(
     hot = hot_keys(df, on).select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(on)])
     hot = hot.withColumn("_is_hot", F.lit(True))
     hot_names = [f"_hot{i}" for i in range(len(on))]
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    spread = F.pmod(_row_hash(df), F.lit(salts)).cast("int")
     left = (
         df.join(F.broadcast(hot), same(on, hot_names), "left")
         .withColumn("_salt", F.when(F.col("_is_hot"), spread).otherwise(F.lit(0)))

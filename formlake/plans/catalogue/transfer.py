@@ -101,8 +101,7 @@ FROM ({_STATUS_SQL})
 """)
 def chunk_status(spark, folder):
     status = _small_status(spark, folder, _small_chunks(spark, folder))
-    messages = C.chunk_messages(status).select("chunk", "message")
-    return status.select("chunk", "n_ids", "n_rows", "status").join(messages, "chunk")
+    return C.chunk_messages(status).select("chunk", "n_ids", "n_rows", "status", "message")
 
 
 @query(_TALLY_SQL)

@@ -137,22 +137,22 @@ def _load_audit(
         if entries is None:
             journal.add(C.INFO, "No logs returned")
             return
-        entries = materialise(entries)
         problems = None
         if STATUS in entries.columns:
+            entries = materialise(entries)
             problems = entries.filter(F.col(STATUS) == C.ERROR)
             failed_days = problems.select(F.col(KEY))
             entries = entries.filter(F.col(STATUS).isNull()).join(
                 F.broadcast(failed_days), KEY, "left_anti"  # one row per day asked for
             )
         entries = conform_audit(entries)
-        n = entries.count()
         project.write(
             entries.withColumn("day", F.col("timestamp").cast("date")),
             project.audit_log,
             "overwrite" if refresh else "append",
             "day",
         )
+        n = project.audit().count()
         journal.add(C.INFO, f"Transferred {n} log entries from {begin} to {end}")
         if problems is not None:
             journal.add_many(

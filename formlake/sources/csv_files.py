@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from formlake.functions.text import clean_cell
 
-# Reader options for exports (quotes doubled, line breaks inside quotes).
+# Reader options for exports (quotes doubled, line breaks inside quotes,
+# every file's header checked against the columns).
 CSV_OPTIONS = {
     "header": "true",
     "inferSchema": "false",
+    "enforceSchema": "false",
     "multiLine": "true",
     "quote": '"',
     "escape": '"',
