@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from formlake.functions.text import stamp_literal
 from formlake.operators.chunks import ERROR, INFO
-from formlake.operators.lookup import tie_break
+from formlake.operators.lookup import sort_spread
 
 # Columns of the log and the messages its state is read from.
 JOURNAL_SCHEMA = T.StructType(
@@ -51,8 +51,7 @@ class Journal:
 
 
 def in_time_order(log: DataFrame) -> DataFrame:
-    entries = log.select(*JOURNAL_SCHEMA.names)
-    return entries.orderBy("timestamp", tie_break(entries))
+    return sort_spread(log.select(*JOURNAL_SCHEMA.names), F.col("timestamp"))
 
 
 def counts_by_type(log: DataFrame) -> DataFrame:

@@ -19,14 +19,18 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_spread(df: DataFrame) -> Column:
+    """A number that differs between rows, and between equal rows of different partitions.
+
+    It does not depend on the order of rows, so a task that is run again gives the same.
+    """
     fields = [f for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in fields])
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in fields], F.spark_partition_id())
 
 
-def tie_break(df: DataFrame) -> Column:
-    """Last sort key that lets a range sort split rows with equal keys over partitions."""
-    return _row_hash(df).asc()
+def sort_spread(df: DataFrame, *keys: Column) -> DataFrame:
+    """Sort so that rows with equal keys can be split over partitions."""
+    return df.withColumn("_tie", row_spread(df)).orderBy(*keys, "_tie").drop("_tie")
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -90,7 +94,7 @@ def attach(
     hot = hot_keys(df, on).select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(on)])
     hot = hot.withColumn("_is_hot", F.lit(True))
     hot_names = [f"_hot{i}" for i in range(len(on))]
-    spread = F.pmod(_row_hash(df), F.lit(salts)).cast("int")
+    spread = F.pmod(row_spread(df), F.lit(salts)).cast("int")
     left = (
         df.join(F.broadcast(hot), same(on, hot_names), "left")
         .withColumn("_salt", F.when(F.col("_is_hot"), spread).otherwise(F.lit(0)))

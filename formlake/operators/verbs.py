@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlake.operators.dictionary import form_names, record_id_name
-from formlake.operators.lookup import attach, tie_break
+from formlake.operators.lookup import attach, sort_spread
 from formlake.session import materialise
 
 
@@ -35,9 +35,8 @@ def select_fields(
 def arrange(df: DataFrame, *keys: str, descending: bool | list[bool] = False) -> DataFrame:
     """Sort with missing values last in either direction."""
     down = descending if isinstance(descending, list) else [descending] * len(keys)
-    return df.orderBy(
-        *[F.desc_nulls_last(k) if d else F.asc_nulls_last(k) for k, d in zip(keys, down)],
-        tie_break(df),
+    return sort_spread(
+        df, *[F.desc_nulls_last(k) if d else F.asc_nulls_last(k) for k, d in zip(keys, down)]
     )
 
 

@@ -16,7 +16,7 @@ from formlake import Project, ingest, retry_failed
 from formlake.operators import chunks as C
 from formlake.operators import journal as J
 from formlake.operators.audit import audit_range, day_windows_between
-from formlake.operators.lookup import attach, fits_broadcast, hot_keys
+from formlake.operators.lookup import attach, fits_broadcast, hot_keys, row_spread, sort_spread
 from formlake.plans.ingest import TransferError, landed
 from formlake.sources import transport as TR
 from formlake.sources.csv_stream import csv_batches, read_header
@@ -311,6 +311,17 @@ def test_lookup_paths_agree(spark):
     assert not fits_broadcast(keyed, size=8)
 
 
+def test_copies_of_one_row_are_spread(spark):
+    copies = spark.range(0, 8000, numPartitions=16).select(F.lit(1).alias("k"))
+    salts = copies.select(F.pmod(row_spread(copies), F.lit(32)).alias("s")).distinct().count()
+    assert salts > 8
+    keyed = spark.createDataFrame([(1, "one")], "k int, label string")
+    joined = attach(copies, keyed, ["k"], rows=0)
+    assert joined.groupBy("label").count().collect()[0]["count"] == 8000
+    ordered = sort_spread(copies, F.col("k"))
+    assert ordered.columns == ["k"] and ordered.count() == 8000
+
+
 def test_numbering_is_gapless(spark):
     df = spark.range(0, 3210, numPartitions=7).select((F.col("id") * 37 % 3210).alias("id"))
     got = C.number_rows(df, "id").collect()
@@ -368,3 +379,10 @@ def test_stream_resume(spark, tmp_path):
     write(tmp_path / "drop" / "b.csv", "id,v\n3,z\n")
     assert load() == 3
     assert spark.read.parquet(out).filter("v IS NULL").count() == 1
+
+
+def test_csv_headers_are_checked(spark, tmp_path):
+    write(tmp_path / "drop" / "a.csv", "v,id\nx,1\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        out, state = str(tmp_path / "out"), str(tmp_path / "state")
+        land_available(stream_exports(spark, str(tmp_path / "drop"), ["id", "v"]), out, state)
