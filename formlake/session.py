@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_own_folder: dict[str, str] = {}  # by application, for local sessions without the setting
+
+
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get(_SETTING, None) or _own_folder.get(spark.sparkContext.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -16,12 +21,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session without that setting gets a folder of its own;
     on a cluster a machine-local folder would be lost with its machine.
     """
-    named = spark.conf.get(_SETTING, None)
+    named = _named_folder(spark)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder all executors share")
         named = tempfile.mkdtemp(prefix="formlake-")
-        spark.conf.set(_SETTING, named)
+        _own_folder[spark.sparkContext.applicationId] = named
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named

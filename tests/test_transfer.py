@@ -12,7 +12,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from formlake import Project, ingest, retry_failed
+from formlake import Project, ingest, retry_failed, session
 from formlake.operators import chunks as C
 from formlake.operators import journal as J
 from formlake.operators.audit import audit_range, day_windows_between
@@ -322,6 +322,28 @@ def test_copies_of_one_row_are_spread(spark):
     assert ordered.columns == ["k"] and ordered.count() == 8000
 
 
+def test_shared_folder(spark, monkeypatch):
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+    class Context:
+        master, applicationId = "yarn", "app-1"
+
+    class Cluster:
+        sparkContext = Context()
+
+    class Conf:
+        @staticmethod
+        def get(name, default=None):
+            return default
+
+    Cluster.conf = Conf()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster())
+    Context.master, Context.getCheckpointDir = "local[2]", staticmethod(lambda: "set")
+    assert session.shared_dir(Cluster()) == session.shared_dir(Cluster())
+
+
 def test_numbering_is_gapless(spark):
     df = spark.range(0, 3210, numPartitions=7).select((F.col("id") * 37 % 3210).alias("id"))
     got = C.number_rows(df, "id").collect()
