@@ -99,7 +99,7 @@ def dictionary_first_match(spark, folder):
     return D.first_entries(repeated).select("field_name", "field_label", "position")
 
 
-@query(CHOICE_ROWS_SQL.format(source=PART_DICTIONARY_SQL, blanks=_BLANKS_SQL))
+@query(CHOICE_ROWS_SQL.format(source=PART_DICTIONARY_SQL, blanks=_BLANKS_SQL), name="parse_choices")
 def parse_choice_lists(spark, folder):
     return choice_rows(
         part_dictionary(spark, folder), "select_choices_or_calculations", "field_name"

@@ -347,7 +347,7 @@ SELECT o_orderkey,
             ELSE CAST(CAST(floor(s / 60) AS BIGINT) AS VARCHAR) || 'm ' ||
                  CAST(CAST(round_even(s % 60, 0) AS BIGINT) AS VARCHAR) || 's' END AS elapsed
 FROM (SELECT o_orderkey, o_totalprice / 500 AS s FROM orders)
-""")
+""", name="elapsed_text")
 def elapsed_time_text(spark, folder):
     orders = table(spark, folder, "orders")
     return orders.select("o_orderkey", elapsed_text(F.col("o_totalprice") / 500).alias("elapsed"))
