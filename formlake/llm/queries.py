@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from formlake.llm.byte_bpe import encode_and_decode
+from formlake.llm.exact_dedup import exact_duplicates
+from formlake.llm.simhash import simhash_components
 from formlake.llm.token_counts import count_tokens
 from formlake.llm.token_files import read_token_files, write_token_files
 from formlake.session import scratch_path
@@ -42,3 +44,31 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Piece counts of every document."""
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of every document among those with equal texts."""
+    groups = exact_duplicates(_table(spark, folder, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op1_exact_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
+    FROM documents
+)
+SELECT doc_id,
+       first_value(doc_id) OVER (PARTITION BY body ORDER BY length(text) DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY body) AS group_size,
+       doc_id = first_value(doc_id) OVER (PARTITION BY body ORDER BY length(text) DESC, doc_id) AS kept,
+       sha256(body) AS text_sha256
+FROM d
+"""
+
+
+@_query
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint of every document, and its component of near-duplicates."""
+    return simhash_components(_table(spark, folder, "documents"))
