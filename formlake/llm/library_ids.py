@@ -12,7 +12,7 @@ from formlake.llm.segments import BYTE_LEVEL, WORD_END, SegmentCache
 
 
 class LibraryIds:
-    """Ids of texts as little-endian unsigned 32-bit integers, without special tokens."""
+    """Ids of texts without special tokens, as little-endian unsigned integers of type ``kind``."""
 
     def __init__(self, path: str, segments: re.Pattern[str]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on each core
@@ -20,12 +20,13 @@ class LibraryIds:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.segments = segments
         self.cache = SegmentCache(self._segment_ids)
 
     def _segment_ids(self, segment: str) -> bytes:
         ids = self.library.encode(segment, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return np.array(ids, dtype=self.kind).tobytes()
 
     def __call__(self, text: str) -> bytes:
         return b"".join(map(self.cache.__getitem__, self.segments.findall(text)))

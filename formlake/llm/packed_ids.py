@@ -26,6 +26,7 @@ import numpy as np
 BLOCK = 128
 MAGIC = b"PFORIDS\x01"
 _HEADER = struct.Struct("<8sqqqqqqq")
+HEADER_BYTES = _HEADER.size
 _SLAB = 4096  # blocks whose bits are spread out in memory at a time
 
 
@@ -35,6 +36,11 @@ def _bit_lengths(values: np.ndarray) -> np.ndarray:
     return exponents.astype(np.uint8)
 
 
+def _container(width: int) -> np.dtype:
+    """The narrowest little-endian integer that holds so many bits."""
+    return np.dtype("u1" if width <= 8 else "<u2" if width <= 16 else "<u4")
+
+
 @dataclass
 class Blocks:
     minima: np.ndarray
@@ -51,7 +57,7 @@ def pack(ids: np.ndarray, percentile: float = 0.95) -> Blocks:
     """Code ids (uint32); the last block is filled up with its last id."""
     count = len(ids)
     n = -(-count // BLOCK)
-    table = np.resize(ids[-1:] if count else np.zeros(1, np.uint32), n * BLOCK).astype(np.uint32)
+    table = np.full(n * BLOCK, ids[-1] if count else 0, np.uint32)
     table[:count] = ids
     table = table.reshape(n, BLOCK)
     minima = table.min(axis=1) if n else np.zeros(0, np.uint32)
@@ -68,11 +74,11 @@ def pack(ids: np.ndarray, percentile: float = 0.95) -> Blocks:
         if width == 0:
             continue
         chosen = np.nonzero(widths == width)[0]
-        shifts = np.arange(width, dtype=np.uint32)
+        kind = _container(width)
         for first in range(0, len(chosen), _SLAB):
             part = chosen[first : first + _SLAB]
-            spread = ((deltas[part][:, :, None] >> shifts) & 1).astype(np.uint8)
-            packed = np.packbits(spread.reshape(len(part), -1), axis=1, bitorder="little")
+            spread = np.unpackbits(deltas[part].astype(kind).view(np.uint8).reshape(len(part), BLOCK, -1), axis=2, bitorder="little")
+            packed = np.packbits(spread[:, :, :width].reshape(len(part), -1), axis=1, bitorder="little")
             where = starts[part].astype(np.int64)[:, None] + np.arange(packed.shape[1])
             bits[where] = packed
     return Blocks(
@@ -90,12 +96,13 @@ def unpack(blocks: Blocks) -> np.ndarray:
         if width == 0:
             continue
         chosen = np.nonzero(blocks.widths == width)[0]
-        powers = (np.uint32(1) << np.arange(width, dtype=np.uint32)).astype(np.uint32)
+        kind = _container(width)
         for first in range(0, len(chosen), _SLAB):
             part = chosen[first : first + _SLAB]
             where = blocks.starts[part].astype(np.int64)[:, None] + np.arange(int(width) * BLOCK // 8)
-            spread = np.unpackbits(bits[where], axis=1, bitorder="little").reshape(len(part), BLOCK, width)
-            deltas[part] = (spread * powers).sum(axis=2, dtype=np.uint32)
+            spread = np.zeros((len(part), BLOCK, kind.itemsize * 8), np.uint8)
+            spread[:, :, :width] = np.unpackbits(bits[where], axis=1, bitorder="little").reshape(len(part), BLOCK, width)
+            deltas[part] = np.packbits(spread, axis=2, bitorder="little").view(kind)[:, :, 0]
     rows = np.repeat(np.arange(n), blocks.patched)
     places = blocks.places.astype(np.int64)
     deltas[rows, places] |= blocks.high.astype(np.uint32) << blocks.widths[rows].astype(np.uint32)

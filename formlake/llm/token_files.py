@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from formlake.llm.batches import id_and_text, text_slices
 from formlake.llm.library_ids import byte_level_ids
-from formlake.llm.packed_ids import TokenFile, header_of
+from formlake.llm.packed_ids import HEADER_BYTES, TokenFile, header_of
 
 FILE_IDS = 1 << 20  # a file is closed when it holds so many ids
 _TRAILER = "\n"  # the text writer puts it behind each record
@@ -62,19 +62,22 @@ def write_token_files(
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from bisect import bisect_left
 
-        ids_of, end = byte_level_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+        ids_of = byte_level_ids(tokenizer)
+        kind = ids_of.kind if end_id <= np.iinfo(ids_of.kind).max else np.dtype("<u4")
+        end = np.array([end_id], kind).tobytes()
         for batch, slice_texts in text_slices(batches):
             doc_ids, ties = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             part = [0 if d is None else bisect_left(bounds, (d, t)) for d, t in zip(doc_ids, ties)]
-            ids = [np.frombuffer(ids_of(t) + end, "<u4") for t in slice_texts]
-            small = all(int(i.max()) < 1 << 16 for i in ids)
+            ids = [ids_of(t) for t in slice_texts]
+            if kind != ids_of.kind:
+                ids = [np.frombuffer(i, ids_of.kind).astype(kind).tobytes() for i in ids]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),
                     "tie": batch.column(2),
                     "part": pa.array(part, pa.int32()),
-                    "wide": pa.array([not small] * len(ids), pa.bool_()),
-                    "ids": pa.array([i.astype("<u2" if small else "<u4").tobytes() for i in ids], pa.binary()),
+                    "width": pa.array([kind.itemsize] * len(ids), pa.int32()),
+                    "ids": pa.array([i + end for i in ids], pa.binary()),
                 }
             )
 
@@ -86,23 +89,23 @@ def write_token_files(
             nonlocal held, size, first, file_no
             file = TokenFile(
                 range_no, file_no, first, [d for d, _ in held],
-                np.array([len(i) for _, i in held], np.uint32), np.concatenate([i for _, i in held]),
+                np.array([len(i) for _, i in held], np.uint32), np.concatenate([i for _, i in held]).astype(np.uint32),
             )
             first, file_no, held, size = first + size, file_no + 1, [], 0
             return pa.RecordBatch.from_pydict({"content": pa.array([file.to_bytes(percentile)], pa.binary())})
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "part", "wide"))
-            for doc_id, part, wide, ids in zip(*columns, batch.column("ids")):
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "part", "width", "ids"))
+            for doc_id, part, width, ids in zip(*columns):
                 range_no = part
-                held.append((doc_id, np.frombuffer(ids.as_buffer(), "<u4" if wide else "<u2").astype(np.uint32)))
+                held.append((doc_id, np.frombuffer(ids, f"<u{width}")))
                 size += len(held[-1][1])
                 if size >= FILE_IDS:
                     yield close()
         if held:
             yield close()
 
-    encoded = texts.mapInArrow(encode, "doc_id bigint, tie bigint, part int, wide boolean, ids binary")
+    encoded = texts.mapInArrow(encode, "doc_id bigint, tie bigint, part int, width int, ids binary")
     ordered = encoded.repartitionById(ranges, F.col("part")).sortWithinPartitions("doc_id", "tie")
     files = ordered.mapInArrow(write, "content binary")
     files.select(F.col("content").cast("string")).write.option("lineSep", _TRAILER).option(
@@ -110,8 +113,8 @@ def write_token_files(
     ).option("compression", "none").text(path)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and ids, from the files.
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, ids.
 
     The ranges' first positions come from the files' headers: one number for each range.
     """
@@ -124,7 +127,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 {"part": pa.array([f[0] for f in found], pa.int64()), "n": pa.array([f[1] for f in found], pa.int64())}
             )
 
-    totals = files.mapInArrow(headers, "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
+    first_bytes = files.select(F.substring("content", 1, HEADER_BYTES).alias("content"))
+    totals = first_bytes.mapInArrow(headers, "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
     counted = sorted((r["part"], r["n"]) for r in totals.collect())  # one row a range
     before = dict(zip([p for p, _ in counted], accumulate([0, *[n for _, n in counted]])))
 
@@ -136,16 +140,16 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 starts = ends - file.lengths
                 ids = file.ids.astype("<u4")
                 crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
-                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(file.doc_ids, pa.int64()),
-                        pa.array(starts + file.first + before[file.range_no], pa.int64()),
-                        pa.array(file.lengths.astype(np.int64), pa.int64()),
-                        pa.array(crcs, pa.int64()),
-                        pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32), pa.int32())),
-                    ],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-                )
-
-    return files.mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>")
+                columns = {
+                    "doc_id": pa.array(file.doc_ids, pa.int64()),
+                    "start": pa.array(starts + file.first + before[file.range_no], pa.int64()),
+                    "n_tokens": pa.array(file.lengths.astype(np.int64), pa.int64()),
+                    "ids_crc32": pa.array(crcs, pa.int64()),
+                }
+                if with_ids:
+                    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32), pa.int32())
+                    columns["ids"] = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32), pa.int32()))
+                yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+    return files.mapInArrow(decode, schema + ", ids array<int>" * with_ids)
