@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from formlake.llm.byte_bpe import encode_and_decode
 from formlake.llm.exact_dedup import exact_duplicates
+from formlake.llm.main_text import extract_main_text
+from formlake.llm.packing import pack_documents
 from formlake.llm.simhash import simhash_components
 from formlake.llm.token_counts import count_tokens
 from formlake.llm.token_files import read_token_files, write_token_files
+from formlake.llm.toxicity import score_toxicity
+from formlake.llm.vector_topk import top_k
 from formlake.session import scratch_path
 
 QUERIES = {}
@@ -72,3 +77,46 @@ FROM d
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """The fingerprint of every document, and its component of near-duplicates."""
     return simhash_components(_table(spark, folder, "documents"))
+
+
+@_query
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2,048 tokens."""
+    return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_main_text(_table(spark, folder, "pages"))
+
+
+@_query
+def op5_vector_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best vectors for every hundredth one."""
+    return top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op5_vector_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@_query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, with the labelled examples it rests on."""
+    return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
