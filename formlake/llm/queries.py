@@ -10,6 +10,7 @@ from formlake.llm.byte_bpe import encode_and_decode
 from formlake.llm.exact_dedup import exact_duplicates
 from formlake.llm.main_text import extract_main_text
 from formlake.llm.packing import pack_documents
+from formlake.llm.quality import score_quality
 from formlake.llm.simhash import simhash_components
 from formlake.llm.token_counts import count_tokens
 from formlake.llm.token_files import read_token_files, write_token_files
@@ -120,3 +121,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """The toxicity of every document, with the labelled examples it rests on."""
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document."""
+    return score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
