@@ -4,39 +4,62 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 
-from formlake.llm.segments import BYTE_LEVEL, WORD_END, SegmentCache
+from formlake.llm.segments import BYTE_LEVEL, LETTERS, WORD_END, SegmentCache
+
+
+def _byte_characters() -> dict[int, int]:
+    """Byte-level vocabularies write a byte as a visible character: itself, or one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: b for b in visible} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
 class LibraryIds:
-    """Ids of texts without special tokens, as little-endian unsigned integers of type ``kind``."""
+    """Ids of texts without special tokens, as little-endian unsigned integers of type ``kind``.
+
+    A segment of letters is one pre-token, so the library's model gets it directly; others
+    go through the whole library.
+    """
 
-    def __init__(self, path: str, segments: re.Pattern[str]):
+    def __init__(self, path: str, segments: re.Pattern[str], lower: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on each core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.library.model
+        self.lower, self.characters = lower, _byte_characters()
+        self.word = re.compile(f" ?[{LETTERS}]+" if not lower else f"[{LETTERS}]+").fullmatch
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.segments = segments
         self.cache = SegmentCache(self._segment_ids)
 
     def _segment_ids(self, segment: str) -> bytes:
-        ids = self.library.encode(segment, add_special_tokens=False).ids
-        return np.array(ids, dtype=self.kind).tobytes()
+        if self.word(segment):
+            word = segment.lower() if self.lower else segment
+            visible = word.encode("utf-8").decode("latin-1").translate(self.characters)
+            return array(self.code, [token.id for token in self.model.tokenize(visible)]).tobytes()
+        return array(self.code, self.library.encode(segment, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self.cache.__getitem__, self.segments.findall(text)))
+        found = self.segments.findall(text)
+        if len(found) > 1:
+            return b"".join(itemgetter(*found)(self.cache))
+        return self.cache[found[0]] if found else b""
 
 
 @lru_cache(maxsize=2)
 def byte_level_ids(path: str) -> LibraryIds:
-    return LibraryIds(path, BYTE_LEVEL)
+    return LibraryIds(path, BYTE_LEVEL, lower=False)
 
 
 @lru_cache(maxsize=2)
 def word_end_ids(path: str) -> LibraryIds:
-    return LibraryIds(path, WORD_END)
+    return LibraryIds(path, WORD_END, lower=True)

@@ -4,7 +4,7 @@ Ids are cut into blocks of 128. A block stores its minimum, a bit width chosen s
 percentile of its differences from the minimum fits, the low bits of all differences, and
 the high bits of the few that don't fit in an exception list with their places.
 
-A file holds whole documents, all little-endian:
+A file holds whole documents; its header is big-endian, the rest little-endian:
 
     header   magic, version, range number, file number in the range, position of the
              file's first id in its range, counts of documents, ids and exceptions,
@@ -13,7 +13,7 @@ A file holds whole documents, all little-endian:
     blocks   minimum (uint32), width (uint8), exceptions (uint8), start of the packed
              bits (uint64, in bytes): the index by which a block is found
     exceptions  place in the block (uint8), high bits (1, 2 or 4 bytes)
-    bits     the packed blocks
+    bits     the packed blocks, those of one width together
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ import numpy as np
 
 BLOCK = 128
 MAGIC = b"PFORIDS\x01"
-_HEADER = struct.Struct("<8sqqqqqqq")
-HEADER_BYTES = _HEADER.size
+_HEADER = struct.Struct(">8sqqqqqqq")
+#: Where the header has the range number and the count of ids, from 1, in 8 bytes each.
+RANGE_AT, COUNT_AT = 9, 41
 _SLAB = 4096  # blocks whose bits are spread out in memory at a time
 
 
@@ -67,23 +68,23 @@ def pack(ids: np.ndarray, percentile: float = 0.95) -> Blocks:
     over = (deltas >> np.minimum(widths, 31)[:, None].astype(np.uint32)) if n else deltas
     over = np.where(widths[:, None] >= 32, 0, over)
     rows, places = np.nonzero(over)
-    sizes = widths.astype(np.int64) * (BLOCK // 8)
-    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.uint64)
-    bits = np.zeros(int(starts[-1]), np.uint8)
-    for width in np.unique(widths):
+    starts = np.zeros(n, np.uint64)
+    bits, size = [], 0
+    for width in np.unique(widths).tolist():
+        chosen = np.nonzero(widths == width)[0]
+        each = width * BLOCK // 8
+        starts[chosen] = size + np.arange(len(chosen)) * each
+        size += len(chosen) * each
         if width == 0:
             continue
-        chosen = np.nonzero(widths == width)[0]
         kind = _container(width)
         for first in range(0, len(chosen), _SLAB):
             part = chosen[first : first + _SLAB]
             spread = np.unpackbits(deltas[part].astype(kind).view(np.uint8).reshape(len(part), BLOCK, -1), axis=2, bitorder="little")
-            packed = np.packbits(spread[:, :, :width].reshape(len(part), -1), axis=1, bitorder="little")
-            where = starts[part].astype(np.int64)[:, None] + np.arange(packed.shape[1])
-            bits[where] = packed
+            bits.append(np.packbits(spread[:, :, :width].reshape(-1), bitorder="little").tobytes())
     return Blocks(
-        minima, widths, np.bincount(rows, minlength=n).astype(np.uint8), starts[:-1],
-        places.astype(np.uint8), over[rows, places], bits.tobytes(), count,
+        minima, widths, np.bincount(rows, minlength=n).astype(np.uint8), starts,
+        places.astype(np.uint8), over[rows, places], b"".join(bits), count,
     )
 
 
@@ -92,16 +93,18 @@ def unpack(blocks: Blocks) -> np.ndarray:
     n = len(blocks.minima)
     deltas = np.zeros((n, BLOCK), np.uint32)
     bits = np.frombuffer(blocks.bits, np.uint8)
-    for width in np.unique(blocks.widths):
+    for width in np.unique(blocks.widths).tolist():
         if width == 0:
             continue
         chosen = np.nonzero(blocks.widths == width)[0]
+        each = width * BLOCK // 8
         kind = _container(width)
         for first in range(0, len(chosen), _SLAB):
             part = chosen[first : first + _SLAB]
-            where = blocks.starts[part].astype(np.int64)[:, None] + np.arange(int(width) * BLOCK // 8)
+            start = int(blocks.starts[part[0]])
             spread = np.zeros((len(part), BLOCK, kind.itemsize * 8), np.uint8)
-            spread[:, :, :width] = np.unpackbits(bits[where], axis=1, bitorder="little").reshape(len(part), BLOCK, width)
+            packed = bits[start : start + len(part) * each]
+            spread[:, :, :width] = np.unpackbits(packed, bitorder="little").reshape(len(part), BLOCK, width)
             deltas[part] = np.packbits(spread, axis=2, bitorder="little").view(kind)[:, :, 0]
     rows = np.repeat(np.arange(n), blocks.patched)
     places = blocks.places.astype(np.int64)
@@ -157,9 +160,3 @@ class TokenFile:
         blocks = Blocks(minima, widths, patched, starts, places, high, content[at : at + size], count)
         doc_ids = [None if missing else int(d) for d, missing in zip(known, null)]
         return cls(range_no, file_no, first, doc_ids, lengths, unpack(blocks))
-
-
-def header_of(content: bytes) -> tuple[int, int]:
-    """Range number and count of ids, without decoding."""
-    fields = _HEADER.unpack_from(content)
-    return fields[1], fields[5]

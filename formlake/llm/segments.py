@@ -13,17 +13,18 @@ from itertools import islice
 
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
-_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_WORD_ENDS = f"(?=[{WHITE_SPACE}.,]|\\Z)"
-_STOPS = f"[.,]+(?=[{WHITE_SPACE}]|\\Z)"
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_NO_LETTER = f"(?=[\0-@\\[-`{{-\x7f{WHITE_SPACE}]|\\Z)"
+# An apostrophe may begin a pre-token of its own, so symbols next to one are left whole.
+_SYMBOLS = f"[!-&(-/:-@\\[-`{{-~]+(?=[{WHITE_SPACE}0-9A-Za-z]|\\Z)"
 
 #: Byte-level pre-tokens take one space before a word; runs of white space leave it theirs.
 BYTE_LEVEL = re.compile(
-    f" ?[{_LETTERS}]+{_WORD_ENDS}|{_STOPS}| ?[^{WHITE_SPACE}]+"
+    f" ?[{LETTERS}]+{_NO_LETTER}|{_SYMBOLS}| ?[^{WHITE_SPACE}]+"
     f"|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 )
 #: Word-end vocabularies drop white space.
-WORD_END = re.compile(f"[{_LETTERS}]+{_WORD_ENDS}|{_STOPS}|[^{WHITE_SPACE}]+")
+WORD_END = re.compile(f"[{LETTERS}]+{_NO_LETTER}|{_SYMBOLS}|[^{WHITE_SPACE}]+")
 #: Piece vocabularies have the space mark only at the front of a piece; the mark itself
 #: (U+2581) in a text counts like a space.
 SPACE_LED = re.compile("[ ▁]+[^ ▁]*")

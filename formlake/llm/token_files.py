@@ -14,14 +14,14 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formlake.llm.batches import id_and_text, text_slices
 from formlake.llm.library_ids import byte_level_ids
-from formlake.llm.packed_ids import HEADER_BYTES, TokenFile, header_of
+from formlake.llm.packed_ids import COUNT_AT, RANGE_AT, TokenFile
 
-FILE_IDS = 1 << 20  # a file is closed when it holds so many ids
+FILE_IDS = 1 << 21  # a file is closed when it holds so many ids
 _TRAILER = "\n"  # the text writer puts it behind each record
 _SAMPLE = 100  # rows sampled for each range
 
@@ -120,15 +120,11 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
     """
     files = spark.read.format("binaryFile").load(path).where("length > 1").select("content")
 
-    def headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [header_of(c.as_buffer().to_pybytes()) for c in batch.column(0)]
-            yield pa.RecordBatch.from_pydict(
-                {"part": pa.array([f[0] for f in found], pa.int64()), "n": pa.array([f[1] for f in found], pa.int64())}
-            )
+    def number(at: int) -> Column:
+        return F.conv(F.hex(F.substring("content", at, 8)), 16, 10).cast("bigint")
 
-    first_bytes = files.select(F.substring("content", 1, HEADER_BYTES).alias("content"))
-    totals = first_bytes.mapInArrow(headers, "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
+    totals = files.select(number(RANGE_AT).alias("part"), number(COUNT_AT).alias("n"))
+    totals = totals.groupBy("part").agg(F.sum("n").alias("n"))
     counted = sorted((r["part"], r["n"]) for r in totals.collect())  # one row a range
     before = dict(zip([p for p, _ in counted], accumulate([0, *[n for _, n in counted]])))
 
