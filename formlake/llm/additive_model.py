@@ -100,11 +100,9 @@ class AdditiveModel:
 
 
 def fit(features: np.ndarray, labels: np.ndarray) -> AdditiveModel:
-    """Fit to rows of features and labels 0 and 1; without both labels, only the smoothed share of 1."""
-    share = (labels.sum() + 0.5) / (len(labels) + 1)
+    """Fit to rows of features and labels, 0 and 1 both among them."""
+    share = labels.mean()
     model = AdditiveModel(float(np.log(share / (1 - share))))
-    if not 0 < labels.sum() < len(labels):
-        return model
     width = features.shape[1]
     model.cuts = [_cuts(features[:, i], BINS) for i in range(width)]
     model.tables = [np.zeros(len(c) + 1) for c in model.cuts]

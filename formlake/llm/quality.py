@@ -68,8 +68,8 @@ def fit_quality(
 ) -> AdditiveModel:
     """Fit on at most ``train_rows`` labelled rows outside the held-out fold.
 
-    Repeated rows of an id are one example. Without rows of both labels every score is
-    the smoothed share of label 1, one half where there are none.
+    Repeated rows of an id are one example. Without rows of both labels nothing can be
+    learned, and every score is one half, which passes.
     """
     train = training_labels(labels, label_column, folds, fold, train_rows)
     # At most train_rows rows of two numbers are broadcast.
@@ -88,7 +88,8 @@ def fit_quality(
     measured = sample.mapInArrow(measure, "doc_id bigint, label int, x array<double>")
     rows = measured.groupBy("doc_id", "label").agg(F.min("x").alias("x")).orderBy("doc_id", "label").collect()
     table = np.array([r["x"] for r in rows], float).reshape(-1, len(FEATURES))
-    return additive_model.fit(table, np.array([r["label"] for r in rows], float))
+    known = np.array([r["label"] for r in rows], float)
+    return additive_model.fit(table, known) if len(set(known)) == 2 else AdditiveModel(0.0)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, **options) -> DataFrame:

@@ -189,7 +189,8 @@ def fit_toxicity(
     """The model, and the written term counts of every document.
 
     Examples are at most ``train_rows`` labelled rows outside the held-out fold. Without
-    rows of both labels there is no index, and every score is the smoothed base rate.
+    rows of both labels, or without any term that tells them apart, nothing is known
+    against any document, and every score is 0.
     """
     texts = id_and_text(docs, id_column, text_column)
     train = written(training_labels(labels, label_column, folds, fold, train_rows), "training-labels")
@@ -203,9 +204,9 @@ def fit_toxicity(
     if size:
         for row in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
             frequency[row["term"]] = row["count"]  # one row a term
-    base = (toxic + 0.5) / (toxic + clean + 1) if toxic + clean else 0.0
+    base = (toxic + 0.5) / (toxic + clean + 1)
     model = ToxicityModel(
-        vocabulary, np.log((1 + documents) / (1 + frequency)) + 1, None, np.zeros(0), [], base, base,
+        vocabulary, np.log((1 + documents) / (1 + frequency)) + 1, None, np.zeros(0), [], base, 0.0,
         np.array([0.0, 1.0]), np.array([0.0, 1.0]),
     )
     if not size:
@@ -227,8 +228,8 @@ def fit_toxicity(
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, **options) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence of every row.
 
-    A null or empty text has no terms and the score of unmarked examples; so have all rows
-    where the labels give no terms. A null id is not held out; repeated rows give repeated
+    A null or empty text has no terms and the score of unmarked examples; where the labels
+    give no terms all scores are 0. A null id is not held out; repeated rows give repeated
     rows; other columns are not read; an empty table gives no rows.
     """
     model, vectors = fit_toxicity(docs, labels, folds, fold, **options)
