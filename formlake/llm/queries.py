@@ -16,6 +16,7 @@ from formlake.llm.token_counts import count_tokens
 from formlake.llm.token_files import read_token_files, write_token_files
 from formlake.llm.toxicity import score_toxicity
 from formlake.llm.vector_topk import top_k
+from formlake.llm.workers import share_package
 from formlake.session import scratch_path
 
 QUERIES = {}
@@ -23,8 +24,12 @@ ORACLES: dict[str, str] = {}
 
 
 def _query(function):
-    QUERIES[function.__name__] = function
-    return function
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        share_package(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
