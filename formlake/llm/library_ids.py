@@ -6,7 +6,6 @@ import os
 import re
 from array import array
 from functools import lru_cache
-from operator import itemgetter
 
 import numpy as np
 
@@ -38,8 +37,8 @@ class LibraryIds:
         self.word = re.compile(f" ?[{LETTERS}]+" if not lower else f"[{LETTERS}]+").fullmatch
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.segments = segments
-        self.cache = SegmentCache(self._segment_ids)
+        self.findall = segments.findall
+        self.ids_of = SegmentCache(self._segment_ids).__getitem__
 
     def _segment_ids(self, segment: str) -> bytes:
         if self.word(segment):
@@ -49,10 +48,7 @@ class LibraryIds:
         return array(self.code, self.library.encode(segment, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        found = self.segments.findall(text)
-        if len(found) > 1:
-            return b"".join(itemgetter(*found)(self.cache))
-        return self.cache[found[0]] if found else b""
+        return b"".join(map(self.ids_of, self.findall(text)))
 
 
 @lru_cache(maxsize=2)

@@ -80,6 +80,9 @@ def pack(ids: np.ndarray, percentile: float = 0.95) -> Blocks:
         kind = _container(width)
         for first in range(0, len(chosen), _SLAB):
             part = chosen[first : first + _SLAB]
+            if width == kind.itemsize * 8:
+                bits.append(deltas[part].astype(kind).tobytes())
+                continue
             spread = np.unpackbits(deltas[part].astype(kind).view(np.uint8).reshape(len(part), BLOCK, -1), axis=2, bitorder="little")
             bits.append(np.packbits(spread[:, :, :width].reshape(-1), bitorder="little").tobytes())
     return Blocks(
@@ -102,6 +105,9 @@ def unpack(blocks: Blocks) -> np.ndarray:
         for first in range(0, len(chosen), _SLAB):
             part = chosen[first : first + _SLAB]
             start = int(blocks.starts[part[0]])
+            if width == kind.itemsize * 8:
+                deltas[part] = bits[start : start + len(part) * each].view(kind).reshape(len(part), BLOCK)
+                continue
             spread = np.zeros((len(part), BLOCK, kind.itemsize * 8), np.uint8)
             packed = bits[start : start + len(part) * each]
             spread[:, :, :width] = np.unpackbits(packed, bitorder="little").reshape(len(part), BLOCK, width)

@@ -51,11 +51,11 @@ def write_token_files(
     """Write every document's ids and ``end_id`` in ascending order of document ids.
 
     A null or empty text is its end id alone. Null ids come first. Rows with equal ids
-    stay whole and adjacent, in the order of a hash of their texts. An empty table
+    stay whole and adjacent, in the order they were read. An empty table
     writes no record. ``ranges`` defaults to the shuffle partitions.
     """
     spark = docs.sparkSession
-    texts = id_and_text(docs, id_column, text_column).withColumn("tie", F.xxhash64("text"))
+    texts = id_and_text(docs, id_column, text_column).withColumn("tie", F.monotonically_increasing_id())
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = _boundaries(texts.select("doc_id", "tie"), ranges)
 
