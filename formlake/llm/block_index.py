@@ -2,9 +2,9 @@
 
 Examples are numbered so that similar ones are near each other, and cut into blocks. For
 each term the index holds its postings, where each block's postings begin, and the largest
-weight in each block. A query adds up the maxima of its terms for a bound on every block,
-reads blocks in falling order of their bounds, and stops when the k-th similarity found is
-above every bound that is left.
+weight in each block. A query adds up the maxima of its terms for a bound on every block.
+It reads the blocks of the highest bounds, and after them, in growing groups, those whose
+bound is not under the k-th similarity found so far.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 64
+_FIRST = 4  # blocks in the first group; each group is four times the last
 
 
 class BlockMaxIndex:
@@ -40,20 +41,41 @@ class BlockMaxIndex:
         if not len(terms) or not self.count:
             return np.zeros(0, np.int64), np.zeros(0)
         bounds = weights @ self.maxima[terms]
+        order = np.argsort(-bounds, kind="stable")
         found, likeness = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(found) == k and bounds[block] < likeness[-1] - 1e-12:
+        at, group = 0, _FIRST
+        while at < self.blocks:
+            least = likeness.min() - 1e-12 if len(found) == k else 0.0
+            some = order[at : at + group]
+            some = some[(bounds[some] >= least) & (bounds[some] > 0)]
+            if not len(some):
                 break
-            sums = np.zeros(BLOCK)
-            cells = terms * self.blocks + block
-            for a, b, weight in zip(self.starts[cells].tolist(), self.starts[cells + 1].tolist(), weights.tolist()):
-                if a < b:
-                    sums[self.example[a:b] - block * BLOCK] += weight * self.weight[a:b]
-            hits = np.nonzero(sums)[0]
-            found = np.concatenate([found, self.order[hits + block * BLOCK]])
-            likeness = np.concatenate([likeness, sums[hits]])
-            other = found != without
-            found, likeness = found[other], likeness[other]
-            best = np.lexsort((found, -np.round(likeness, 12)))[:k]
-            found, likeness = found[best], likeness[best]
-        return found, np.minimum(likeness, 1.0)
+            numbers, sums = self._read(some, terms, weights)
+            kept = (self.order[numbers] != without) & (sums > 0)
+            found = np.concatenate([found, self.order[numbers[kept]]])
+            likeness = np.concatenate([likeness, sums[kept]])
+            if len(found) > k:  # what lies under the k-th can't be among the best
+                least = np.partition(likeness, -k)[-k] - 1e-12
+                found, likeness = found[likeness >= least], likeness[likeness >= least]
+                best = np.lexsort((found, -np.round(likeness, 12)))[:k]
+                found, likeness = found[best], likeness[best]
+            at, group = at + group, group * 4
+        best = np.lexsort((found, -np.round(likeness, 12)))
+        return found[best], np.minimum(likeness[best], 1.0)
+
+    def _read(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the examples in these blocks and their similarities."""
+        cells = (terms[:, None] * self.blocks + blocks).reshape(-1)
+        begin = self.starts[cells]
+        sizes = self.starts[cells + 1] - begin
+        skipped = np.cumsum(sizes) - sizes
+        postings = np.repeat(begin - skipped, sizes) + np.arange(int(sizes.sum()))
+        weight = np.repeat(np.repeat(weights, len(blocks)), sizes) * self.weight[postings]
+        slot = np.empty(self.blocks, np.int64)
+        slot[blocks] = np.arange(len(blocks))
+        example = self.example[postings]
+        local = slot[example // BLOCK] * BLOCK + example % BLOCK
+        sums = np.bincount(local, weight, minlength=len(blocks) * BLOCK)
+        places = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+        inside = places < self.count
+        return places[inside], sums[inside]
