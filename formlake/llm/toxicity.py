@@ -9,6 +9,7 @@ probabilities by a monotone fit to the examples' own votes, each without itself.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -26,7 +27,7 @@ from formlake.llm.segments import SegmentCache
 from formlake.llm.written import written
 
 TERMS = 4096  # at most
-EVIDENCE = 16.0  # log-likelihood ratio that a term needs
+EVIDENCE = 1.5  # log-likelihood ratio that a term needs, times the log of the terms looked at
 SUPPORT = 3  # toxic examples that a term needs
 NEIGHBOURS = 10
 MASS = 2.0  # weight of the words outside the vocabulary
@@ -51,7 +52,7 @@ class Terms:
 
     def __init__(self, vocabulary: list[str]):
         number = {term: i for i, term in enumerate(vocabulary)}
-        self.of_word = SegmentCache(lambda word: tuple(number[t] for t in word_terms(word) if t in number), limit=500_000)
+        self.of_word = SegmentCache(lambda word: tuple(number[t] for t in word_terms(word) if t in number), limit=200_000)
 
     def count(self, text: str) -> tuple[list[int], list[int], int]:
         words = _WORD.findall(text.lower())
@@ -151,7 +152,8 @@ def choose_vocabulary(sample: DataFrame) -> tuple[list[str], int, int]:
         + part(clean - F.col("clean"), (toxic + clean - both) * (1 - share))
     )
     chosen = counts.where("term != ''").where((F.col("toxic") >= SUPPORT) & (F.col("toxic") > both * share))
-    chosen = chosen.withColumn("ratio", ratio).where(F.col("ratio") >= EVIDENCE)
+    needed = EVIDENCE * math.log(max(2, counts.count()))
+    chosen = chosen.withColumn("ratio", ratio).where(F.col("ratio") >= needed)
     top = chosen.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()
     return sorted(r["term"] for r in top), toxic, clean
 
