@@ -24,7 +24,12 @@ def number_rows(df: DataFrame, *order: str, name: str = "row_position") -> DataF
     The sorted rows are checkpointed with their place inside the partition; one
     count per partition then gives each partition's offset.
     """
-    placed = materialise(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
+    return number_sorted(df.orderBy(*order), name)
+
+
+def number_sorted(df: DataFrame, name: str = "row_position") -> DataFrame:
+    """Number the rows of a table from 1 in the order it has."""
+    placed = materialise(df.withColumn("_place", F.monotonically_increasing_id()))
     partition = F.shiftright("_place", _ROW_BITS)
     counts = placed.groupBy(partition.alias("_part")).count().orderBy("_part").collect()
     before = [0, *accumulate(r["count"] for r in counts)]
@@ -84,11 +89,10 @@ def chunk_messages(status: DataFrame) -> DataFrame:
     """The log entry of each chunk, beside its status."""
     label = chunk_label(F.col("chunk"))
     done = F.concat(
-        F.lit("Chunk "), label, F.lit(" successfully transferred ("),
-        F.col("n_rows").cast("string"), F.lit(" rows)"),
+        F.lit("Chunk "), label, F.lit(": "), F.col("n_rows").cast("string"), F.lit(" rows"),
     )
     failed = F.concat(
-        F.lit("Error processing chunk "), label, F.lit(": "),
+        F.lit("Chunk "), label, F.lit(": failed, "),
         F.coalesce(F.col("error"), F.lit("unknown error")),
     )
     return status.select(
@@ -107,11 +111,13 @@ def failed_ids(chunks: DataFrame, status: DataFrame, record_id: str) -> DataFram
 def tallies(status: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Figures of a transfer, or of several told apart by the ``by`` columns."""
     ok, bad = F.col("status") == SUCCESS, F.col("status") == ERROR
+    timed = [F.sum("seconds").alias("seconds")] if "seconds" in status.columns else []
     return status.groupBy(*(by or [])).agg(
         F.count("*").alias("n_chunks"),
         F.count_if(ok).alias("successful_chunks"),
         F.count_if(bad).alias("failed_chunks"),
         F.coalesce(F.sum(F.when(ok, F.col("n_rows"))), F.lit(0)).cast("bigint").alias("rows"),
+        *timed,
     )
 
 
@@ -126,7 +132,7 @@ def outcome(figures: DataFrame) -> DataFrame:
     nothing = F.col("n_chunks") == 0
     return figures.withColumn("success", ~failed & ~nothing).withColumn(
         "message",
-        F.when(nothing, F.lit("No records returned"))
-        .when(failed, F.concat(F.lit("Transfer partially completed"), *parts))
+        F.when(nothing, F.lit("Transfer of nothing"))
+        .when(failed, F.concat(F.lit("Transfer incomplete"), *parts))
         .otherwise(F.concat(F.lit("Transfer completed"), *parts)),
     )

@@ -41,7 +41,7 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def with_config_row(dictionary: DataFrame, record_id: str) -> DataFrame:
-    """Append the row that stores the record ID column's name."""
+    """Append the row that stores the record ID column's name, in place of one already there."""
     row = {"field_name": CONFIG_FIELD, "field_type": CONFIG_TYPE, "field_label": record_id}
     config = (
         dictionary.sparkSession.range(1)
@@ -50,7 +50,8 @@ def with_config_row(dictionary: DataFrame, record_id: str) -> DataFrame:
             F.lit((1 << 62)).alias(POSITION),
         )
     )
-    return conform(dictionary).unionByName(config)
+    rest = conform(dictionary).filter(~F.col("field_name").eqNullSafe(CONFIG_FIELD))
+    return rest.unionByName(config)
 
 
 def first_entries(dictionary: DataFrame) -> DataFrame:

@@ -35,7 +35,6 @@ STATUS_PREFIX = "Complete? "
 
 # Longer code lists are joined instead of written into the plan as a map.
 LITERAL_CODES = 200
-COLUMNS_PER_PASS = 100
 
 _NUMERIC = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
@@ -192,20 +191,18 @@ def holds_code(column: Column, data_type: T.DataType, codes: list[str]) -> Colum
 
 
 def coded_columns(df: DataFrame, coded: dict[str, list[str]]) -> dict[str, bool]:
-    """For each column, whether any cell holds one of its codes; one pass for all columns."""
+    """For each column, whether any cell holds one of its codes; one scan at any width.
+
+    Cells are laid out as (column, holds) rows, which combine map-side into one per column.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     names = list(coded)
-    found: dict[str, bool] = {}
-    for start in range(0, len(names), COLUMNS_PER_PASS):
-        part = names[start : start + COLUMNS_PER_PASS]
-        row = df.agg(
-            *[
-                F.max(holds_code(F.col(f"`{n}`"), types[n], coded[n])).alias(f"g{i}")
-                for i, n in enumerate(part)
-            ]
-        ).first()
-        found.update({n: bool(row[f"g{i}"]) for i, n in enumerate(part)})
-    return found
+    if not names:
+        return {}
+    holds = F.array(*[holds_code(F.col(f"`{n}`"), types[n], coded[n]) for n in names])
+    cells = df.select(F.posexplode(holds).alias("at", "holds"))
+    found = cells.groupBy("at").agg(F.max("holds").alias("holds")).collect()
+    return dict.fromkeys(names, False) | {names[r["at"]]: bool(r["holds"]) for r in found}
 
 
 def as_character(column: Column, data_type: T.DataType) -> Column:
@@ -247,9 +244,18 @@ def decode_checkbox(column: Column, data_type: T.DataType, label: str) -> Column
 
 
 def decode_by_table(
-    df: DataFrame, column: str, codes: DataFrame, code: str = "code", label: str = "label"
+    df: DataFrame,
+    column: str,
+    codes: DataFrame,
+    code: str = "code",
+    label: str = "label",
+    order: str | None = None,
 ) -> DataFrame:
-    """Decode one column against a table of codes of any size (first label per code wins)."""
+    """Decode one column against a table of codes of any size.
+
+    Of several labels for a code the first wins, by the ``order`` column, or as the table
+    is read where there is none.
+    """
     data_type = df.schema[column].dataType
     metadata = df.schema[column].metadata
     numeric = isinstance(data_type, _NUMERIC) and isinstance(codes.schema[code].dataType, _NUMERIC)
@@ -258,10 +264,11 @@ def decode_by_table(
         codes.select(
             (F.col(code).cast("double") if numeric else F.col(code).cast("string")).alias("_code"),
             F.col(label).alias("_label"),
+            (F.col(order) if order else F.monotonically_increasing_id()).alias("_order"),
         )
         .filter("_code IS NOT NULL")
         .groupBy("_code")
-        .agg(F.min("_label").alias("_label"))
+        .agg(F.min_by("_label", "_order").alias("_label"))
     )
     cell = F.col(f"`{column}`")
     key = cell.cast("double") if numeric else as_character(cell, data_type)

@@ -19,12 +19,21 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Maps can't be hashed, wherever in a type they are."""
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
 def row_spread(df: DataFrame) -> Column:
     """A number that differs between rows, and between equal rows of different partitions.
 
     It does not depend on the order of rows, so a task that is run again gives the same.
     """
-    fields = [f for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    fields = [f for f in df.schema.fields if not _holds_map(f.dataType)]
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in fields], F.spark_partition_id())
 
 
@@ -50,16 +59,19 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
 
 
 def hot_keys(df: DataFrame, on: list[str], per_partition: int = 4) -> DataFrame:
-    """Keys holding more than 1/(4P) of the rows, P being the shuffle partitions.
+    """Keys holding more than 1/(4P) of the rows, P being the shuffle partitions, with ``_salts``.
 
-    By counting, fewer than 4P keys can do so, which bounds the result.
-    The count combines before its shuffle, so hot keys do not skew it.
+    By counting, fewer than 4P keys can do so, which bounds the result. The count combines
+    before its shuffle, so hot keys do not skew it, and only the hot ones are written. A
+    key gets as many salts as it has partitions' worth of rows, so that a salted task holds
+    about as much as any other; all salts together are fewer than 5P.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * per_partition
-    counts = materialise(df.groupBy(*on).agg(F.count("*").alias("_n")))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    return counts.filter(F.col("_n") > max(total / parts, 1)).select(*on)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = df.count()
+    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
+    hot = counts.filter(F.col("_n") > max(total / (parts * per_partition), 1))
+    salts = F.ceil(F.col("_n") * parts / F.lit(max(total, 1))).cast("int")
+    return materialise(hot.select(*on, salts.alias("_salts")))
 
 
 def attach(
@@ -67,7 +79,6 @@ def attach(
     keyed: DataFrame,
     on: list[str],
     how: str = "left",
-    salts: int = 32,
     rows: int = BROADCAST_ROWS,
     size: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -91,22 +102,21 @@ def attach(
         joined = df.join(F.broadcast(right), same(on, names), how)
         return joined.drop(*names)
 
-    hot = hot_keys(df, on).select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(on)])
-    hot = hot.withColumn("_is_hot", F.lit(True))
+    hot = hot_keys(df, on).select(
+        *[F.col(k).alias(f"_hot{i}") for i, k in enumerate(on)], "_salts"
+    )
     hot_names = [f"_hot{i}" for i in range(len(on))]
-    spread = F.pmod(row_spread(df), F.lit(salts)).cast("int")
+    salts = F.coalesce("_salts", F.lit(1))
+    # Fewer than 4P rows of keys.
     left = (
         df.join(F.broadcast(hot), same(on, hot_names), "left")
-        .withColumn("_salt", F.when(F.col("_is_hot"), spread).otherwise(F.lit(0)))
-        .drop("_is_hot", *hot_names)
-    )
-    copies = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        .withColumn("_salt", F.pmod(row_spread(df), salts).cast("int"))
+        .drop("_salts", *hot_names)
     )
     salted = (
         right.join(F.broadcast(hot), same(names, hot_names), "left")
-        .withColumn("_copy", F.explode(copies))
-        .drop("_is_hot", *hot_names)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop("_salts", *hot_names)
     )
     joined = left.join(salted, same(on, names) & (F.col("_salt") == F.col("_copy")), how)
     return joined.drop("_salt", "_copy", *names)

@@ -139,11 +139,11 @@ def _decide(
             else:
                 final, problem = "VARCHAR", "values beyond 32 bits"
     if problem:
-        level, message = "WARNING", f"Unable to optimize column {name} : {problem}"
+        level, message = "WARNING", f"Type of {name}: VARCHAR, because of {problem}"
     elif final == "VARCHAR":
-        level, message = "INFO", f"Column {name} kept as VARCHAR"
+        level, message = "INFO", f"Type of {name}: VARCHAR"
     else:
-        level, message = "INFO", f"Column {name} converted to {final}"
+        level, message = "INFO", f"Type of {name}: {final}"
     return ColumnType(position, name, classes, n_present, n_blank, candidate, final, level, message)
 
 
@@ -228,9 +228,35 @@ def narrow(df: DataFrame, **options) -> DataFrame:
     return apply_types(df, profile_types(df, **options))
 
 
+def plain_number(column: Column) -> Column:
+    """A floating-point number's text without an exponent: its digits and zeros up to the point."""
+    text = column.cast("string")
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", group)
+
+    digits = F.concat(part(2), F.regexp_replace(part(3), "0+$", ""))
+    power = part(4).cast("int")
+    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
+    rest = F.substring(digits, power + 2, F.length(digits))
+    large = F.concat(whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    plain = F.concat(part(1), F.when(power >= 0, large).otherwise(small))
+    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
+
+
 def as_text(df: DataFrame) -> DataFrame:
-    """Every column as text, as landed."""
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    """Every column as text, as landed; numbers without exponents, so that narrowing finds them."""
+    return df.select(
+        *[
+            (
+                plain_number(F.col(f"`{f.name}`"))
+                if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+                else F.col(f"`{f.name}`").cast("string")
+            ).alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
 
 
 def merge_counts(

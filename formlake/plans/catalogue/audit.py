@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from formlake.operators import audit as A
 from formlake.operators import journal as J
+from formlake.operators.chunks import number_sorted
+from formlake.operators.lookup import attach
 from formlake.plans.catalogue.projects import AUDIT_SQL, JOURNAL_SQL, audit_log, journal
 from formlake.plans.catalogue.registry import query
 
@@ -18,9 +22,24 @@ _STATUS_SQL = """
 """
 
 
-@query(f'SELECT "timestamp", type, message FROM ({JOURNAL_SQL}) ORDER BY "timestamp"')
+@query(f"""
+SELECT "timestamp", type, message, rank() OVER (ORDER BY "timestamp") AS time_rank FROM ({JOURNAL_SQL})
+""")
 def transfer_log_scan(spark, folder):
-    return J.in_time_order(journal(spark, folder))
+    """The log with the place of each time stamp in it, taken from the sorted log itself."""
+    placed = number_sorted(J.in_time_order(journal(spark, folder)))
+    first = placed.groupBy("timestamp").agg(F.min("row_position").alias("time_rank"))
+    return attach(placed.drop("row_position"), first, ["timestamp"])
+
+
+@query(f"""
+SELECT * FROM ({AUDIT_SQL})
+WHERE "timestamp" >= TIMESTAMP '2024-01-09' AND "timestamp" < TIMESTAMP '2024-01-16'
+""")
+def audit_log_default_range(spark, folder):
+    """The seven days up to a given today."""
+    begin, end = A.default_range(today=date(2024, 1, 15))
+    return A.audit_range(audit_log(spark, folder), begin, end)
 
 
 @query(f"SELECT user_id, {_STATUS_SQL} FROM ({JOURNAL_SQL}) GROUP BY user_id")

@@ -189,6 +189,34 @@ def lookup_shuffled(spark, folder):
     return attach(rows, suppliers, ["l_suppkey"], rows=0).drop("l_suppkey")
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, s_name FROM lineitem
+LEFT JOIN supplier ON CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_suppkey END = s_suppkey
+""")
+def lookup_hot_key(spark, folder):
+    """About half of the rows have one key; it gets salts by its share."""
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("key"), "s_name")
+    key = F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_suppkey")).alias("key")
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", key)
+    return attach(rows, suppliers, ["key"], rows=0).drop("key")
+
+
+@query("""
+SELECT o_orderkey, coalesce(first_label, CAST(o_custkey AS VARCHAR)) AS o_custkey
+FROM orders LEFT JOIN (
+  SELECT o_custkey AS code, arg_min(o_orderpriority, o_orderkey) AS first_label
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = code
+""")
+def decode_first_label(spark, folder):
+    """Codes with many labels: the first by the order column wins, not the least."""
+    orders = table(spark, folder, "orders")
+    codes = orders.filter("o_orderstatus = 'F'").select(
+        F.col("o_custkey").alias("code"), F.col("o_orderpriority").alias("label"), "o_orderkey"
+    )
+    cells = orders.select("o_orderkey", "o_custkey")
+    return L.decode_by_table(cells, "o_custkey", codes, order="o_orderkey")
+
+
 @query(f"""
 SELECT record_id, CASE WHEN flag___1 = 1 THEN 'Overdrawn' END AS flag___1,
        CASE WHEN flag___2 = 1 THEN 'High balance' END AS flag___2

@@ -8,6 +8,7 @@ from formlake.functions.text import elapsed_text
 from formlake.operators import columns as col_ops
 from formlake.operators import verbs
 from formlake.operators.audit import stamp_text
+from formlake.operators.chunks import number_sorted
 from formlake.operators.forms import split_forms, split_forms_labeled
 from formlake.operators.ids import restrict_to_ids
 from formlake.operators.narrowing import as_text, narrow
@@ -241,14 +242,16 @@ def group_mean(spark, folder):
 
 
 @query("""
-SELECT c_custkey, nullif(c_nationkey, 3) AS nation
-FROM customer ORDER BY nation DESC NULLS LAST, c_custkey
+SELECT c_custkey, nullif(c_nationkey, 3) AS nation,
+       row_number() OVER (ORDER BY nullif(c_nationkey, 3) DESC NULLS LAST, c_custkey) AS row_position
+FROM customer
 """)
 def arrange_nulls_last(spark, folder):
     rows = table(spark, folder, "customer").select(
         "c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("nation")
     )
-    return verbs.arrange(rows, "nation", "c_custkey", descending=[True, False])
+    # Positions are those of the sorted table, so they show its order.
+    return number_sorted(verbs.arrange(rows, "nation", "c_custkey", descending=[True, False]))
 
 
 @query(f"SELECT record_id, name, nation, segment, profile_complete FROM ({CUSTOMER_PROJECT_SQL})")
@@ -286,6 +289,20 @@ def instrument_split_labeled(spark, folder):
     return forms["finance_and_risk"]
 
 
+@query(f"""
+SELECT record_id, name, coalesce(n_name, CAST(nation AS VARCHAR)) AS nation,
+       CASE segment WHEN 'AUTOMOBILE' THEN 'Cars' WHEN 'BUILDING' THEN 'Construction, housing'
+         WHEN 'MACHINERY' THEN 'Machines' ELSE segment END AS segment,
+       CASE profile_complete WHEN 0 THEN 'Incomplete' WHEN 1 THEN 'Unverified'
+         ELSE 'Complete' END AS profile_complete
+FROM ({CUSTOMER_PROJECT_SQL}) LEFT JOIN nation ON nation = n_nationkey
+""")
+def instrument_split_labeled_profile(spark, folder):
+    """The other form; segments without a label keep their code."""
+    forms = split_forms_labeled(customer_project(spark, folder), customer_dictionary(spark, folder))
+    return forms["profile"]
+
+
 @query("""
 SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
 """)

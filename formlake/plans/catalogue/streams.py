@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from formlake.operators.narrowing import as_text
 from formlake.plans.catalogue.projects import AUDIT_SQL, audit_log
 from formlake.plans.catalogue.registry import query, table
+from formlake.project import Project
 from formlake.session import scratch_path
-from formlake.streaming.audit import stream_daily_counts, stream_distinct_entries
+from formlake.streaming.audit import land_daily_counts, land_distinct_entries, read_daily_counts
 from formlake.streaming.folder import land_available, stream_exports
 
 
@@ -40,20 +41,34 @@ def _audit_stream(spark, folder, copies: int):
     return spark.readStream.schema(log.schema).parquet(drop)
 
 
+def _log_project(spark) -> Project:
+    return Project(spark, root=scratch_path(spark, "project"))
+
+
 @query(f"SELECT DISTINCT * FROM ({AUDIT_SQL})")
 def stream_audit_dedup(spark, folder):
-    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
-    land_available(stream_distinct_entries(_audit_stream(spark, folder, 2)), landed, state)
-    return spark.read.parquet(landed)
+    project = _log_project(spark)
+    land_distinct_entries(_audit_stream(spark, folder, 2), project, scratch_path(spark, "state"))
+    return project.audit()
+
+
+@query(f"SELECT DISTINCT * FROM ({AUDIT_SQL})")
+def stream_audit_late_days(spark, folder):
+    """The newest days first, then the oldest, then all again; every entry once."""
+    log, drop, state = audit_log(spark, folder), scratch_path(spark, "drop"), scratch_path(spark, "state")
+    project, stamp = _log_project(spark), F.col("timestamp")
+    for part in (stamp >= "2024-01-20", stamp < "2024-01-04", F.lit(True)):
+        log.filter(part).write.mode("append").parquet(drop)
+        land_distinct_entries(spark.readStream.schema(log.schema).parquet(drop), project, state)
+    return project.audit()
 
 
 @query(f"""
-SELECT CAST("timestamp" AS DATE) AS day, count(*) AS n FROM ({AUDIT_SQL})
-GROUP BY 1 HAVING CAST("timestamp" AS DATE) + INTERVAL 1 DAY <=
-  (SELECT max("timestamp") - INTERVAL 1 DAY FROM ({AUDIT_SQL}))
+SELECT CAST("timestamp" AS DATE) AS day, count(*) AS n
+FROM (SELECT DISTINCT * FROM ({AUDIT_SQL})) GROUP BY 1
 """)
 def stream_audit_daily_counts(spark, folder):
-    """Counts of the days that no late entry can reach any more."""
-    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
-    land_available(stream_daily_counts(_audit_stream(spark, folder, 1)), landed, state)
-    return spark.read.parquet(landed)
+    """Counts of every day there is, the last ones like all others."""
+    project, state = _log_project(spark), scratch_path(spark, "state")
+    land_daily_counts(_audit_stream(spark, folder, 2), project, "daily_counts", state)
+    return read_daily_counts(project, "daily_counts")

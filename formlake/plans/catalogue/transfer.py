@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 
 from formlake.operators import chunks as C
 from formlake.operators import ids as I
+from formlake.operators.narrowing import as_text
 from formlake.plans.catalogue.projects import (
+    AUDIT_SQL,
     audit_log,
     customer_dictionary,
     customer_project,
     lineitem_dictionary,
 )
 from formlake.plans.catalogue.registry import query, table
-from formlake.plans.ingest import ingest
+from formlake.sources.file_answers import FileAnswers, write_answers, write_file
+from formlake.plans.ingest import TransferError, ingest
 from formlake.project import Project
 from formlake.session import scratch_path
-from formlake.sources.projects import TableSource
+from formlake.sources.projects import FolderSource, RequestSource, TableSource
 
 _CHUNKS_SQL = """
 SELECT o_orderkey, CAST(ceil(row_number() OVER (ORDER BY o_orderkey) / {size}.0) AS INTEGER) AS chunk
@@ -94,8 +97,8 @@ def chunk_assignment(spark, folder):
 @query(f"""
 SELECT chunk, n_ids, n_rows, status,
        CASE WHEN status = 'SUCCESS'
-         THEN 'Chunk ' || {_LABEL_SQL} || ' successfully transferred (' || CAST(n_rows AS VARCHAR) || ' rows)'
-         ELSE 'Error processing chunk ' || {_LABEL_SQL} || ': returned no data'
+         THEN 'Chunk ' || {_LABEL_SQL} || ': ' || CAST(n_rows AS VARCHAR) || ' rows'
+         ELSE 'Chunk ' || {_LABEL_SQL} || ': failed, returned no data'
        END AS message
 FROM ({_STATUS_SQL})
 """)
@@ -120,7 +123,7 @@ def failed_record_ids(spark, folder):
 
 @query(f"""
 SELECT n_chunks, successful_chunks, failed_chunks, rows, failed_chunks = 0 AS success,
-       CASE WHEN failed_chunks = 0 THEN 'Transfer completed' ELSE 'Transfer partially completed' END
+       CASE WHEN failed_chunks = 0 THEN 'Transfer completed' ELSE 'Transfer incomplete' END
        || ' with ' || CAST(successful_chunks AS VARCHAR) || ' of ' || CAST(n_chunks AS VARCHAR)
        || ' chunks successful, ' || CAST(failed_chunks AS VARCHAR) || ' failed' AS message
 FROM ({_TALLY_SQL})
@@ -171,19 +174,16 @@ WITH chunks AS (
     SELECT CAST(ceil(row_number() OVER (ORDER BY c_custkey) / 100.0) AS INTEGER) AS chunk
     FROM customer) GROUP BY chunk),
 figures AS (SELECT count(*) AS n, CAST(sum(n) AS VARCHAR) AS rows FROM chunks)
-SELECT 'SUCCESS' AS type, 'Chunk ' || {_LABEL_SQL} || ' successfully transferred ('
-       || CAST(n AS VARCHAR) || ' rows)' AS message FROM chunks
+SELECT 'SUCCESS' AS type, 'Chunk ' || {_LABEL_SQL} || ': ' || CAST(n AS VARCHAR) || ' rows' AS message
+FROM chunks
 UNION ALL
 SELECT 'INFO', unnest([
-  'Transfer started', 'Requesting metadata', 'Transferred metadata', 'Requesting record IDs',
-  'Received ' || rows || ' record IDs',
-  'Processing data in ' || CAST(n AS VARCHAR) || ' chunks of up to 100 record IDs each',
-  'Optimizing 9 columns', 'Column record_id converted to INTEGER',
-  'Column nation converted to INTEGER', 'Column balance converted to DOUBLE',
-  'Column flag___1 converted to INTEGER', 'Column flag___2 converted to INTEGER',
-  'Column profile_complete converted to INTEGER',
-  'Column finance_and_risk_complete converted to INTEGER',
-  'Successfully transferred ' || rows || ' rows of project data',
+  'Transfer started', 'Dictionary: asking the source', 'Dictionary: stored',
+  'Record IDs: asking the source', 'Record IDs: ' || rows || ' to load',
+  'Chunks: ' || CAST(n AS VARCHAR) || ' of at most 100 record IDs', 'Types: 9 columns profiled',
+  'Type of record_id: INTEGER', 'Type of nation: INTEGER', 'Type of balance: DOUBLE',
+  'Type of flag___1: INTEGER', 'Type of flag___2: INTEGER', 'Type of profile_complete: INTEGER',
+  'Type of finance_and_risk_complete: INTEGER', 'Records: ' || rows || ' rows in the table',
   'Transfer completed with ' || CAST(n AS VARCHAR) || ' of ' || CAST(n AS VARCHAR)
     || ' chunks successful, 0 failed'])
 FROM figures
@@ -197,3 +197,160 @@ def transfer_log_of_load(spark, folder):
     ingest(project, source, chunk_size=100)
     timeless = F.regexp_replace("message", "completed in .* with", "completed with")
     return project.log().select("type", timeless.alias("message"))
+
+
+_TYPED_LINEITEM = """
+SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey,
+       CAST(l_suppkey AS INTEGER) AS l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+       l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM lineitem
+"""
+
+
+@query(_TYPED_LINEITEM)
+def transfer_requests(spark, folder):
+    """Records asked for chunk by chunk; some chunks fail at first and are asked for again."""
+    root = scratch_path(spark, "requests")
+    answers = write_answers(table(spark, folder, "lineitem"), "l_orderkey", f"{root}/answers")
+    project = Project(spark, root=f"{root}/project", record_id="l_orderkey", audit_log=None)
+    size = max(50, table(spark, folder, "orders").count() // 60)
+    failing = RequestSource(spark, FileAnswers(answers, fail_every=7), "l_orderkey", parallel=4)
+    ingest(project, failing, chunk_size=size)
+    ingest(project, RequestSource(spark, FileAnswers(answers), "l_orderkey", parallel=4), chunk_size=size)
+    return project.records()
+
+
+def _customer_files(spark, folder, path: str, files: int = 6):
+    """Customers as CSV exports, some of each nation in every file."""
+    rows = as_text(table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey"))
+    parts = rows.repartitionById(files, F.pmod(F.col("c_custkey").cast("int"), F.lit(files)))
+    parts.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+
+
+@query("""
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey
+FROM customer UNION ALL SELECT CAST(min(c_custkey) AS INTEGER), 'late visit', NULL FROM customer
+""")
+def folder_load_isolated(spark, folder):
+    """One export file breaks half-way, is repaired, and holds more of a record that had landed."""
+    root = scratch_path(spark, "isolated")
+    _customer_files(spark, folder, f"{root}/export/records")
+    first = table(spark, folder, "customer").agg(F.min("c_custkey")).first()[0]
+    late = f'c_custkey,c_name,c_nationkey\n{first},late visit,\n'
+    for name, text in (("late", late + "1,2,3,4,5\n"), ("metadata", "field_name,form_name\nc_custkey,main\n")):
+        where = f"{root}/export/records/{name}.csv" if name == "late" else f"{root}/export/metadata.csv"
+        write_file(spark, where, text)
+    project = Project(spark, root=f"{root}/project", record_id="c_custkey", audit_log=None)
+    for text in (None, None, late):  # unreadable in the first two runs
+        if text:
+            write_file(spark, f"{root}/export/records/late.csv", text)
+        source = FolderSource(spark, f"{root}/export", "c_custkey")
+        result = ingest(project, source, chunk_size=200, refresh=True)
+        if bool(result) != bool(text):
+            raise AssertionError("a load with an unreadable file must not end in success")
+    return project.records()
+
+
+@query("SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS c_custkey FROM customer")
+def folder_record_ids(spark, folder):
+    """Record IDs of an export folder; only that column of its files is parsed."""
+    root = scratch_path(spark, "ids")
+    _customer_files(spark, folder, f"{root}/export/records")
+    write_file(spark, f"{root}/export/metadata.csv", "field_name,form_name\nc_custkey,main\n")
+    return FolderSource(spark, f"{root}/export", "c_custkey").counted_ids().select("c_custkey")
+
+
+@query(f"SELECT * FROM ({AUDIT_SQL})")
+def audit_refresh_keeps_days(spark, folder):
+    """The whole log is loaded, then two of its days again; the others stay."""
+    log = audit_log(spark, folder)
+    project = Project(spark, root=scratch_path(spark, "project"), record_id="c_custkey")
+    source = TableSource(table(spark, folder, "nation").selectExpr("n_nationkey AS c_custkey"), None, "c_custkey", audit=log)
+    for begin, end in ((date(2024, 1, 1), date(2024, 1, 31)), (date(2024, 1, 5), date(2024, 1, 6))):
+        ingest(project, source, audit_begin=begin, audit_end=end, refresh=True)
+    return project.audit()
+
+
+@query("""
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_totalprice * 1000000 AS large, o_totalprice / 1e9 AS small
+FROM orders
+""")
+def type_optimize_number_range(spark, folder):
+    """Very large and very small numbers land as text and come back as the same doubles."""
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "o_totalprice * 1000000 AS large", "o_totalprice / 1e9D AS small"
+    )
+    project = Project(spark, root=scratch_path(spark, "project"), record_id="o_orderkey", audit_log=None)
+    ingest(project, TableSource(orders, None, "o_orderkey"))
+    return project.records()
+
+
+@query("""
+SELECT 'big' AS column_name, 'bigint' AS type, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders
+UNION ALL SELECT 'o_orderkey', 'int', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
+""")
+def resume_with_options(spark, folder):
+    """A resumed load with another option rewrites the columns whose type it decides anew."""
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey", "o_orderkey + 3000000000 AS big")
+    project = Project(spark, root=scratch_path(spark, "project"), record_id="o_orderkey", audit_log=None)
+    ingest(project, TableSource(orders, None, "o_orderkey"))
+    ingest(project, TableSource(orders, None, "o_orderkey"), refresh=True, overflow="bigint")
+    records = project.records()
+    types = dict(records.dtypes)
+    parts = [
+        records.agg(
+            F.lit(c).alias("column_name"), F.lit(types[c]).alias("type"), F.count("*").alias("n"),
+            (F.sum(c) - F.lit(shift) * F.count("*")).cast("bigint").alias("total"),
+        )
+        for c, shift in (("big", 3_000_000_000), ("o_orderkey", 0))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""
+SELECT field_name, form_name, field_label FROM (VALUES
+  ('l_orderkey', 'x', 'x')) AS t(field_name, form_name, field_label) WHERE false
+UNION ALL SELECT '__record_id_name__', NULL, 'record_id'
+UNION ALL SELECT * FROM (VALUES ('record_id', 'profile', 'Customer number'), ('name', 'profile', 'Name'),
+  ('nation', 'profile', 'Home nation'), ('segment', 'profile', 'Market segment'),
+  ('balance', 'finance_and_risk', 'Balance'), ('flag', 'finance_and_risk', 'Flags'))
+""")
+def metadata_of_load(spark, folder):
+    """The stored dictionary of a load, loaded twice and there once."""
+    project = Project(spark, root=scratch_path(spark, "project"), audit_log=None)
+    source = TableSource(customer_project(spark, folder), customer_dictionary(spark, folder), "record_id")
+    ingest(project, source)
+    ingest(project, source, refresh=True)
+    return project.metadata_table().select("field_name", "form_name", "field_label")
+
+
+@query("""
+SELECT true AS success, CAST(ceil(count(*) / 100.0) AS BIGINT) AS n_chunks, CAST(0 AS BIGINT) AS failed_chunks,
+       count(*) AS n_rows, CAST(0 AS BIGINT) AS errors, true AS again
+FROM customer
+""")
+def transfer_result(spark, folder):
+    """What a load returns, and a second one at once."""
+    project = Project(spark, root=scratch_path(spark, "project"), audit_log=None)
+    source = TableSource(customer_project(spark, folder), customer_dictionary(spark, folder), "record_id")
+    result = ingest(project, source, chunk_size=100)
+    again = ingest(project, source, chunk_size=100)
+    return project.log().agg(
+        F.lit(bool(result)).alias("success"), F.lit(result.n_chunks).cast("bigint").alias("n_chunks"),
+        F.lit(result.failed_chunks).cast("bigint").alias("failed_chunks"),
+        F.lit(result.rows).cast("bigint").alias("n_rows"),
+        F.count_if(F.col("type") == "ERROR").alias("errors"), F.lit(bool(again)).alias("again"),
+    )
+
+
+@query("SELECT 0 AS failed, count(*) AS entries FROM lineitem WHERE false")
+def transfer_of_nothing(spark, folder):
+    """A source without records: the load ends in an error and leaves no table."""
+    project = Project(spark, root=scratch_path(spark, "project"), record_id="l_orderkey", audit_log=None)
+    failed = 1
+    try:
+        ingest(project, TableSource(table(spark, folder, "lineitem").limit(0), None, "l_orderkey"))
+    except TransferError:
+        failed = int(project.exists(project.data))
+    entries = F.count_if(F.col("type") == "SUCCESS").alias("entries")
+    return project.log().agg(F.lit(failed).alias("failed"), entries)

@@ -1,12 +1,14 @@
 """Resumable, chunked, failure-isolating load of a project.
 
 Rows land as text in a raw table, one partition per run, beside the status rows of
-failed and finished chunks. What has landed is read back from that table alone, so
-a job that dies at any point is picked up by the next run.
+failed and finished chunks or files. Chunks land in waves, each a Spark job of its own:
+a wave that dies takes none of the others with it. What has landed is read back from the
+raw table alone, so the next run asks only for what is missing.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass
 from datetime import date
@@ -17,9 +19,9 @@ from pyspark.sql import types as T
 
 from formlake.functions.text import elapsed_string, stamp_literal
 from formlake.operators import chunks as C
-from formlake.operators.audit import conform_audit, default_range
+from formlake.operators.audit import conform_audit, daily_counts, default_range
 from formlake.operators.dictionary import with_config_row
-from formlake.operators.ids import distinct_ids, pending_ids
+from formlake.operators.ids import pending_ids
 from formlake.operators.journal import (
     COMPLETED,
     STARTED,
@@ -30,14 +32,15 @@ from formlake.operators.journal import (
 )
 from formlake.operators.lookup import attach
 from formlake.operators.narrowing import (
+    SPARK_TYPE,
     apply_types,
     class_counts,
     decide_types,
     merge_counts,
 )
 from formlake.project import RUN, Project
-from formlake.session import materialise, spread_if_few
-from formlake.sources.requests import CONTROL, ERROR, EXTRA, KEY, STATUS
+from formlake.session import materialise
+from formlake.sources.requests import CONTROL, ERROR, EXTRA, KEY, ROWS, SECONDS, STATUS
 
 _COUNTS = T.StructType(
     [
@@ -110,91 +113,120 @@ def _extra_columns(raw: DataFrame) -> list[str]:
 
 def _load_dictionary(project: Project, source, journal: Journal, refresh: bool) -> None:
     if not refresh and project.is_filled(project.metadata):
-        journal.add(C.INFO, "Metadata already exists in database")
+        journal.add(C.INFO, "Dictionary: kept, stored by an earlier run")
         return
-    journal.add(C.INFO, "Requesting metadata")
+    journal.add(C.INFO, "Dictionary: asking the source")
     try:
         dictionary = source.dictionary()
+        if dictionary is not None:
+            dictionary = materialise(dictionary)  # one answer, read more than once
         if dictionary is None or dictionary.isEmpty():
-            raise ValueError("No metadata returned")
+            raise ValueError("the source gave none")
         project.write(with_config_row(dictionary, source.record_id), project.metadata, "overwrite")
-        journal.add(C.INFO, "Transferred metadata")
+        journal.add(C.INFO, "Dictionary: stored")
     except Exception as e:  # a load without a dictionary is still a load
-        journal.add(C.WARNING, f"Failed to fetch metadata: {_brief(e)}")
+        journal.add(C.WARNING, f"Dictionary: not available, {_brief(e)}")
 
 
 def _load_audit(
     project: Project, source, journal: Journal, begin: date, end: date, refresh: bool
 ) -> None:
+    """Store the entries of a range of days; other days stay as they are."""
     if project.audit_log is None:
         return
     if not refresh and project.is_filled(project.audit_log):
-        journal.add(C.INFO, "Audit log already exists in database")
+        journal.add(C.INFO, "Audit log: kept, stored by an earlier run")
         return
-    journal.add(C.INFO, "Requesting logs")
+    journal.add(C.INFO, "Audit log: asking the source")
     try:
         entries = source.audit_log(begin, end)
         if entries is None:
-            journal.add(C.INFO, "No logs returned")
+            journal.add(C.INFO, "Audit log: the source keeps none")
             return
         problems = None
         if STATUS in entries.columns:
             entries = materialise(entries)
-            problems = entries.filter(F.col(STATUS) == C.ERROR)
-            failed_days = problems.select(F.col(KEY))
-            entries = entries.filter(F.col(STATUS).isNull()).join(
-                F.broadcast(failed_days), KEY, "left_anti"  # one row per day asked for
+            problems = materialise(entries.filter(F.col(STATUS) == C.ERROR).select(KEY, ERROR))
+            entries = attach(
+                entries.filter(F.col(STATUS).isNull()), problems.select(KEY), [KEY], "left_anti"
+            )
+        dated = conform_audit(entries).withColumn("day", F.col("timestamp").cast("date"))
+        dated = materialise(dated)
+        project.replace_partitions(dated, project.audit_log, "day")
+        stamp = stamp_literal(now()).alias("timestamp")
+        journal.add_many(
+            daily_counts(dated).select(
+                stamp,
+                F.lit(C.INFO).alias("type"),
+                F.format_string("Audit log: %d entries of %s", "n", F.col("day").cast("string")).alias("message"),
             )
-        entries = conform_audit(entries)
-        project.write(
-            entries.withColumn("day", F.col("timestamp").cast("date")),
-            project.audit_log,
-            "overwrite" if refresh else "append",
-            "day",
         )
-        n = project.audit().count()
-        journal.add(C.INFO, f"Transferred {n} log entries from {begin} to {end}")
+        journal.add(C.INFO, f"Audit log: {dated.count()} entries from {begin} to {end} stored")
         if problems is not None:
             journal.add_many(
                 problems.select(
-                    stamp_literal(now()).alias("timestamp"),
+                    stamp,
                     F.lit(C.WARNING).alias("type"),
-                    F.concat(
-                        F.lit("Failed to fetch logs for "), F.col(KEY), F.lit(": "), F.col(ERROR)
-                    ).alias("message"),
+                    F.concat(F.lit("Audit log: "), F.col(KEY), F.lit(" is missing, "), F.col(ERROR)).alias("message"),
                 )
             )
     except Exception as e:
-        journal.add(C.WARNING, f"Failed to fetch logs: {_brief(e)}")
+        journal.add(C.WARNING, f"Audit log: not available, {_brief(e)}")
 
 
 def _brief(e: Exception) -> str:
     """The telling line of an error: for an error in a Python worker, the last one."""
-    lines = [line.strip() for line in str(e).splitlines() if line.strip()]
+    text, cause = str(e), getattr(e, "java_exception", None)
+    while cause is not None:  # what began it says more than the job that ended with it
+        text, cause = cause.getMessage() or text, cause.getCause()
+    lines = [line.strip() for line in text.splitlines() if line.strip()]
     if not lines:
         return type(e).__name__
-    return (lines[-1] if "Python worker" in lines[0] else lines[0])[:500]
+    line = lines[-1] if "Python worker" in lines[0] else lines[0]
+    return re.sub(r"^\[USER_RAISED_EXCEPTION\] | SQLSTATE: \w+$", "", line)
 
 
 def _chunk_status(project: Project, source, chunks: DataFrame, run: str) -> DataFrame:
     """Status of this run's chunks, from what the raw table holds."""
-    raw = project.read(project.raw).filter(F.col(RUN) == run)
+    arrived = project.exists(project.raw)
     if not source.reports_status:
-        return C.delivered_status(raw, chunks, source.record_id)
-    reported = raw.filter(F.col(STATUS).isNotNull()).select(
-        F.col(KEY).cast("int").alias("chunk"),
-        F.col("_rows").alias("n_rows"),
-        F.col(STATUS).alias("status"),
-        F.col(ERROR).alias("error"),
-    )
+        rows = landed(project, [run]) if arrived else chunks.select(source.record_id).limit(0)
+        return C.delivered_status(rows, chunks, source.record_id)
     sizes = chunks.groupBy("chunk").agg(F.count("*").alias("n_ids"))
+    if not arrived:
+        reported = project.spark.createDataFrame(
+            [], "chunk int, n_rows bigint, status string, error string, seconds double"
+        )
+    else:
+        raw = project.read(project.raw).filter(F.col(RUN) == run)
+        reported = raw.filter(F.col(STATUS).isNotNull()).select(
+            F.col(KEY).cast("int").alias("chunk"),
+            F.col(ROWS).alias("n_rows"),
+            F.col(STATUS).alias("status"),
+            F.col(ERROR).alias("error"),
+            F.col(SECONDS).alias("seconds"),
+        )
     return (
         sizes.join(reported, "chunk", "left")
         .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+        .withColumn("error", F.when(F.col("status").isNull(), "its wave failed").otherwise(F.col("error")))
         .withColumn("status", F.coalesce("status", F.lit(C.ERROR)))
     )
 
 
+def _file_faults(project: Project, source, run: str) -> DataFrame | None:
+    """Messages about files of this run that could not be read; their rows count as not landed."""
+    if source.reports_status or not project.exists(project.raw):
+        return None
+    raw = project.read(project.raw)
+    if ERROR not in raw.columns:
+        return None
+    bad = raw.filter((F.col(RUN) == run) & (F.col(STATUS) == C.ERROR))
+    return bad.select(
+        F.concat(F.lit("Unable to read "), F.col(KEY), F.lit(": "), F.col(ERROR)).alias("message")
+    )
+
+
 def _runs(project: Project, table: str) -> set[str]:
     if not project.exists(table):
         return set()
@@ -222,21 +254,22 @@ def publish_typed(project: Project, journal: Journal, **options) -> int:
         )
     counts = merge_counts(project.read(project.type_counts).filter("position >= 0"))
     profile = decide_types(counts, **options)
-    journal.add(C.INFO, f"Optimizing {len(profile)} columns")
+    journal.add(C.INFO, f"Types: {len(profile)} columns profiled")
     for p in profile:
         if p.final_type != "VARCHAR" or p.level == C.WARNING:
             journal.add(p.level, p.message)
 
     published = _runs(project, project.data)
     missing = sorted(arrived - published)
-    if published and missing:
-        fresh = apply_types(landed(project, missing), profile)
-        known = {f.name: f.dataType for f in project.read(project.data).schema.fields}
-        if all(known.get(f.name) == f.dataType for f in fresh.schema.fields):
-            project.write(fresh, project.data, "append", RUN)
-            missing = []
-    if missing or not published:
-        project.write(apply_types(landed(project), profile), project.data, "overwrite", RUN)
+    decided = {p.column_name: SPARK_TYPE.get(p.final_type, "string") for p in profile}
+    if published:
+        known = {f.name: f.dataType.simpleString() for f in project.read(project.data).schema.fields}
+        # New columns are null in the rows of earlier runs; only a new type rewrites those.
+        if all(known.get(n, t) == t for n, t in decided.items()):
+            if missing:
+                project.write(apply_types(landed(project, missing), profile), project.data, "append", RUN)
+            return project.read(project.data).count()
+    project.write(apply_types(landed(project), profile), project.data, "overwrite", RUN)
     return project.read(project.data).count()
 
 
@@ -256,8 +289,23 @@ def ingest(
     records even after a complete load. ``scope="last_run"`` judges completeness by
     the latest run's log entries instead of the whole log.
     """
-    spark, started = project.spark, time.monotonic()
-    journal = Journal(spark, project.journal_sink())
+    journal = Journal(project.spark, project.journal_sink())
+    try:
+        return _ingest(
+            project, source, journal, chunk_size, audit_begin, audit_end, refresh, scope, typing_options
+        )
+    except TransferError:
+        raise
+    except Exception as e:
+        journal.add(C.ERROR, f"Transfer broken off: {_brief(e)}")
+        journal.flush()
+        raise
+
+
+def _ingest(
+    project, source, journal, chunk_size, audit_begin, audit_end, refresh, scope, typing_options
+) -> TransferResult:
+    started = time.monotonic()
 
     def elapsed() -> float:
         return time.monotonic() - started
@@ -269,90 +317,122 @@ def ingest(
         if state["status"] == "complete" and not refresh:
             return TransferResult(True)
         if state["status"] == "resume_with_errors":
-            journal.add(C.WARNING, "Resuming from incomplete transfer with errors")
+            journal.add(C.WARNING, "Going on with a transfer that had errors")
         else:
-            journal.add(C.INFO, "Resuming from incomplete transfer")
+            journal.add(C.INFO, "Going on with an unfinished transfer")
 
     journal.add(C.INFO, STARTED)
     _load_dictionary(project, source, journal, refresh)
     first, last = default_range()
     _load_audit(project, source, journal, audit_begin or first, audit_end or last, refresh)
-    journal.add(C.INFO, "Requesting record IDs")
+    journal.add(C.INFO, "Record IDs: asking the source")
     record_id = source.record_id
+    done = _done_files(project) if has_raw and not source.reports_status else None
     try:
-        ids = materialise(distinct_ids(source.record_ids(), record_id))
+        counted = materialise(source.counted_ids(done))
+        ids = counted.filter(F.col(record_id).isNotNull())
         if ids.isEmpty():
-            raise TransferError("No records or fields returned")
+            raise TransferError("the source gave no records")
     except Exception as e:
-        journal.add(C.ERROR, f"Failed to fetch record IDs: {_brief(e)}")
+        journal.add(C.ERROR, f"Record IDs: not available, {_brief(e)}")
         journal.flush()
         raise TransferError(f"unable to fetch record IDs: {_brief(e)}") from e
-
-    pending = pending_ids(ids, landed(project), record_id) if has_raw else ids
-    chunked = C.assign_chunks(pending, record_id, chunk_size, already_distinct=True)
+    nameless = counted.filter(F.col(record_id).isNull()).select("n_rows").first()
+    if nameless:
+        journal.add(C.WARNING, f"Record IDs: {nameless[0]} rows without one are left out")
+
+    pending = unlanded = ids.select(record_id)
+    if has_raw:
+        pending = unlanded = materialise(pending_ids(ids, landed(project), record_id))
+        if done is not None:  # a file that never landed may hold more rows of a landed record
+            pending = pending.union(ids.filter("in_new_file").select(record_id)).distinct()
+    chunked = C.assign_chunks(materialise(pending), record_id, chunk_size, already_distinct=True)
     figures = chunked.agg(F.count("*").alias("ids"), F.max("chunk").alias("chunks")).first()
     if figures["ids"] == 0:
-        journal.add(C.INFO, "All record IDs have been processed")
-        journal.add(C.INFO, "No new records to process")
+        journal.add(C.INFO, "Record IDs: none to load")
         rows = publish_typed(project, journal, **typing_options)
-        journal.add(C.INFO, f"{COMPLETED} {elapsed_string(elapsed())}")
-        journal.flush()
-        return TransferResult(True, rows=rows, time_s=round(elapsed()))
+        n_faults = _log_faults(journal, source.faults())
+        _close(journal, n_faults == 0, 0, n_faults, elapsed_string(elapsed()))
+        return TransferResult(n_faults == 0, rows=rows, time_s=round(elapsed()))
 
-    journal.add(C.INFO, f"Received {figures['ids']} record IDs")
-    journal.add(
-        C.INFO,
-        f"Processing data in {figures['chunks']} chunks of up to {chunk_size} record IDs each",
-    )
+    known = f" of {ids.count()}" if has_raw else ""
+    journal.add(C.INFO, f"Record IDs: {figures['ids']}{known} to load")
+    journal.add(C.INFO, f"Chunks: {figures['chunks']} of at most {chunk_size} record IDs")
     journal.flush()
 
     run = now().strftime("%Y%m%dT%H%M%S%f")
-    rows = source.fetch(chunked, everything=not has_raw)
-    if not source.reports_status:
-        rows = spread_if_few(rows)
-    project.write(rows.withColumn(RUN, F.lit(run)), project.raw, "append", RUN)
+    wave = source.wave_chunks or figures["chunks"]
+    for low in range(1, figures["chunks"] + 1, wave):
+        part = chunked.filter(F.col("chunk").between(low, low + wave - 1))
+        try:
+            rows = source.fetch(part if wave < figures["chunks"] else chunked, not has_raw, done, unlanded)
+            project.write(rows.withColumn(RUN, F.lit(run)), project.raw, "append", RUN)
+        except Exception as e:  # the other waves still land
+            upto = min(low + wave - 1, figures["chunks"])
+            journal.add(C.ERROR, f"Chunks {low} to {upto}: lost with their job, {_brief(e)}")
+            journal.flush()
 
     status = materialise(_chunk_status(project, source, chunked, run))
     project.write(status.withColumn(RUN, F.lit(run)), project.chunk_status, "append", RUN)
     journal.add_many(
         C.chunk_messages(status).withColumn("timestamp", stamp_literal(now()))
     )
-    return _finish(project, source, journal, chunked, status, elapsed, typing_options)
+    return _finish(project, source, journal, chunked, status, run, elapsed, typing_options)
 
 
-def _finish(project, source, journal, chunked, status, elapsed, typing_options) -> TransferResult:
-    closing = C.outcome(C.tallies(status)).first()
-    faults = source.faults()
-    n_faults = 0
-    if faults is not None:
-        faults = materialise(faults)
-        n_faults = faults.count()
-        journal.add_many(
-            faults.select(
-                stamp_literal(now()).alias("timestamp"), F.lit(C.ERROR).alias("type"), "message"
-            )
+def _done_files(project: Project) -> DataFrame | None:
+    """Files that landed whole in some run; None where the raw table has no files."""
+    raw = project.read(project.raw)
+    if ERROR not in raw.columns:
+        return None
+    return materialise(raw.filter(F.col(STATUS) == C.SUCCESS).select(KEY).distinct())
+
+
+def _log_faults(journal: Journal, faults: DataFrame | None) -> int:
+    if faults is None:
+        return 0
+    faults = materialise(faults)
+    journal.add_many(
+        faults.select(
+            stamp_literal(now()).alias("timestamp"), F.lit(C.ERROR).alias("type"), "message"
         )
+    )
+    return faults.count()
+
+
+def _close(journal: Journal, success: bool, failed: int, n_faults: int, detail: str) -> None:
+    if success:
+        journal.add(C.INFO, f"{COMPLETED} {detail}")
+    else:
+        journal.add(C.ERROR, f"Faults: {failed} chunks, {n_faults} source files")
+        journal.add(C.WARNING, f"Transfer incomplete after {detail}")
+    journal.flush()
+
+
+def _finish(
+    project, source, journal, chunked, status, run, elapsed, typing_options
+) -> TransferResult:
+    closing = C.outcome(C.tallies(status)).first()
+    n_faults = _log_faults(journal, _file_faults(project, source, run))
     failed = closing["failed_chunks"]
     if failed:
         lost = C.failed_ids(chunked, status, source.record_id).count()
-        journal.add(C.INFO, f"Identified {lost} record IDs in {failed} failed chunks")
+        journal.add(C.INFO, f"Record IDs: {lost} in failed chunks")
 
     total = 0
     if failed < closing["n_chunks"] or project.exists(project.data):
         total = publish_typed(project, journal, **typing_options)
-        journal.add(C.INFO, f"Successfully transferred {total} rows of project data")
+        journal.add(C.INFO, f"Records: {total} rows in the table")
 
     detail = (
         f"{elapsed_string(elapsed())} with {closing['successful_chunks']} of "
         f"{closing['n_chunks']} chunks successful, {failed} failed"
     )
+    if source.reports_status:
+        asked = status.agg(F.sum("seconds")).first()[0] or 0.0
+        detail += f", {elapsed_string(asked)} of requests"
     success = closing["success"] and n_faults == 0
-    if success:
-        journal.add(C.INFO, f"{COMPLETED} {detail}")
-    else:
-        journal.add(C.ERROR, f"Errors occurred in {failed} chunks and {n_faults} source files")
-        journal.add(C.WARNING, f"Transfer partially completed in {detail}")
-    journal.flush()
+    _close(journal, success, failed, n_faults, detail)
     return TransferResult(
         success, closing["n_chunks"], failed, total, round(elapsed()), status
     )

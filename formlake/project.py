@@ -48,8 +48,10 @@ class Project:
             return self.spark.catalog.tableExists(self._place(table))
         try:
             self.spark.read.parquet(self._place(table))
-        except AnalysisException:
-            return False
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
         return True
 
     def read(self, table: str) -> DataFrame:
@@ -74,6 +76,18 @@ class Project:
                 return
             writer.format("parquet").saveAsTable(self._place(table))
 
+    def replace_partitions(self, df: DataFrame, table: str, partition_by: str) -> None:
+        """Write ``df`` over the partitions it has rows for; all others stay."""
+        if not self.exists(table):
+            self.write(df, table, "append", partition_by)
+        elif self.database is None:
+            writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(partition_by).parquet(self._place(table))
+        else:
+            known = self.read(table)
+            writer = df.select(*known.columns).write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").insertInto(self._place(table))
+
     def _align_catalog(self, df: DataFrame, table: str) -> None:
         """Add columns that a later load brings to a catalog table."""
         known = set(self.read(table).columns)

@@ -9,41 +9,70 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _own_folder: dict[str, str] = {}  # by application, for local sessions without the setting
+_cleared: set[str] = set()  # folders that go when the driver's JVM ends
+
+
+def _is_local(spark: SparkSession) -> bool:
+    """One process; ``local-cluster`` is not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def _named_folder(spark: SparkSession) -> str | None:
     return spark.conf.get(_SETTING, None) or _own_folder.get(spark.sparkContext.applicationId)
 
 
+def _clear_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the folder made, and removed with all it holds when the driver's JVM ends."""
+    if folder in _cleared:
+        return
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    _cleared.add(folder)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a folder of its own;
-    on a cluster a machine-local folder would be lost with its machine.
+    A checkpoint folder set in another way is used too. Only a local-mode session without
+    either gets a folder of its own; on a cluster a machine-local folder would be lost with
+    its machine. Spark's checkpoints are removed when the session's JVM ends.
     """
     named = _named_folder(spark)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark):
+            already = getattr(spark.sparkContext, "getCheckpointDir", lambda: None)()
+            if already:
+                return already
             raise RuntimeError(f"set {_SETTING} to a folder all executors share")
         named = tempfile.mkdtemp(prefix="formlake-")
         _own_folder[spark.sparkContext.applicationId] = named
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
+        _clear_at_exit(spark, spark.sparkContext.getCheckpointDir())
     return named
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/formlake/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table, removed when the session's JVM ends.
+
+    Lazy results may read it until then.
+    """
+    mine = f"{shared_dir(spark).rstrip('/')}/formlake/{spark.sparkContext.applicationId}"
+    _clear_at_exit(spark, mine)
+    return f"{mine}/{name}-{uuid.uuid4().hex}"
 
 
 def spread_if_few(df: DataFrame) -> DataFrame:
-    """Use every core on input that arrives in few partitions, such as one large file.
+    """Use every core on input that arrives in few files.
 
-    Input of many partitions is left as it is, so nothing shuffles at scale.
+    Only the file list is looked at, so no part of the plan runs for it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def materialise(df: DataFrame) -> DataFrame:

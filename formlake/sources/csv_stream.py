@@ -13,7 +13,6 @@ import pyarrow.csv as pacsv
 
 # Fixed value: the text that means a missing cell, besides an empty one.
 MISSING_TEXT = "NA"
-_HEADER_LIMIT = 1 << 20
 
 
 class _Ahead(io.RawIOBase):
@@ -23,14 +22,18 @@ class _Ahead(io.RawIOBase):
         self._stream, self._head = stream, b""
 
     def look(self) -> bytes:
-        """Bytes up to the end of the first CSV record."""
-        while len(self._head) < _HEADER_LIMIT:
-            if b"\n" in self._head and self._head.count(b'"') % 2 == 0:
+        """Bytes up to the end of the first CSV record, however long it is."""
+        read, quoted, size = [self._head], False, 4096
+        while more := self._stream.read(size):
+            read.append(more)
+            ended = False
+            for i, part in enumerate(more.split(b'"')):
+                quoted ^= i > 0
+                ended = ended or (not quoted and b"\n" in part)
+            if ended:
                 break
-            more = self._stream.read(4096)
-            if not more:
-                break
-            self._head += more
+            size = min(2 * size, 1 << 20)
+        self._head = b"".join(read)
         return self._head
 
     def readable(self) -> bool:
@@ -68,12 +71,14 @@ def csv_batches(
     Memory is bounded by the block, not by the stream.
     """
     ahead = _Ahead(stream)
-    names = _header(ahead.look())
+    head = ahead.look()
+    names = _header(head)
     if not names:
         return
     include = None if columns is None else [c for c in columns if c in names]
     if include == []:
         include = names[:1]
+    block_bytes = max(block_bytes, 2 * len(head))  # the header must fit in a block
     reader = pacsv.open_csv(
         io.BufferedReader(ahead, block_bytes),
         read_options=pacsv.ReadOptions(block_size=block_bytes, use_threads=False),

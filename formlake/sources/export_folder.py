@@ -17,10 +17,14 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
     EqualTo,
+    GreaterThan,
+    GreaterThanOrEqual,
     In,
     InputPartition,
     IsNotNull,
     IsNull,
+    LessThan,
+    LessThanOrEqual,
 )
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -29,6 +33,12 @@ from formlake.sources.csv_stream import align, csv_batches, read_header
 FORMAT = "project_export"
 FILE, STATUS, ERROR, ROWS = "_file", "_status", "_error", "_rows"
 _SUFFIX = ".csv"
+_RANGES = {
+    GreaterThan: pc.greater,
+    GreaterThanOrEqual: pc.greater_equal,
+    LessThan: pc.less,
+    LessThanOrEqual: pc.less_equal,
+}
 _PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
@@ -140,6 +150,8 @@ class ExportFolderReader(DataSourceReader):
                 mask = pc.is_null(cells)
             elif isinstance(f, IsNotNull):
                 mask = pc.is_valid(cells)
+            elif type(f) in _RANGES:  # both sides compare text by its bytes
+                mask = pc.fill_null(_RANGES[type(f)](cells, pa.scalar(f.value, pa.string())), False)
             else:
                 values = list(f.value) if isinstance(f, In) else [f.value]
                 mask = pc.is_in(cells, value_set=pa.array(values, pa.string()))
@@ -153,7 +165,7 @@ class ExportFolderReader(DataSourceReader):
             rows = 0
             try:
                 with store.open_input_stream(path) as stream:
-                    for batch in csv_batches(stream):
+                    for batch in csv_batches(stream, self._columns):
                         batch = self._kept(batch)
                         rows += batch.num_rows
                         if batch.num_rows:
@@ -199,7 +211,7 @@ class FilteringReader(ExportFolderReader):
         for f in filters:
             attribute = getattr(f, "attribute", ())
             known = not self._isolate and len(attribute) == 1 and attribute[0] in self._columns
-            if known and isinstance(f, (EqualTo, In, IsNotNull, IsNull)):
+            if known and isinstance(f, (EqualTo, In, IsNotNull, IsNull, *_RANGES)):
                 self._tests.append(f)
             else:
                 yield f

@@ -107,7 +107,7 @@ def run_requests(
                     row[KEY], dict(row["params"]), transport, columns, empty_is_error
                 )
 
-    spread = requests.select(KEY, "params").repartition(parallel, KEY)
+    spread = requests.select(KEY, "params").repartition(parallel)  # evenly, one task each
     return spread.mapInArrow(answer, fetched_schema(columns))
 
 

@@ -1,47 +1,83 @@
-"""The audit log as a stream: entries without duplicates, and daily counts."""
+"""The audit log as a stream: every entry once, and daily counts, however late entries come.
+
+Both keep their state in the landed table itself, by day: a batch reads only the days that
+it brings entries for. A watermark would drop what is older than it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from formlake.operators.audit import AUDIT_COLUMNS, daily_counts
+from formlake.operators.lookup import attach
+from formlake.project import Project
+from formlake.session import materialise
+
+DAY = "day"
+_ENTRY = "_entry"
 
-from formlake.operators.audit import AUDIT_COLUMNS
 
-LATENESS = "1 day"
-_EVENT = "_event_time"
-_DAY_MICROS = 86_400_000_000
+def _marked(entries: DataFrame) -> DataFrame:
+    """Entries with a digest of all their columns, nulls told apart from empty texts."""
+    cells = F.to_json(F.struct(*[F.col(c).cast("string") for c in AUDIT_COLUMNS]))
+    return entries.withColumn(_ENTRY, F.sha2(cells, 256))
 
 
-def _event_time(stamp: Column) -> Column:
-    """Wall-clock time as an instant in UTC, whatever the session's time zone.
+def _landed_days(log: DataFrame, days: DataFrame) -> DataFrame:
+    """Landed entries of the listed days; the list, one row a day, prunes the partitions."""
+    named = [r[DAY] for r in days.collect()]
+    return log.filter(F.col(DAY).isin(named)) if named else log.limit(0)
 
-    Watermarks need an instant; the log holds wall-clock times.
+
+def land_new_entries(project: Project, batch: DataFrame) -> DataFrame:
+    """Append the entries of a batch that have not landed yet; returns the days it touched.
+
+    A batch that is run again finds its own entries landed.
     """
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, stamp))
+    fresh = _marked(batch.select(*AUDIT_COLUMNS).dropDuplicates())
+    fresh = materialise(fresh.withColumn(DAY, F.col("timestamp").cast("date")))
+    days = fresh.select(DAY).distinct()
+    if project.exists(project.audit_log):
+        landed = _landed_days(project.read(project.audit_log), days)
+        known = materialise(_marked(landed.select(*AUDIT_COLUMNS)).select(_ENTRY).distinct())
+        fresh = attach(fresh, known, [_ENTRY], "left_anti")
+    project.write(fresh.drop(_ENTRY), project.audit_log, "append", DAY)
+    return days
 
 
-def _with_watermark(stream: DataFrame, lateness: str) -> DataFrame:
-    return stream.withColumn(_EVENT, _event_time(F.col("timestamp"))).withWatermark(
-        _EVENT, lateness
+def _each_batch(stream: DataFrame, checkpoint: str, handle) -> StreamingQuery:
+    query = (
+        stream.writeStream.foreachBatch(lambda batch, _: handle(batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+    query.awaitTermination()
+    return query
+
 
+def land_distinct_entries(stream: DataFrame, project: Project, checkpoint: str) -> StreamingQuery:
+    """Land every available entry once in the project's audit log, days in any order."""
+    return _each_batch(stream, checkpoint, lambda batch: land_new_entries(project, batch))
 
-def stream_distinct_entries(stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Each entry once, as long as its copies arrive within the allowed lateness.
 
-    State is kept only for that time, so it does not grow with the log.
+def land_daily_counts(
+    stream: DataFrame, project: Project, counts: str, checkpoint: str
+) -> StreamingQuery:
+    """Land entries and keep the table ``counts`` (n by day) right for every day so far.
+
+    Days are counted again when entries come for them, the last ones like all others.
     """
-    marked = _with_watermark(stream, lateness)
-    return marked.dropDuplicatesWithinWatermark(AUDIT_COLUMNS).drop(_EVENT)
-
-
-def stream_daily_counts(stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Entries per day; a day is emitted once no late entry can reach it."""
-    day = F.floor(F.unix_micros("window.start") / F.lit(_DAY_MICROS)).cast("int")
-    return (
-        _with_watermark(stream, lateness)
-        .groupBy(F.window(_EVENT, "1 day"))
-        .agg(F.count("*").alias("n"))
-        .select(F.date_from_unix_date(day).alias("day"), "n")
-    )
+
+    def handle(batch: DataFrame) -> None:
+        days = land_new_entries(project, batch)
+        log = _landed_days(project.read(project.audit_log), days)
+        project.replace_partitions(daily_counts(log), counts, DAY)
+
+    return _each_batch(stream, checkpoint, handle)
+
+
+def read_daily_counts(project: Project, counts: str) -> DataFrame:
+    return project.read(counts).select(DAY, "n")

@@ -116,7 +116,7 @@ def test_requests_load_resume_and_drift(spark, service, folder):
     log = {(r["type"], r["message"]) for r in project.log().collect()}
     assert any(t == "ERROR" and "gateway gave up" in m for t, m in log)
     assert any(t == "WARNING" and "2024-01-02" in m for t, m in log)
-    assert any(t == "WARNING" and m.startswith("Transfer partially completed") for t, m in log)
+    assert any(t == "WARNING" and m.startswith("Transfer incomplete") for t, m in log)
 
     set_faults()
     second = retry_failed(project, source, chunk_size=10)
@@ -173,7 +173,7 @@ def test_load_without_a_dictionary(spark, service, folder):
     project = Project(spark, root=folder + "/p", audit_log=None)
     assert ingest(project, source, chunk_size=25)
     assert project.dictionary() is None
-    assert project.log().filter("message LIKE 'Failed to fetch metadata%today'").count() == 1
+    assert project.log().filter("message LIKE 'Dictionary: not available%today'").count() == 1
 
 
 def test_complete_load_returns_at_once(spark, folder):
@@ -364,7 +364,7 @@ def test_outcomes(spark):
     assert not bad["success"] and "1 of 2 chunks successful, 1 failed" in bad["message"]
     empty = spark.createDataFrame([], "chunk int, n_rows int, status string")
     none = C.outcome(C.tallies(empty)).first()
-    assert not none["success"] and none["message"] == "No records returned"
+    assert not none["success"] and none["message"] == "Transfer of nothing"
 
 
 def test_log_status_scopes(spark):
