@@ -12,8 +12,6 @@
 from __future__ import annotations
 
 import math
-import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +20,12 @@ from pyspark.sql import functions as F
 
 from formlake.llm import golomb
 from formlake.llm.batches import named
+from formlake.llm.pinned import WORDS, bitmap, flagged, pin
 from formlake.llm.written import written
-from formlake.session import scratch_path
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 _SPARE_BITS = 10  # so one document in 2 ** 10 is a suspect by chance
 _OWNED = 1 << 21  # fingerprints for each owner, about
-_PLACE_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 _MESSAGE = "owner int, part int, n int, bits int, unary binary, low binary"
 _REPLY = "part int, owner int, flags binary"
@@ -40,8 +37,6 @@ def normalised(text: Column) -> Column:
 
 def _staged(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """All columns as ``document``, with digests and the row's partition and place in it."""
-    spark = docs.sparkSession
-    name = f"exact_dedup_{uuid.uuid4().hex}"
     text = normalised(F.col("document")[text_column])
     rows = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("document"))
     rows = rows.select(
@@ -50,15 +45,8 @@ def _staged(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         F.length(F.coalesce(F.col("document")[text_column], F.lit(""))).alias("n_chars"),
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("sha256"),
         F.xxhash64(text).alias("fingerprint"),
-        F.monotonically_increasing_id().alias("row_no"),
     )
-    rows = rows.withColumn("part", F.shiftright("row_no", _PLACE_BITS).cast("int"))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "exact-dedup")
-    rows.write.bucketBy(buckets, "part").option("path", path).format("parquet").saveAsTable(name)
-    staged = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the name only: the files are where the path says
-    return staged
+    return pin(rows, "exact-dedup")
 
 
 def _own(fingerprints: np.ndarray, bits: int, owner_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -125,18 +113,12 @@ def suspects_by_part(thin: DataFrame, rows: int) -> DataFrame:
             suspect[own] |= np.unpackbits(np.frombuffer(flags, np.uint8))[:sent].astype(bool)
         if not suspect.any():
             return empty
-        places = thin_rows.column("row_no").to_numpy() & ((1 << _PLACE_BITS) - 1)
-        bitmap = np.zeros((int(places.max()) // 64 + 1) * 64, np.uint8)
-        bitmap[places] = suspect[inverse]
-        words = np.packbits(bitmap, bitorder="little").view("<i8")
-        return pa.table([pa.array([part], pa.int32()), pa.array([words], pa.list_(pa.int64()))], names=["part", "words"])
+        return bitmap(part, thin_rows.column("row_no").to_numpy()[suspect[inverse]])
 
     fingerprints = thin.select("part", "row_no", "fingerprint")
     messages = fingerprints.groupBy("part").applyInArrow(send, _MESSAGE)
     replies = messages.groupBy("owner").applyInArrow(answer, _REPLY)
-    return fingerprints.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(
-        mark, "part int, words array<bigint>"
-    )
+    return fingerprints.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(mark, WORDS)
 
 
 def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -150,11 +132,9 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     """
     staged = _staged(docs, id_column, text_column)
     words = written(suspects_by_part(staged, staged.count()), "suspects-bitmap")
-    place = f"(row_no & {(1 << _PLACE_BITS) - 1})"
-    suspect = F.expr(f"coalesce(shiftright(words[cast(shiftright({place}, 6) as int)], cast({place} & 63 as int)) & 1, 0)")
-    marked = staged.join(words.hint("shuffle_hash"), "part", "left").withColumn("suspect", suspect)
+    marked = flagged(staged, words, "suspect")
     columns = ["document", "doc_id", "n_chars", "sha256", "row_no"]
-    suspects = written(marked.where("suspect = 1").select(*columns), "suspects")
+    suspects = written(marked.where("suspect").select(*columns), "suspects")
     text = normalised(F.col("document")[text_column])
     best = F.struct(
         (-F.col("n_chars")).alias("chars"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "row_no"
@@ -170,7 +150,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         "document", "doc_id", F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row_no") == F.col("best.row_no")).alias("kept"), "sha256",
     )
-    unique = marked.where("suspect = 0").select(
+    unique = marked.where("not suspect").select(
         "document", "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), "sha256",
     )

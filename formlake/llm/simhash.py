@@ -14,11 +14,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.batches import named, text_slices
 from formlake.llm.components import connected
+from formlake.llm.pinned import bitmaps, flagged, pin
 from formlake.llm.written import written
 
 SHARDS = 64  # at least; more where a shard would get more than SHARD_MEMBERS
@@ -196,19 +197,28 @@ def links(distinct: DataFrame, reach: int = 4) -> DataFrame:
     return routed.groupBy("shard").applyInArrow(find, "u bigint, v bigint").distinct()
 
 
-def near_duplicate_groups(prints: DataFrame, doc_id: Column, reach: int = 4) -> DataFrame:
-    """fingerprint, root and component_id for each distinct fingerprint of ``prints``.
+def near_duplicate_groups(prints: DataFrame, reach: int = 4) -> DataFrame:
+    """Each distinct fingerprint of ``prints`` (doc_id, fingerprint, row_no) and its component.
 
-    component_id is the smallest id in the component; null only where no row has an id.
+    component_id is the smallest id in the component, null only where no row has an id;
+    keeper is the number of that row, the first one of repeated ids; rows counts them all.
     """
-    distinct = written(prints.groupBy("fingerprint").agg(F.min(doc_id).alias("first")), "fingerprints")
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no")
+    distinct = prints.groupBy("fingerprint").agg(F.min(best).alias("best"), F.count("*").alias("rows"))
+    distinct = written(distinct, "fingerprints")
     roots = connected(links(distinct, reach))
     members = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+        "fingerprint", "best", "rows", F.coalesce("root", "fingerprint").alias("root")
     )
     members = written(members, "component-members")
-    names = written(members.groupBy("root").agg(F.min("first").alias("component_id")), "component-names")
-    return written(members.join(names, "root").select("fingerprint", "root", "component_id"), "components")
+    whole = members.groupBy("root").agg(F.min("best").alias("best"), F.sum("rows").alias("rows"))
+    whole = written(whole, "whole-components")
+    return written(
+        members.select("fingerprint", "root").join(whole, "root").select(
+            "fingerprint", F.col("best.doc_id").alias("component_id"), F.col("best.row_no").alias("keeper"), "rows"
+        ),
+        "components",
+    )
 
 
 def simhash_components(
@@ -221,9 +231,9 @@ def simhash_components(
     table gives no rows.
     """
     prints = with_fingerprints(docs.select(named(id_column), named(text_column)), text_column, words)
-    prints = written(prints.select(F.col("document")[id_column].cast("bigint").alias("doc_id"), "fingerprint"), "simhash")
-    groups = near_duplicate_groups(prints, F.col("doc_id"), reach)
-    return prints.join(groups, "fingerprint").select(
+    prints = prints.select(F.col("document")[id_column].cast("bigint").alias("doc_id"), "fingerprint")
+    prints = written(prints.withColumn("row_no", F.monotonically_increasing_id()), "simhash")
+    return prints.join(near_duplicate_groups(prints, reach), "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -231,17 +241,16 @@ def simhash_components(
 def drop_near_duplicates(
     docs: DataFrame, words: int = 4, reach: int = 4, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row of each component: that of the smallest id, the first read of repeated ones."""
-    prints = with_fingerprints(docs, text_column, words)
-    prints = written(prints.withColumn("row_no", F.monotonically_increasing_id()), "simhash-documents")
-    doc_id = F.col("document")[id_column].cast("bigint")
-    groups = near_duplicate_groups(prints, doc_id, reach)
-    named_rows = prints.select(doc_id.alias("doc_id"), "fingerprint", "row_no").join(groups, "fingerprint")
-    first = (
-        named_rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root")
-        .agg(F.min("row_no").alias("row_no"))
-        .select("row_no")
-    )
-    kept = prints.join(written(first, "kept-rows"), "row_no", "left_semi")
+    """One row of each component: that of the smallest id, the first read of repeated ones.
+
+    Documents are not shuffled: those to drop are found by their fingerprints, and the
+    decision comes back as a bitmap.
+    """
+    pinned = pin(with_fingerprints(docs, text_column, words), "simhash-documents")
+    doc_id = F.col("document")[id_column].cast("bigint").alias("doc_id")
+    prints = pinned.select(doc_id, "fingerprint", "row_no", "part")
+    several = near_duplicate_groups(prints, reach).where("rows > 1")
+    dropped = prints.join(several, "fingerprint").where("row_no != keeper")
+    words_of = written(bitmaps(dropped), "dropped-rows")
+    kept = flagged(pinned, words_of, "dropped").where("not dropped")
     return kept.select(*[F.col("document")[c].alias(c) for c in docs.columns])
