@@ -44,3 +44,4 @@ def text_slices(
         if start < batch.num_rows:
             part = batch.slice(start)
             yield part, part.column(at).to_pylist()
+        pa.default_memory_pool().release_unused()  # workers live on between tasks

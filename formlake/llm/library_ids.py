@@ -26,7 +26,7 @@ class LibraryIds:
     go through the whole library.
     """
 
-    def __init__(self, path: str, segments: re.Pattern[str], lower: bool):
+    def __init__(self, path: str, segments: re.Pattern[str], lower: bool, remembered: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on each core
         from tokenizers import Tokenizer
 
@@ -38,7 +38,7 @@ class LibraryIds:
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.findall = segments.findall
-        self.ids_of = SegmentCache(self._segment_ids).__getitem__
+        self.ids_of = SegmentCache(self._segment_ids, limit=remembered).__getitem__
 
     def _segment_ids(self, segment: str) -> bytes:
         if self.word(segment):
@@ -53,9 +53,9 @@ class LibraryIds:
 
 @lru_cache(maxsize=2)
 def byte_level_ids(path: str) -> LibraryIds:
-    return LibraryIds(path, BYTE_LEVEL, lower=False)
+    return LibraryIds(path, BYTE_LEVEL, lower=False, remembered=800_000)
 
 
 @lru_cache(maxsize=2)
 def word_end_ids(path: str) -> LibraryIds:
-    return LibraryIds(path, WORD_END, lower=True)
+    return LibraryIds(path, WORD_END, lower=True, remembered=300_000)

@@ -37,7 +37,7 @@ class SegmentCache(dict):
     turned up first, which are the frequent ones. Long segments are never kept.
     """
 
-    def __init__(self, compute: Callable[[str], object], limit: int = 1_000_000, longest: int = 64):
+    def __init__(self, compute: Callable[[str], object], limit: int = 300_000, longest: int = 64):
         super().__init__()
         self.compute, self.limit, self.longest = compute, limit, longest
 
