@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from formlake.llm.batches import named
 
 TRAIN_ROWS = 10_000
+_PLACES = 1 << 30
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -24,4 +25,8 @@ def training_labels(
     """
     known = labels.select(named(id_column).cast("bigint").alias("doc_id"), named(label_column).cast("int").alias("label"))
     known = known.where("doc_id is not null and label in (0, 1)").where(~held_out(F.col("doc_id"), folds, fold))
-    return known.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
+    known = known.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(_PLACES)))
+    # The places are spread evenly, so twice the share that is needed goes into the sort.
+    share = 2 * rows / max(1, known.count())
+    picked = known.where(F.col("place") < int(min(1.0, share) * _PLACES)).distinct()
+    return picked.orderBy("place", "doc_id", "label").limit(rows).drop("place")
