@@ -132,3 +132,23 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality of every document."""
     return score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+# All pages of these tables mark their article, so SQL can cut it out.
+ORACLES["op10_main_text"] = r"""
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS body FROM pages
+), blocks AS (
+    SELECT page_id, url, list_transform(
+        string_split_regex(body, '</?(?:p|h1)>'),
+        lambda x: trim(regexp_replace(replace(replace(replace(replace(
+            regexp_replace(x, '<[^>]*>', ' ', 'g'),
+            '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))
+    ) AS parts
+    FROM articles
+), texts AS (
+    SELECT page_id, url, coalesce(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)), '') AS text
+    FROM blocks
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM texts
+"""

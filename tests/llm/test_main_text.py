@@ -4,9 +4,10 @@ import html
 import re
 
 import pytest
+from compare import connect, mismatch
 
 from formlake.llm.main_text import extract_main_text, main_text
-from formlake.llm.queries import QUERIES
+from formlake.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 LONG = "This paragraph goes on for long enough to be a surge in the distribution of text over lines, "
@@ -24,6 +25,10 @@ def test_all_pages(spark):
         assert (row["text"], row["n_chars"], row["url"]) == (wanted, len(wanted), page["url"])
 
 
+def test_all_pages_equal_sql(spark):
+    assert mismatch(QUERIES["op10_main_text"](spark, FOLDER), connect(FOLDER), ORACLES["op10_main_text"]) is None
+
+
 @pytest.mark.parametrize(
     "page, wanted",
     [
