@@ -9,6 +9,7 @@ write, and are read back with the binaryFile source.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
@@ -26,15 +27,23 @@ _TRAILER = "\n"  # the text writer puts it behind each record
 _SAMPLE = 100  # rows sampled for each range
 
 
-def _boundaries(keys: DataFrame, ranges: int) -> list[tuple[int, int]]:
+Key = tuple[bool, int, int]
+
+
+def _key(doc_id: int | None, tie: int) -> Key:
+    """Sorts like the files: null ids first."""
+    return doc_id is not None, doc_id or 0, tie
+
+
+def _boundaries(keys: DataFrame, ranges: int) -> list[Key]:
     """Upper bounds of ranges of (doc_id, tie), from a sample of at most about 100 rows a range.
 
-    They only set how evenly tasks are loaded.
+    They only set how evenly tasks are loaded; an id that holds many rows is cut by its ties.
     """
     rows = keys.count()
     share = min(1.0, _SAMPLE * ranges / max(1, rows))
-    picked = keys.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", "tie"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1))
-    sample = sorted((r["doc_id"], r["tie"]) for r in picked.limit(4 * _SAMPLE * ranges).collect())
+    picked = keys.where(F.pmod(F.xxhash64("doc_id", "tie"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    sample = sorted(_key(r["doc_id"], r["tie"]) for r in picked.limit(4 * _SAMPLE * ranges).collect())
     return [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
 
 
@@ -60,14 +69,12 @@ def write_token_files(
     bounds = _boundaries(texts.select("doc_id", "tie"), ranges)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from bisect import bisect_left
-
         ids_of = byte_level_ids(tokenizer)
         kind = ids_of.kind if end_id <= np.iinfo(ids_of.kind).max else np.dtype("<u4")
         end = np.array([end_id], kind).tobytes()
         for batch, slice_texts in text_slices(batches):
             doc_ids, ties = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            part = [0 if d is None else bisect_left(bounds, (d, t)) for d, t in zip(doc_ids, ties)]
+            part = [bisect_left(bounds, _key(d, t)) for d, t in zip(doc_ids, ties)]
             ids = [ids_of(t) for t in slice_texts]
             if kind != ids_of.kind:
                 ids = [np.frombuffer(i, ids_of.kind).astype(kind).tobytes() for i in ids]
