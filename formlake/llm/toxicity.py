@@ -33,6 +33,7 @@ NEIGHBOURS = 10
 MASS = 2.0  # weight of the words outside the vocabulary
 PRIOR = 0.2  # weight of the vote that every document gets for the base rate
 THRESHOLD = 0.3
+_SPREAD = 4096  # documents scored in a task
 _BEGINNINGS = (3, 4, 5, 6)
 _WORD = re.compile(r"\w+")
 
@@ -253,7 +254,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
                 }
             )
 
-    return vectors.withColumn("held_out", held_out(F.col("doc_id"), folds, fold)).mapInArrow(score, _SCORED)
+    # Term counts are small, so their files are few; searching them is work for every core.
+    spread = vectors.repartition(max(1, vectors.count() // _SPREAD))
+    return spread.withColumn("held_out", held_out(F.col("doc_id"), folds, fold)).mapInArrow(score, _SCORED)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **options) -> DataFrame:
