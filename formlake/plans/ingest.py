@@ -318,6 +318,8 @@ def _ingest(
             return TransferResult(True)
         if state["status"] == "resume_with_errors":
             journal.add(C.WARNING, "Going on with a transfer that had errors")
+        elif state["status"] == "complete":
+            journal.add(C.INFO, "Looking for what is new since a complete transfer")
         else:
             journal.add(C.INFO, "Going on with an unfinished transfer")
 

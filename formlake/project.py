@@ -84,9 +84,15 @@ class Project:
             writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(partition_by).parquet(self._place(table))
         else:
-            known = self.read(table)
-            writer = df.select(*known.columns).write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").insertInto(self._place(table))
+            # A catalog table takes the mode from the session alone.
+            mode = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(mode)
+            self.spark.conf.set(mode, "dynamic")
+            try:
+                known = self.read(table).columns
+                df.select(*known).write.mode("overwrite").insertInto(self._place(table), overwrite=True)
+            finally:
+                self.spark.conf.set(mode, before)
 
     def _align_catalog(self, df: DataFrame, table: str) -> None:
         """Add columns that a later load brings to a catalog table."""

@@ -27,8 +27,10 @@ def _marked(entries: DataFrame) -> DataFrame:
 
 def _landed_days(log: DataFrame, days: DataFrame) -> DataFrame:
     """Landed entries of the listed days; the list, one row a day, prunes the partitions."""
-    named = [r[DAY] for r in days.collect()]
-    return log.filter(F.col(DAY).isin(named)) if named else log.limit(0)
+    listed = [r[DAY] for r in days.collect()]
+    named = [day for day in listed if day is not None]
+    undated = F.col(DAY).isNull() if None in listed else F.lit(False)
+    return log.filter(F.col(DAY).isin(named) | undated) if named else log.filter(undated)
 
 
 def land_new_entries(project: Project, batch: DataFrame) -> DataFrame:

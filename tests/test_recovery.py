@@ -96,14 +96,19 @@ def test_failing_load_leaves_an_error_row(spark, folder):
     assert project.log().filter("type = 'ERROR' AND message LIKE 'Transfer broken off%'").count() == 1
 
 
-def test_refresh_replaces_only_its_days(spark, folder):
+@pytest.mark.parametrize("catalog", [False, True])
+def test_refresh_replaces_only_its_days(spark, folder, catalog):
     stamps = [(f"2024-01-{d:02d} 10:00:00", "u") for d in range(1, 31)]
     log = spark.createDataFrame(stamps, "timestamp string, username string")
     source = TableSource(spark.range(2).withColumnRenamed("id", "record_id"), None, "record_id", audit=log)
-    project = Project(spark, root=folder + "/p")
+    spark.sql("CREATE DATABASE IF NOT EXISTS audit_db")
+    project = Project(spark, database="audit_db") if catalog else Project(spark, root=folder + "/p")
     ingest(project, source, audit_begin=date(2024, 1, 1), audit_end=date(2024, 1, 30))
     ingest(project, source, audit_begin=date(2024, 1, 3), audit_end=date(2024, 1, 4), refresh=True)
     assert project.audit().count() == 30
+    assert project.audit().select("timestamp").distinct().count() == 30
+    if catalog:
+        spark.sql("DROP DATABASE audit_db CASCADE")
 
 
 def test_header_of_any_length():
