@@ -160,6 +160,6 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
+    """The rows of ``docs`` that stay, with their columns; odd rows as in ``exact_duplicates``."""
     kept = exact_duplicates(docs, id_column, text_column).where("kept")
     return kept.select(*[F.col("document")[c].alias(c) for c in docs.columns])

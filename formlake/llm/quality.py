@@ -119,7 +119,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with their columns."""
+    """The rows of ``docs`` whose score reaches the threshold, with their columns.
+
+    Odd rows are scored as ``score_quality`` says; columns of any name pass through.
+    """
     model = fit_quality(docs, labels, text_column=text_column, **options)
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -243,6 +243,7 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One row of each component: that of the smallest id, the first read of repeated ones.
 
+    Odd rows are linked as ``simhash_components`` says; columns of any name pass through.
     Documents are not shuffled: those to drop are found by their fingerprints, and the
     decision comes back as a bitmap.
     """

@@ -260,7 +260,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose score is under the threshold, with their columns."""
+    """The rows of ``docs`` whose score is under the threshold, with their columns.
+
+    Odd rows are scored as ``score_toxicity`` says; columns of any name pass through.
+    """
     model, _ = fit_toxicity(docs, labels, text_column=text_column, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
