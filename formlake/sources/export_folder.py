@@ -7,12 +7,12 @@ instead of failing the job.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -64,22 +64,60 @@ def list_files(path: str) -> list[tuple[str, int]]:
     )
 
 
-def merged_header(path: str, threads: int = 16) -> list[str]:
-    """Columns of all files in order of first appearance; only headers are read."""
-    store, _ = _filesystem(path)
+def _header_of(store: fs.FileSystem, path: str) -> list[str]:
+    """Column names of one file; none if it can't be read."""
+    try:
+        with store.open_input_stream(path) as stream:
+            return read_header(stream)
+    except OSError:
+        return []
 
-    def one(file: tuple[str, int]) -> list[str]:
-        try:
-            with store.open_input_stream(file[0]) as stream:
-                return read_header(stream)
-        except OSError:
-            return []
 
-    with ThreadPoolExecutor(threads) as pool:
-        headers = list(pool.map(one, list_files(path)))
+def merged_header(path: str) -> list[str]:
+    """Columns of all files in order of first appearance, read one file after the other."""
+    store, _ = _filesystem(path)
+    headers = [_header_of(store, file) for file, _ in list_files(path)]
     return list(dict.fromkeys(name for header in headers for name in header))
 
 
+def merged_header_in_tasks(spark, path: str) -> list[str]:
+    """The same, with the files' headers read by Spark tasks; one row a column comes back."""
+    files = [(i, file) for i, (file, _) in enumerate(list_files(path))]
+    if not files:
+        return []
+
+    def read(batches):
+        store, _ = _filesystem(path)
+        for batch in batches:
+            rows = [
+                (number, at, name)
+                for number, file in zip(*(c.to_pylist() for c in batch.columns))
+                for at, name in enumerate(_header_of(store, file))
+            ]
+            kinds = (pa.int64(), pa.int64(), pa.string())
+            cells = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ([], [], []), kinds)]
+            yield pa.RecordBatch.from_arrays(cells, names=["file_no", "at", "name"])
+
+    listed = spark.createDataFrame(files, "file_no bigint, file string")
+    spread = listed.repartition(min(len(files), 4 * spark.sparkContext.defaultParallelism))
+    names = spread.mapInArrow(read, "file_no bigint, at bigint, name string")
+    first = names.groupBy("name").agg(F.min(F.struct("file_no", "at")).alias("first"))
+    return [row["name"] for row in first.orderBy("first").collect()]
+
+
+def export_schema(names: list[str], mode: str) -> StructType:
+    """All columns as text, and the control columns of ``isolate``."""
+    out = [StructField(n, StringType()) for n in names]
+    if mode == "isolate":
+        out += [
+            StructField(FILE, StringType()),
+            StructField(STATUS, StringType()),
+            StructField(ERROR, StringType()),
+            StructField(ROWS, LongType()),
+        ]
+    return StructType(out)
+
+
 @dataclass
 class FilePack(InputPartition):
     """Files read by one task."""
@@ -100,15 +138,7 @@ class ExportFolder(DataSource):
         names = (
             [f.strip() for f in fields.split(",")] if fields else merged_header(self.options["path"])
         )
-        out = [StructField(n, StringType()) for n in names]
-        if self.options.get("mode", "failfast") == "isolate":
-            out += [
-                StructField(FILE, StringType()),
-                StructField(STATUS, StringType()),
-                StructField(ERROR, StringType()),
-                StructField(ROWS, LongType()),
-            ]
-        return StructType(out)
+        return export_schema(names, self.options.get("mode", "failfast"))
 
     def reader(self, schema: StructType) -> "ExportFolderReader":
         options = dict(self.options)
@@ -221,4 +251,8 @@ def read_folder(spark, path: str, **options):
     """All CSV exports under a folder as one all-text DataFrame."""
     spark.dataSource.register(ExportFolder)
     options.setdefault("push", spark.conf.get(_PUSHDOWN, "false"))
-    return spark.read.format(FORMAT).options(path=path, **options).load()
+    reader = spark.read.format(FORMAT).options(path=path, **options)
+    if "fields" not in options:
+        names = merged_header_in_tasks(spark, path)
+        reader = reader.schema(export_schema(names, options.get("mode", "failfast")))
+    return reader.load()
