@@ -34,6 +34,7 @@ class LibraryIds:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.library.model
         self.lower, self.characters = lower, _byte_characters()
+        self.space = chr(self.characters[ord(" ")])
         self.word = re.compile(f" ?[{LETTERS}]+" if not lower else f"[{LETTERS}]+").fullmatch
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
@@ -43,7 +44,10 @@ class LibraryIds:
     def _segment_ids(self, segment: str) -> bytes:
         if self.word(segment):
             word = segment.lower() if self.lower else segment
-            visible = word.encode("utf-8").decode("latin-1").translate(self.characters)
+            if word.isascii():
+                visible = word.replace(" ", self.space)
+            else:
+                visible = word.encode("utf-8").decode("latin-1").translate(self.characters)
             return array(self.code, [token.id for token in self.model.tokenize(visible)]).tobytes()
         return array(self.code, self.library.encode(segment, add_special_tokens=False).ids).tobytes()
 

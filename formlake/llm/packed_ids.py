@@ -42,6 +42,34 @@ def _container(width: int) -> np.dtype:
     return np.dtype("u1" if width <= 8 else "<u2" if width <= 16 else "<u4")
 
 
+def _pack_groups(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bits of each value; eight values fill ``width`` bytes, by way of 64-bit words."""
+    groups = (values & np.uint32((1 << width) - 1)).astype(np.uint64).reshape(-1, 8)
+    words = np.zeros((len(groups), -(-width // 8) + 1), np.uint64)
+    for k in range(8):
+        word, shift = divmod(k * width, 64)
+        words[:, word] |= groups[:, k] << np.uint64(shift)
+        if shift + width > 64:
+            words[:, word + 1] |= groups[:, k] >> np.uint64(64 - shift)
+    return words.view(np.uint8)[:, :width].tobytes()
+
+
+def _unpack_groups(packed: np.ndarray, width: int) -> np.ndarray:
+    """The values that ``_pack_groups`` was given, in blocks."""
+    groups = packed.reshape(-1, width)
+    words = np.zeros((len(groups), -(-width // 8) + 1), np.uint64)
+    words.view(np.uint8)[:, :width] = groups
+    mask = np.uint64((1 << width) - 1)
+    values = np.empty((len(groups), 8), np.uint32)
+    for k in range(8):
+        word, shift = divmod(k * width, 64)
+        got = words[:, word] >> np.uint64(shift)
+        if shift + width > 64:
+            got |= words[:, word + 1] << np.uint64(64 - shift)
+        values[:, k] = got & mask
+    return values.reshape(-1, BLOCK)
+
+
 @dataclass
 class Blocks:
     minima: np.ndarray
@@ -65,9 +93,9 @@ def pack(ids: np.ndarray, percentile: float = 0.95) -> Blocks:
     deltas = table - minima[:, None]
     at = min(BLOCK - 1, int(np.ceil(percentile * BLOCK)) - 1)
     widths = _bit_lengths(np.partition(deltas, at, axis=1)[:, at]) if n else np.zeros(0, np.uint8)
-    over = (deltas >> np.minimum(widths, 31)[:, None].astype(np.uint32)) if n else deltas
-    over = np.where(widths[:, None] >= 32, 0, over)
-    rows, places = np.nonzero(over)
+    fits = ((np.uint64(1) << widths.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+    rows, places = np.nonzero(deltas > fits[:, None])
+    high = deltas[rows, places] >> np.minimum(widths, 31)[rows].astype(np.uint32)
     starts = np.zeros(n, np.uint64)
     bits, size = [], 0
     for width in np.unique(widths).tolist():
@@ -83,11 +111,10 @@ def pack(ids: np.ndarray, percentile: float = 0.95) -> Blocks:
             if width == kind.itemsize * 8:
                 bits.append(deltas[part].astype(kind).tobytes())
                 continue
-            spread = np.unpackbits(deltas[part].astype(kind).view(np.uint8).reshape(len(part), BLOCK, -1), axis=2, bitorder="little")
-            bits.append(np.packbits(spread[:, :, :width].reshape(-1), bitorder="little").tobytes())
+            bits.append(_pack_groups(deltas[part], width))
     return Blocks(
         minima, widths, np.bincount(rows, minlength=n).astype(np.uint8), starts,
-        places.astype(np.uint8), over[rows, places], b"".join(bits), count,
+        places.astype(np.uint8), high, b"".join(bits), count,
     )
 
 
@@ -108,10 +135,7 @@ def unpack(blocks: Blocks) -> np.ndarray:
             if width == kind.itemsize * 8:
                 deltas[part] = bits[start : start + len(part) * each].view(kind).reshape(len(part), BLOCK)
                 continue
-            spread = np.zeros((len(part), BLOCK, kind.itemsize * 8), np.uint8)
-            packed = bits[start : start + len(part) * each]
-            spread[:, :, :width] = np.unpackbits(packed, bitorder="little").reshape(len(part), BLOCK, width)
-            deltas[part] = np.packbits(spread, axis=2, bitorder="little").view(kind)[:, :, 0]
+            deltas[part] = _unpack_groups(bits[start : start + len(part) * each], width)
     rows = np.repeat(np.arange(n), blocks.patched)
     places = blocks.places.astype(np.int64)
     deltas[rows, places] |= blocks.high.astype(np.uint32) << blocks.widths[rows].astype(np.uint32)

@@ -14,9 +14,9 @@ from itertools import islice
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_NO_LETTER = f"(?=[\0-@\\[-`{{-\x7f{WHITE_SPACE}]|\\Z)"
+_NO_LETTER = "(?=[\0-@\\[-`{-\x7f]|\\Z)"  # ASCII alone is looked up fastest
 # An apostrophe may begin a pre-token of its own, so symbols next to one are left whole.
-_SYMBOLS = f"[!-&(-/:-@\\[-`{{-~]+(?=[{WHITE_SPACE}0-9A-Za-z]|\\Z)"
+_SYMBOLS = "[!-&(-/:-@\\[-`{-~]+(?=[\t-\r 0-9A-Za-z]|\\Z)"
 
 #: Byte-level pre-tokens take one space before a word; runs of white space leave it theirs.
 BYTE_LEVEL = re.compile(
