@@ -1,4 +1,5 @@
-"""Python workers import this package by name, to keep vocabularies and caches between tasks."""
+"""What Python workers need: this package by name, so that vocabularies and caches outlive a
+task, and Arrow batches of a few megabytes, so that texts in flight stay small beside them."""
 
 from __future__ import annotations
 
@@ -9,11 +10,16 @@ from pyspark.sql import SparkSession
 import formlake
 
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
 def share_package(spark: SparkSession) -> None:
     """Put the folder that holds this package on the path of Python workers started from now on.
 
-    Where the code is shipped to a cluster in another way, the path does no harm.
+    Where the code is shipped to a cluster in another way, the path does no harm. The
+    session's Arrow batches are bounded from here on, as its lazy results run later.
     """
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.abspath(formlake.__file__)))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
