@@ -87,22 +87,43 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
 def _lines(html: str) -> list[_Line]:
     """Text by block element, in page order."""
     lines = [_Line(False, False)]
-    open_tags: list[tuple[str, bool, bool]] = []  # element, whether furniture, whether landmark
-    furniture = landmark = False
+    open_tags: list[tuple[str, bool, bool]] = []  # element, whether furniture itself, whether landmark itself
+    furniture = landmark = 0  # open elements of either kind
     links = 0
     at = 0
 
     def text(piece: str) -> None:
         line = lines[-1]
+        if furniture and not line.furniture:  # inside an inline element that is furniture
+            return
         line.parts.append(piece)
         if links:
             line.links += len(piece)
 
+    def opened(tag: str, own: bool, mark: bool) -> None:
+        nonlocal furniture, landmark
+        open_tags.append((tag, own, mark))
+        furniture += own
+        landmark += mark
+
+    def shut(first: int, last: int | None = None) -> None:
+        nonlocal furniture, landmark
+        for _, own, mark in open_tags[first:last]:
+            furniture -= own
+            landmark -= mark
+        del open_tags[first:last]
+
+    def innermost(tag: str) -> int:
+        for depth in range(len(open_tags) - 1, -1, -1):
+            if open_tags[depth][0] == tag:
+                return depth
+        return -1
+
     def new_line() -> None:
         if lines[-1].parts:
-            lines.append(_Line(furniture, landmark))
+            lines.append(_Line(furniture > 0, landmark > 0))
         else:
-            lines[-1].furniture, lines[-1].landmark = furniture, landmark
+            lines[-1].furniture, lines[-1].landmark = furniture > 0, landmark > 0
 
     while True:
         found = _TAG.search(html, at)
@@ -126,28 +147,33 @@ def _lines(html: str) -> list[_Line]:
         if tag in _INLINE:
             if tag == "a":
                 links = 0 if closing else 1
-            elif tag in _VOID:
+            if tag in _VOID:
                 text(" ")
-            if closing or tag in _VOID or not _is_furniture(tag, found[3], landmark):
                 continue
+            if closing or tag == "a":  # a link ends the one before it
+                depth = innermost(tag)
+                if depth >= 0:
+                    shut(depth, depth + 1)
+                    if lines[-1].furniture and not furniture:
+                        new_line()
+            if not closing and not found[3].endswith("/"):
+                opened(tag, _is_furniture(tag, found[3], landmark > 0), False)
+            continue
         if closing:
-            for depth in range(len(open_tags) - 1, -1, -1):
-                if open_tags[depth][0] == tag:
-                    del open_tags[depth:]
-                    furniture = open_tags[-1][1] if open_tags else False
-                    landmark = open_tags[-1][2] if open_tags else False
-                    break
+            depth = innermost(tag)
+            if depth >= 0:
+                shut(depth)
             new_line()
             continue
         if tag == "p":  # a paragraph ends the one before it
-            while open_tags and open_tags[-1][0] == "p":
-                open_tags.pop()
-            furniture = open_tags[-1][1] if open_tags else False
-            landmark = open_tags[-1][2] if open_tags else False
+            depth = len(open_tags)
+            while depth and open_tags[depth - 1][0] in _INLINE:
+                depth -= 1
+            while depth and open_tags[depth - 1][0] == "p":
+                depth -= 1
+                shut(depth)
         if tag not in _VOID and not found[3].endswith("/"):
-            furniture = furniture or _is_furniture(tag, found[3], landmark)
-            landmark = landmark or tag in _LANDMARKS
-            open_tags.append((tag, furniture, landmark))
+            opened(tag, _is_furniture(tag, found[3], landmark > 0), tag in _LANDMARKS)
         new_line()
     if at < len(html):
         text(html[at:])

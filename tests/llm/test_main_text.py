@@ -52,6 +52,22 @@ def test_pages(page, wanted):
     assert main_text(page) == wanted
 
 
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ('<article><a class="skip-link" href="#c">Skip</a><h1>T</h1><p>one</p></article>', "T\none"),
+        ('<body><a class="skip-link" href="#c">Skip</a><div><article>one</article></div></body>', "one"),
+        ('<body><span class="share"><a href=1>f</a><span>t</span></span><p>one</p></body>', "one"),
+        ('<p>a <span class="promo">x <span>y</span> z</span> b</p>', "a b"),
+        ('<article><p>a<span class="ad"><div>x</div></span>b</p><p>c</p></article>', "a\nb\nc"),
+        ('<article><p><a class="share">x<p>one</p><a href=1>two</a> three</article>', "one\ntwo three"),
+        ('<article><p><b>one<br><p>two</b> three</p></article>', "one\ntwo three"),
+    ],
+)
+def test_inline_furniture(page, wanted):
+    assert main_text(page) == wanted
+
+
 def test_unmarked_page():
     page = f"""<body class="with-sidebar"><div id="top-nav"><a href=1>Home</a> <a href=2>About</a></div>
     <ul><li><a href=3>one</a></li><li><a href=4>two</a></li></ul><div>by me</div><div></div>
