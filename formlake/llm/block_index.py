@@ -1,8 +1,8 @@
 """Exact cosine neighbours from an inverted index with block maxima.
 
 Examples are numbered so that similar ones are near each other, and cut into blocks. For
-each term the index holds its postings, where each block's postings begin, and the largest
-weight in each block. A query adds up the maxima of its terms for a bound on every block.
+each term the index holds its postings and, for the blocks it occurs in, where they begin
+and the largest weight there. A query adds up the maxima of its terms for a bound on every block.
 It reads the blocks of the highest bounds, and after them, in growing groups, those whose
 bound is not under the k-th similarity found so far.
 """
@@ -23,16 +23,21 @@ class BlockMaxIndex:
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (leading[i], i)), np.int64)
         self.count, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
         sizes = [len(vectors[i][0]) for i in self.order]
-        example = np.repeat(np.arange(self.count), sizes)
-        term = np.concatenate([vectors[i][0] for i in self.order]) if sizes else np.zeros(0, np.int64)
+        term = np.concatenate([vectors[i][0].astype(np.int32) for i in self.order]) if sizes else np.zeros(0, np.int32)
+        by_term = np.argsort(term, kind="stable")  # so by example within a term
+        term = term[by_term]
+        self.example = np.repeat(np.arange(self.count, dtype=np.int32), sizes)[by_term]
         weight = np.concatenate([vectors[i][1] for i in self.order]) if sizes else np.zeros(0)
-        by_term = np.lexsort((example, term))
-        self.example, self.weight, term = example[by_term], weight[by_term], term[by_term]
-        cell = term * self.blocks + self.example // BLOCK
-        self.starts = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
-        self.maxima = np.zeros(terms * self.blocks)
-        np.maximum.at(self.maxima, cell, self.weight)
-        self.maxima = self.maxima.reshape(terms, self.blocks)
+        self.weight = weight[by_term]
+        self.postings = np.searchsorted(term, np.arange(terms + 1))  # where each term's begin
+        block = self.example // BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        begin = np.flatnonzero(new)  # cells: a term in a block
+        self.block = block[begin]
+        self.maxima = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
+        self.cells = np.searchsorted(term[begin], np.arange(terms + 1))  # where each term's begin
+        self.begin = np.append(begin, len(term)).astype(np.int32)
 
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1
@@ -40,7 +45,10 @@ class BlockMaxIndex:
         """Numbers and similarities of the k most similar examples that share a term, ties by number."""
         if not len(terms) or not self.count:
             return np.zeros(0, np.int64), np.zeros(0)
-        bounds = weights @ self.maxima[terms]
+        cells = _ranges(self.cells[terms], self.cells[terms + 1])
+        weight = np.repeat(weights, self.cells[terms + 1] - self.cells[terms])
+        block = self.block[cells]
+        bounds = np.bincount(block, weight * self.maxima[cells], minlength=self.blocks)
         order = np.argsort(-bounds, kind="stable")
         found, likeness = np.zeros(0, np.int64), np.zeros(0)
         at, group = 0, _FIRST
@@ -50,10 +58,20 @@ class BlockMaxIndex:
             some = some[(bounds[some] >= least) & (bounds[some] > 0)]
             if not len(some):
                 break
-            numbers, sums = self._read(some, terms, weights)
-            kept = (self.order[numbers] != without) & (sums > 0)
-            found = np.concatenate([found, self.order[numbers[kept]]])
-            likeness = np.concatenate([likeness, sums[kept]])
+            if len(some) * 4 > self.blocks:  # so many that whole postings are read faster
+                some = order[at:]
+                some = some[(bounds[some] >= least) & (bounds[some] > 0)]
+                group = self.blocks
+                sums = self._read_all(terms, weights)
+            else:
+                sums = self._read(some, cells, block, weight)
+            numbers = (some[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+            numbers = numbers[numbers < self.count]
+            sums = sums[numbers]
+            kept = (sums > 0) & (sums >= least)
+            numbers, sums = self.order[numbers[kept]], sums[kept]
+            kept = numbers != without
+            found, likeness = np.concatenate([found, numbers[kept]]), np.concatenate([likeness, sums[kept]])
             if len(found) > k:  # what lies under the k-th can't be among the best
                 least = np.partition(likeness, -k)[-k] - 1e-12
                 found, likeness = found[likeness >= least], likeness[likeness >= least]
@@ -63,19 +81,28 @@ class BlockMaxIndex:
         best = np.lexsort((found, -np.round(likeness, 12)))
         return found[best], np.minimum(likeness[best], 1.0)
 
-    def _read(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the examples in these blocks and their similarities."""
-        cells = (terms[:, None] * self.blocks + blocks).reshape(-1)
-        begin = self.starts[cells]
-        sizes = self.starts[cells + 1] - begin
-        skipped = np.cumsum(sizes) - sizes
-        postings = np.repeat(begin - skipped, sizes) + np.arange(int(sizes.sum()))
-        weight = np.repeat(np.repeat(weights, len(blocks)), sizes) * self.weight[postings]
-        slot = np.empty(self.blocks, np.int64)
-        slot[blocks] = np.arange(len(blocks))
-        example = self.example[postings]
-        local = slot[example // BLOCK] * BLOCK + example % BLOCK
-        sums = np.bincount(local, weight, minlength=len(blocks) * BLOCK)
-        places = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-        inside = places < self.count
-        return places[inside], sums[inside]
+    def _read(self, blocks: np.ndarray, cells: np.ndarray, block: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Similarities by example, of the examples in these blocks."""
+        chosen = np.zeros(self.blocks, bool)
+        chosen[blocks] = True
+        inside = chosen[block]
+        cells = cells[inside]
+        begin, end = self.begin[cells], self.begin[cells + 1]
+        postings = _ranges(begin, end)
+        weight = np.repeat(weight[inside], end - begin) * self.weight[postings]
+        return np.bincount(self.example[postings], weight, minlength=self.count)
+
+    def _read_all(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Similarities by example, of all examples."""
+        begin, end = self.postings[terms], self.postings[terms + 1]
+        spans = list(zip(begin.tolist(), end.tolist()))
+        example = np.concatenate([self.example[a:b] for a, b in spans])
+        weight = np.concatenate([self.weight[a:b] for a, b in spans])
+        weight *= np.repeat(weights, end - begin)
+        return np.bincount(example, weight, minlength=self.count)
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers from each begin up to its end, one range after the other."""
+    sizes = end - begin
+    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))

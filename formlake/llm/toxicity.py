@@ -1,23 +1,28 @@
 """Toxicity by the nearest labelled examples in exact TF-IDF cosine.
 
-Terms are words and their beginnings, as far as a bounded sample of labelled rows ties
-them to one label; all other words of a text count together as one further term, so that
-a vector says how much of the text its terms make up. Document frequencies come from all
-documents. Neighbours vote with weights that fall with distance, and votes become
-probabilities by a monotone fit to the examples' own votes, each without itself.
+Terms are all words and beginnings of words in a bounded sample of labelled rows. Terms
+that the sample ties to label 1 weigh more, by the strength of the tie. Document frequencies come
+from all documents; terms of a text that no example has count in its length as the rarest.
+Neighbours vote with weights that fall with distance, and votes become probabilities by a
+monotone fit to the examples' own votes, each without itself.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.batches import id_and_text, named, text_slices
@@ -26,18 +31,16 @@ from formlake.llm.labelled import TRAIN_ROWS, held_out, training_labels
 from formlake.llm.segments import SegmentCache
 from formlake.llm.written import written
 
-TERMS = 4096  # at most
-EVIDENCE = 1.5  # log-likelihood ratio that a term needs, times the log of the terms looked at
-SUPPORT = 3  # toxic examples that a term needs
+EVIDENCE = 1.5  # log-likelihood ratio of a full tie, over the log of the terms looked at
+UNTIED = 0.05  # weight of a term without a tie; a full tie weighs 1
 NEIGHBOURS = 10
-MASS = 2.0  # weight of the words outside the vocabulary
 PRIOR = 0.2  # weight of the vote that every document gets for the base rate
 THRESHOLD = 0.3
-_SPREAD = 4096  # documents scored in a task
+CLOSE = 0.02  # added to the distance that a vote is divided by
+_SPREAD = 1024  # examples searched in a task
 _BEGINNINGS = (3, 4, 5, 6)
 _WORD = re.compile(r"\w+")
 
-_VECTOR = "terms array<int>, counts array<int>, words int"
 _SCORED = (
     "doc_id bigint, held_out boolean, score double, predicted int, "
     "evidence array<struct<doc_id: bigint, similarity: double, label: int>>"
@@ -53,48 +56,96 @@ class Terms:
 
     def __init__(self, vocabulary: list[str]):
         number = {term: i for i, term in enumerate(vocabulary)}
-        self.of_word = SegmentCache(lambda word: tuple(number[t] for t in word_terms(word) if t in number), limit=200_000)
+        none = len(vocabulary)
+        self.size = none
+        # A word's terms, with one number past the vocabulary for each term that is not in it.
+        self.of_word = SegmentCache(lambda word: tuple(number.get(t, none) for t in word_terms(word)), limit=200_000)
+
+    def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """Terms, their counts, the words, and the distinct words' terms outside the vocabulary."""
+        words = Counter(_WORD.findall(text.lower()))
+        lists = list(map(self.of_word.__getitem__, words))
+        numbers = np.fromiter(chain.from_iterable(lists), np.int64)
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, lists), np.int64, len(words)))
+        outside = numbers == self.size
+        numbers, times = numbers[~outside], times[~outside]
+        terms, places = np.unique(numbers, return_inverse=True)
+        counts = np.bincount(places, times, minlength=len(terms)).astype(np.int64)
+        return terms, counts, sum(words.values()), int(outside.sum())
 
     def count(self, text: str) -> tuple[list[int], list[int], int]:
-        words = _WORD.findall(text.lower())
-        found = Counter(t for terms in filter(None, map(self.of_word.__getitem__, words)) for t in terms)
-        terms = sorted(found)
-        return terms, [found[t] for t in terms], len(words)
+        terms, counts, words, _ = self.arrays(text)
+        return terms.tolist(), counts.tolist(), words
 
 
 @dataclass
 class ToxicityModel:
-    """All that scoring needs; its size is bounded by the sample and the vocabulary."""
+    """All that a search needs; its size is bounded by the sample's texts.
 
-    vocabulary: list[str]
-    idf: np.ndarray
-    index: BlockMaxIndex | None
+    Every executor keeps what is sent, so terms and examples go compressed, and workers build
+    the index from them.
+    """
+
+    words: bytes  # the vocabulary, a line each, compressed
+    weights: np.ndarray  # of terms
+    rarest: float  # weight of a term that no example has
+    numbers: bytes  # each example's terms as steps from the one before, compressed
+    counts: bytes  # and their counts
+    sizes: np.ndarray  # terms of each example
+    outside: np.ndarray
     labels: np.ndarray
     doc_ids: list[int]
     base: float
-    unmarked: float  # score of a document without any term
-    steps: np.ndarray  # calibration: votes and the probabilities there
-    heights: np.ndarray
 
-    def vector(self, terms: list[int], counts: list[int], words: int) -> tuple[np.ndarray, np.ndarray]:
-        if not terms:
-            return np.zeros(0, np.int64), np.zeros(0)
-        numbers = np.array([*terms, len(self.vocabulary)], np.int64)
-        weights = np.append((1 + np.log(np.array(counts, float))) * self.idf[terms], MASS * (1 + np.log(words + 1.0)))
-        return numbers, weights / np.linalg.norm(weights)
+    @cached_property
+    def terms(self) -> Terms:  # made once in each worker
+        return Terms(zlib.decompress(self.words).decode().split("\n"))
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        ends = np.cumsum(self.sizes)[:-1]
+        numbers = np.split(np.frombuffer(zlib.decompress(self.numbers), "<i4"), ends)
+        counts = np.split(np.frombuffer(zlib.decompress(self.counts), "<i4"), ends)
+        vectors = [
+            self.vector(np.cumsum(n, dtype=np.int32), c, o) for n, c, o in zip(numbers, counts, self.outside.tolist())
+        ]
+        return BlockMaxIndex(vectors, len(self.weights))
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
+        weights = (1 + np.log(counts)) * self.weights[terms]
+        return terms, weights / max(1e-300, math.sqrt(float(weights @ weights) + outside * self.rarest**2))
 
     def vote(self, vector: tuple[np.ndarray, np.ndarray], without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         found, likeness = self.index.nearest(*vector, NEIGHBOURS, without)
-        weights = likeness**2
+        weights = likeness**2 / (1 + CLOSE - likeness**2)
         total = float(weights @ self.labels[found]) + PRIOR * self.base / 2
         return total / (float(weights.sum()) + PRIOR), found, likeness
 
-    def score(self, terms: list[int], counts: list[int], words: int) -> tuple[float, list[tuple[int, float, int]]]:
+    def vote_on(self, text: str) -> tuple[float, np.ndarray, np.ndarray] | None:
+        """Nothing for a text without a word."""
+        terms, counts, words, outside = self.terms.arrays(text)
+        return self.vote(self.vector(terms, counts, outside)) if words else None
+
+
+@dataclass
+class Scorer:
+    """A shared model with its calibration: votes and the probabilities there."""
+
+    shared: Broadcast[ToxicityModel] | None
+    unmarked: float = 0.0  # score of a text without a word
+    steps: np.ndarray | None = None
+    heights: np.ndarray | None = None
+
+    def score(self, text: str) -> tuple[float, list[tuple[int, float, int]]]:
         """Probability, and the neighbours it rests on."""
-        if not terms or self.index is None:
+        if self.shared is None:
+            return 0.0, []
+        model = self.shared.value
+        voted = model.vote_on(text)
+        if voted is None:
             return self.unmarked, []
-        vote, found, likeness = self.vote(self.vector(terms, counts, words))
-        evidence = [(self.doc_ids[i], float(s), int(self.labels[i])) for i, s in zip(found.tolist(), likeness.tolist())]
+        vote, found, likeness = voted
+        evidence = [(model.doc_ids[i], float(s), int(model.labels[i])) for i, s in zip(found.tolist(), likeness.tolist())]
         return float(np.interp(vote, self.steps, self.heights)), evidence
 
 
@@ -110,10 +161,10 @@ def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.
     return np.array([v / n for _, n, v in blocks]), heights
 
 
-def choose_vocabulary(sample: DataFrame) -> tuple[list[str], int, int]:
-    """Terms tied to label 1 in a bounded sample (text, label), and the rows of labels 1 and 0.
+def tied_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, int, int]:
+    """All terms of a bounded sample (text, label), each one's tie to label 1, and the rows of labels 1 and 0.
 
-    Each task returns one row per term it has seen.
+    A tie goes from 0 to 1. Each task returns one row per term it has seen.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,49 +185,55 @@ def choose_vocabulary(sample: DataFrame) -> tuple[list[str], int, int]:
                 }
             )
 
-    parts = sample.select("text", "label").mapInArrow(count, "term string, toxic bigint, clean bigint")
-    counts = written(parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "terms")
-    rows = counts.where("term = ''").first()
-    if rows is None or not rows["toxic"] or not rows["clean"]:
-        return [], rows["toxic"] if rows else 0, rows["clean"] if rows else 0
-    toxic, clean = rows["toxic"], rows["clean"]
+    parts = examples.select("text", "label").mapInArrow(count, "term string, toxic bigint, clean bigint")
+    # One row a term of the sample, in Arrow's compact form.
+    counts = parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
+    counts = counts.sort_by("term")
+    vocabulary = counts.column("term").to_pylist()
+    if not vocabulary:
+        return [], np.zeros(0), 0, 0
+    with_term = [counts.column(name).to_numpy().astype(float) for name in ("toxic", "clean")]
+    toxic, clean = (int(seen[0]) for seen in with_term)  # "" sorts first
+    if not toxic or not clean:
+        return [], np.zeros(0), toxic, clean
+    toxic_with, clean_with = (seen[1:] for seen in with_term)
+    both, share = toxic_with + clean_with, toxic / (toxic + clean)
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, 2 * seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0.0)
 
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
-
-    both = F.col("toxic") + F.col("clean")
-    share = toxic / (toxic + clean)
     ratio = (
-        part(F.col("toxic"), both * share)
-        + part(F.col("clean"), both * (1 - share))
-        + part(toxic - F.col("toxic"), (toxic + clean - both) * share)
-        + part(clean - F.col("clean"), (toxic + clean - both) * (1 - share))
+        part(toxic_with, both * share)
+        + part(clean_with, both * (1 - share))
+        + part(toxic - toxic_with, (toxic + clean - both) * share)
+        + part(clean - clean_with, (toxic + clean - both) * (1 - share))
     )
-    chosen = counts.where("term != ''").where((F.col("toxic") >= SUPPORT) & (F.col("toxic") > both * share))
-    needed = EVIDENCE * math.log(max(2, counts.count()))
-    chosen = chosen.withColumn("ratio", ratio).where(F.col("ratio") >= needed)
-    top = chosen.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()
-    return sorted(r["term"] for r in top), toxic, clean
+    full = EVIDENCE * math.log(max(2, len(both)))
+    ties = np.where(toxic_with > both * share, np.clip(ratio / full, 0, 1), 0.0)
+    return vocabulary[1:], ties**2, toxic, clean
 
 
-def _vectors(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id and term counts of every row."""
+def document_frequencies(texts: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
+    """In how many rows of ``texts`` each term is, and how many rows there are."""
+    shared, size = texts.sparkSession.sparkContext.broadcast(vocabulary), len(vocabulary)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(vocabulary)
-        for batch, slice_texts in text_slices(batches):
-            found = [terms.count(t) for t in slice_texts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([f[0] for f in found], pa.list_(pa.int32())),
-                    pa.array([f[1] for f in found], pa.list_(pa.int32())),
-                    pa.array([f[2] for f in found], pa.int32()),
-                ],
-                names=["doc_id", "terms", "counts", "words"],
-            )
-
-    return texts.mapInArrow(count, f"doc_id bigint, {_VECTOR}")
+        terms, seen = Terms(shared.value), np.zeros(size + 1, np.int64)
+        for _, slice_texts in text_slices(batches):
+            for text in slice_texts:
+                seen[terms.arrays(text)[0]] += 1
+            seen[size] += len(slice_texts)
+        some = np.flatnonzero(seen)
+        for first in range(0, len(some), 50_000):
+            part = some[first : first + 50_000]
+            yield pa.RecordBatch.from_pydict({"term": pa.array(part, pa.int64()), "rows": pa.array(seen[part], pa.int64())})
+
+    parts = texts.select("text").mapInArrow(count, "term bigint, rows bigint")
+    summed = parts.groupBy("term").agg(F.sum("rows").alias("rows")).toArrow()  # one row a term
+    frequency = np.zeros(size + 1)
+    frequency[summed.column("term").to_numpy()] = summed.column("rows").to_numpy()
+    shared.unpersist()
+    return frequency[:size], int(frequency[size])
 
 
 def fit_toxicity(
@@ -188,60 +245,87 @@ def fit_toxicity(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
-) -> tuple[ToxicityModel, DataFrame]:
-    """The model, and the written term counts of every document.
+) -> Scorer:
+    """Examples are at most ``train_rows`` labelled rows outside the held-out fold.
 
-    Examples are at most ``train_rows`` labelled rows outside the held-out fold. Without
-    rows of both labels, or without any term that tells them apart, nothing is known
-    against any document, and every score is 0.
+    All of them are searched, over all their terms. Without rows of both labels nothing is
+    known against any document, and every score is 0.
     """
     texts = id_and_text(docs, id_column, text_column)
     train = written(training_labels(labels, label_column, folds, fold, train_rows), "training-labels")
-    # At most train_rows rows of two numbers.
-    sample = texts.join(F.broadcast(train), "doc_id").select("text", "label")
-    vocabulary, toxic, clean = choose_vocabulary(sample)
-    vectors = written(_vectors(texts, vocabulary), "term-counts")
-    size = len(vocabulary)
-    frequency = np.zeros(size)
-    documents = vectors.count()
-    if size:
-        for row in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
-            frequency[row["term"]] = row["count"]  # one row a term
-    base = (toxic + 0.5) / (toxic + clean + 1)
+    # At most train_rows rows of two numbers. Repeated rows of an id are one example.
+    sample = texts.join(F.broadcast(train), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    examples = written(sample, "examples")
+    spread = examples.repartition(max(1, -(-examples.count() // _SPREAD)))
+    vocabulary, ties, toxic, clean = tied_terms(spread)
+    if not vocabulary:
+        return Scorer(None)
+    frequency, documents = document_frequencies(texts, vocabulary)
+    idf = np.log((1 + documents) / (1 + frequency)) + 1
+    words = zlib.compress("\n".join(vocabulary).encode(), 1)
+    lines = docs.sparkSession.sparkContext.broadcast(words)
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(zlib.decompress(lines.value).decode().split("\n"))
+        for batch, slice_texts in text_slices(batches):
+            found = [terms.arrays(text) for text in slice_texts]
+            columns = [
+                batch.column("doc_id"),
+                batch.column("label"),
+                pa.array([np.diff(f[0], prepend=0).astype("<i4").tobytes() for f in found], pa.binary()),
+                pa.array([f[1].astype("<i4").tobytes() for f in found], pa.binary()),
+                pa.array([f[2] for f in found], pa.int64()),
+                pa.array([f[3] for f in found], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "numbers", "counts", "words", "outside"])
+
+    kind = "doc_id bigint, label int, numbers binary, counts binary, words bigint, outside bigint"
+    # Eight bytes a term of an example.
+    packed = spread.mapInArrow(pack, kind).toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    with_words = pc.greater(packed.column("words"), 0)
+    plain = packed.filter(pc.invert(with_words)).column("label").to_pylist()
+    packed = packed.filter(with_words)
+    numbers, counts = packed.column("numbers").to_pylist(), packed.column("counts").to_pylist()
+    idf = np.log((1 + documents) / (1 + frequency)) + 1
     model = ToxicityModel(
-        vocabulary, np.log((1 + documents) / (1 + frequency)) + 1, None, np.zeros(0), [], base, 0.0,
-        np.array([0.0, 1.0]), np.array([0.0, 1.0]),
+        words, idf * (UNTIED + (1 - UNTIED) * ties), UNTIED * (math.log(1 + documents) + 1),
+        zlib.compress(b"".join(numbers), 1), zlib.compress(b"".join(counts), 1),
+        np.array([len(n) // 4 for n in numbers], np.int64), packed.column("outside").to_numpy(),
+        packed.column("label").to_numpy(), packed.column("doc_id").to_pylist(), (toxic + 0.5) / (toxic + clean + 1),
     )
-    if not size:
-        return model, vectors
-    # Repeated rows of an id are one example, so the rows are bounded by the sample.
-    one = vectors.join(F.broadcast(train), "doc_id").groupBy("doc_id", "label")
-    examples = one.agg(F.min(F.struct("terms", "counts", "words")).alias("v")).orderBy("doc_id", "label").collect()
-    marked = [r for r in examples if r["v"]["terms"]]
-    plain = [r["label"] for r in examples if not r["v"]["terms"]]
-    model.unmarked = (sum(plain) + 0.5 * base) / (len(plain) + 0.5)
-    counted = [model.vector(r["v"]["terms"], r["v"]["counts"], r["v"]["words"]) for r in marked]
-    model.labels, model.doc_ids = np.array([r["label"] for r in marked]), [r["doc_id"] for r in marked]
-    model.index = BlockMaxIndex(counted, size + 1)
-    votes = np.array([model.vote(v, without=i)[0] for i, v in enumerate(counted)])
-    model.steps, model.heights = monotone_fit(votes, model.labels)
-    return model, vectors
+    lines.unpersist()
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        place = {pair: i for i, pair in enumerate(zip(model.doc_ids, model.labels.tolist()))}
+        for batch, slice_texts in text_slices(batches):
+            pairs = zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist())
+            at = [place.get(pair, -1) for pair in pairs]  # none for a text without a word
+            rows = [(i, model.terms.arrays(text)) for i, text in zip(at, slice_texts) if i >= 0]
+            votes = [model.vote(model.vector(v[0], v[1], v[3]), without=i)[0] for i, v in rows]
+            yield pa.RecordBatch.from_pydict(
+                {"place": pa.array([i for i, _ in rows], pa.int64()), "vote": pa.array(votes, pa.float64())}
+            )
+
+    voted = spread.mapInArrow(vote, "place bigint, vote double").toArrow().sort_by("place")  # two numbers an example
+    steps, heights = monotone_fit(voted.column("vote").to_numpy(), model.labels[voted.column("place").to_numpy()])
+    unmarked = (sum(plain) + 0.5 * model.base) / (len(plain) + 0.5)
+    return Scorer(shared, unmarked, steps, heights)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, **options) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence of every row.
 
-    A null or empty text has no terms and the score of unmarked examples; where the labels
-    give no terms all scores are 0. A null id is not held out; repeated rows give repeated
+    A null or empty text has no terms and the score of examples without any; where the labels
+    are all alike all scores are 0. A null id is not held out; repeated rows give repeated
     rows; other columns are not read; an empty table gives no rows.
     """
-    model, vectors = fit_toxicity(docs, labels, folds, fold, **options)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample and the vocabulary
+    scorer = fit_toxicity(docs, labels, folds, fold, **options)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("terms", "counts", "words")))
-            scores = [shared.value.score(*row) for row in rows]
+        for batch, slice_texts in text_slices(batches):
+            scores = [scorer.score(text) for text in slice_texts]
             evidence = [[{"doc_id": d, "similarity": s, "label": y} for d, s, y in e] for _, e in scores]
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
             yield pa.RecordBatch.from_pydict(
@@ -254,9 +338,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
                 }
             )
 
-    # Term counts are small, so their files are few; searching them is work for every core.
-    spread = vectors.repartition(max(1, vectors.count() // _SPREAD))
-    return spread.withColumn("held_out", held_out(F.col("doc_id"), folds, fold)).mapInArrow(score, _SCORED)
+    texts = id_and_text(docs, options.get("id_column", "doc_id"), options.get("text_column", "text"))
+    return texts.withColumn("held_out", held_out(F.col("doc_id"), folds, fold)).mapInArrow(score, _SCORED)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **options) -> DataFrame:
@@ -264,14 +347,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **
 
     Odd rows are scored as ``score_toxicity`` says; columns of any name pass through.
     """
-    model, _ = fit_toxicity(docs, labels, text_column=text_column, **options)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scorer = fit_toxicity(docs, labels, text_column=text_column, **options)
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        terms = Terms(shared.value.vocabulary)
         for array in texts:
             table = pa.RecordBatch.from_arrays([array.cast(pa.string())], names=["text"])
-            out = [shared.value.score(*terms.count(t))[0] for _, part in text_slices([table]) for t in part]
+            out = [scorer.score(t)[0] for _, part in text_slices([table]) for t in part]
             yield pa.array(out, pa.float64())
 
     score.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}

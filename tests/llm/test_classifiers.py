@@ -72,6 +72,36 @@ def test_toxicity_on_held_out_rows(spark):
     assert abs(np.mean(calibrated) - np.mean([r["toxic"] for r in rows if r["held_out"]])) < 0.03
 
 
+def test_every_text_is_searched(spark):
+    """No toxic row shares a word with three others, so none would be in a lexicon."""
+    pick = np.random.default_rng(5)
+
+    def text(i):
+        return " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{w}" for w in pick.integers(1000, 9999, 30))
+
+    texts = [text(i) for i in range(200)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, (2000, "zz zz"), (2001, " ")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r for r in score_toxicity(docs, labels, folds=1000, fold=999).collect()}
+    assert len(got) == 402
+    for i in range(200):  # an exact copy rests on the example it is a copy of
+        first = got[1000 + i]["evidence"][0]
+        assert first["doc_id"] == i and abs(first["similarity"] - 1) < 1e-9
+    assert not got[2000]["evidence"] and not got[2001]["evidence"]
+
+
+def test_copies_of_toxic_examples_are_toxic(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    copies = docs.join(labels.where("toxic = 1"), "doc_id").selectExpr("-doc_id as doc_id", "text")
+    rows = score_toxicity(docs.union(copies), labels).collect()
+    scores = {r["doc_id"]: r for r in rows}
+    trained = [r for r in rows if r["doc_id"] < 0 and not scores[-r["doc_id"]]["held_out"]]
+    assert len(trained) == 37 and all(r["predicted"] for r in trained)
+    assert all(r["evidence"] for r in rows if r["doc_id"] < 0)
+
+
 def test_quality_on_held_out_rows(spark):
     scored = QUERIES["op6_quality"](spark, FOLDER)
     rows = scored.join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id").collect()
