@@ -76,6 +76,62 @@ def test_unmarked_page():
     assert main_text(page).splitlines()[-4:] == ["Title", f"{LONG}first.", "Short.", f"{LONG}second."]
 
 
+def test_given_pages_without_landmarks(spark):
+    for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
+        assert main_text(re.sub("</?article>", "", page["html"])) == main_text(page["html"])
+
+
+ARTICLE = f"<h1>Title</h1><p>{LONG}first.</p><p>Short.</p><p>{LONG}second.</p>"
+TEXT = f"Title\n{LONG}first.\nShort.\n{LONG}second."
+CARDS = "".join(f"<article class='card'><h3>Story {i}</h3><p>And what it says.</p></article>" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div>{ARTICLE}</div><div>{CARDS}</div></body>",
+        f"<body><main><div>{ARTICLE}</div><ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul>"
+        "<div><p>All about us.</p></div></main></body>",
+        f"<body><div>Site of sites</div><article>{ARTICLE}</article><div>Some closing words</div></body>",
+    ],
+)
+def test_landmarks_do_not_decide(page):
+    assert main_text(page) == TEXT
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [
+        ('<div class="layout has-sidebar">', "</div>"),
+        ('<div class="no-sidebar"><article>', "</article></div>"),
+        ('<div id="search-results"><div class="content-with-ads">', "</div></div>"),
+        ('<form id="aspnetForm">', "</form>"),
+        ('<form id="aspnetForm"><div class="ad">Buy this now.</div>', "</form>"),
+    ],
+)
+def test_named_wrappers(opening, closing):
+    assert main_text(f"<body><nav>menu</nav>{opening}{ARTICLE}{closing}<footer>end</footer></body>") == TEXT
+
+
+def test_long_comments_stay_out():
+    page = f"<body><div>{ARTICLE}</div><div id=comments>{f'<p>{LONG}</p>' * 20}</div></body>"
+    assert main_text(page) == TEXT
+
+
+LINKS = "<ul>" + "<li><a href=1>a link to another page</a></li>" * 4 + "</ul>"
+
+
+@pytest.mark.parametrize("around", ["<body>{}</body>", "<body><div>{}</div></body>", "<body><div><p>{}</div></body>"])
+def test_interrupted_articles(around):
+    body = f"<p>Opening.</p>{LINKS}<p>{LONG}</p><p>{LONG}</p>{LINKS}<p>Closing words.</p>"
+    assert main_text(around.format(body)) == f"Opening.\n{LONG.strip()}\n{LONG.strip()}\nClosing words."
+
+
+def test_interrupted_sections():
+    body = f"<section><p>{LONG}</p><p>{LONG}</p></section>{LINKS}<section><p>Closing.</p></section>"
+    assert main_text(f"<body><div>{body}</div></body>") == f"{LONG.strip()}\n{LONG.strip()}\nClosing."
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (None, "u", "<p>x"), (2, "u", "<p>x"), (2, "u", "<p>x"), (3, "", "<p>" + "long text " * 200_000)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "'clash' as text")
