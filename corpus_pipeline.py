@@ -62,7 +62,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of what is left in sequences of 2,048 tokens."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0, added_tokens=True)
 
 
 STAGES = [

@@ -20,18 +20,26 @@ def _byte_characters() -> dict[int, int]:
 
 
 class LibraryIds:
-    """Ids of texts without special tokens, as little-endian unsigned integers of type ``kind``.
+    """Ids of texts as little-endian unsigned integers of type ``kind``; none are put around a text.
 
     A segment of letters is one pre-token, so the library's model gets it directly; others
-    go through the whole library.
+    go through the whole library. With ``added``, strings of added tokens in a text get their
+    tokens' ids, as is the library's default; the text between them is cut into segments.
     """
 
-    def __init__(self, path: str, segments: re.Pattern[str], lower: bool, remembered: int):
+    def __init__(self, path: str, segments: re.Pattern[str], lower: bool, remembered: int, added: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on each core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.library.encode_special_tokens = True  # no segment holds one, or it is ordinary text
+        tokens = list(self.library.get_added_tokens_decoder().items()) if added else []
+        self.added = {t.content: number for number, t in tokens}
+        # Tokens that take white space along, or match the normalized text, are left to the library.
+        simple = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for _, t in tokens)
+        self.default = None if simple else Tokenizer.from_file(path)
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile(f"({'|'.join(map(re.escape, longest_first))})").split
         self.model = self.library.model
         self.lower, self.characters = lower, _byte_characters()
         self.space = chr(self.characters[ord(" ")])
@@ -52,14 +60,21 @@ class LibraryIds:
         return array(self.code, self.library.encode(segment, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self.ids_of, self.findall(text)))
+        if self.default is not None:
+            return array(self.code, self.default.encode(text, add_special_tokens=False).ids).tobytes()
+        if not any(content in text for content in self.added):
+            return b"".join(map(self.ids_of, self.findall(text)))
+        return b"".join(
+            array(self.code, [self.added[part]]).tobytes() if place % 2 else b"".join(map(self.ids_of, self.findall(part)))
+            for place, part in enumerate(self.split(text))
+        )
 
 
 @lru_cache(maxsize=2)
-def byte_level_ids(path: str) -> LibraryIds:
-    return LibraryIds(path, BYTE_LEVEL, lower=False, remembered=800_000)
+def byte_level_ids(path: str, added: bool = False) -> LibraryIds:
+    return LibraryIds(path, BYTE_LEVEL, lower=False, remembered=800_000, added=added)
 
 
 @lru_cache(maxsize=2)
-def word_end_ids(path: str) -> LibraryIds:
-    return LibraryIds(path, WORD_END, lower=True, remembered=300_000)
+def word_end_ids(path: str, added: bool = False) -> LibraryIds:
+    return LibraryIds(path, WORD_END, lower=True, remembered=300_000, added=added)

@@ -26,12 +26,12 @@ _PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigi
 
 
 def cut_pieces(
-    docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_column: str, text_column: str
+    docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_column: str, text_column: str, added_tokens: bool
 ) -> DataFrame:
     """Every document's ids and its end id in pieces of at most ``capacity``."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = word_end_ids(tokenizer), np.array([end_id], "<u4")
+        ids_of, end = word_end_ids(tokenizer, added_tokens), np.array([end_id], "<u4")
         for batch, texts in text_slices(batches):
             out = []
             for doc_id, row_no, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), texts):
@@ -54,14 +54,17 @@ def pack_documents(
     end_id: int = 0,
     id_column: str = "doc_id",
     text_column: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is its end id alone; a null id stays null; repeated rows are
     packed each by itself; other columns are not read; an empty table gives no rows.
+    With ``added_tokens`` the strings of a tokenizer's added tokens get their ids, as the
+    library does by default; otherwise they are ordinary text.
     """
     spark = docs.sparkSession
-    pieces = written(cut_pieces(docs, tokenizer, capacity, end_id, id_column, text_column), "pieces")
+    pieces = written(cut_pieces(docs, tokenizer, capacity, end_id, id_column, text_column, added_tokens), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # <= capacity rows
     segments = np.array(sorted(best_plan(histogram, capacity).segments), np.int64).reshape(-1, 4)
     plan = spark.sparkContext.broadcast(segments)  # bounded by the capacity, whatever the number of pieces

@@ -40,7 +40,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of every document, read back."""
     path = scratch_path(spark, "token-files")
-    write_token_files(_table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    write_token_files(_table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
     return read_token_files(spark, path, with_ids=False)
 
 
@@ -88,7 +88,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2,048 tokens."""
-    return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
 
 
 @_query

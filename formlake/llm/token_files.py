@@ -56,12 +56,15 @@ def write_token_files(
     percentile: float = 0.95,
     id_column: str = "doc_id",
     text_column: str = "text",
+    added_tokens: bool = False,
 ) -> None:
     """Write every document's ids and ``end_id`` in ascending order of document ids.
 
     A null or empty text is its end id alone. Null ids come first. Rows with equal ids
     stay whole and adjacent, in the order they were read. An empty table
     writes no record. ``ranges`` defaults to the shuffle partitions.
+    With ``added_tokens`` the strings of a tokenizer's added tokens get their ids, as the
+    library does by default; otherwise they are ordinary text.
     """
     spark = docs.sparkSession
     texts = id_and_text(docs, id_column, text_column).withColumn("tie", F.monotonically_increasing_id())
@@ -69,7 +72,7 @@ def write_token_files(
     bounds = _boundaries(texts.select("doc_id", "tie"), ranges)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = byte_level_ids(tokenizer)
+        ids_of = byte_level_ids(tokenizer, added_tokens)
         kind = ids_of.kind if end_id <= np.iinfo(ids_of.kind).max else np.dtype("<u4")
         end = np.array([end_id], kind).tobytes()
         for batch, slice_texts in text_slices(batches):

@@ -51,6 +51,31 @@ def test_segments_give_the_library_ids(texts, path, ids_of):
         assert np.frombuffer(cut(text), cut.kind).tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("path, ids_of", [(BYTES, byte_level_ids), (WORDS, word_end_ids)])
+def test_added_tokens_get_their_ids_by_default(texts, path, ids_of):
+    whole, cut = Tokenizer.from_file(path), ids_of(path, added=True)
+    for text in [*texts, "a <|endoftext|> b", "<|startoftext|><|endoftext|>'s", "<|ENDOFTEXT|>"]:
+        assert np.frombuffer(cut(text), cut.kind).tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+SPECIAL = [(1, "a <|endoftext|> b"), (2, "<|startoftext|>x<|endoftext|>"), (3, "plain"), (4, None)]
+
+
+def test_queries_keep_the_default_for_added_tokens(spark, folder):
+    spark.createDataFrame(SPECIAL, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    whole, before = Tokenizer.from_file(BYTES), 0
+    for row in sorted(QUERIES["op2_token_files"](spark, folder).collect(), key=lambda r: r["doc_id"]):
+        ids = [*whole.encode(dict(SPECIAL)[row["doc_id"]] or "", add_special_tokens=False).ids, 0]
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (before, len(ids), crc(ids))
+        before += len(ids)
+    words = Tokenizer.from_file(WORDS)
+    rows = {r["doc_id"]: r for r in QUERIES["op7_packing"](spark, folder).collect()}
+    assert len(rows) == len(SPECIAL)
+    for doc_id, text in SPECIAL:
+        ids = [*words.encode(text or "", add_special_tokens=False).ids, 0]
+        assert (rows[doc_id]["length"], rows[doc_id]["ids_crc32"]) == (len(ids), crc(ids))
+
+
 def test_segment_counts_add_up(texts):
     pieces = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     for text in texts:
