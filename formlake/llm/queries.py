@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formlake.llm import conversation_sql
 from formlake.llm.byte_bpe import encode_and_decode
+from formlake.llm.conversation_repair import report_damage
 from formlake.llm.exact_dedup import exact_duplicates
 from formlake.llm.main_text import extract_main_text
 from formlake.llm.packing import pack_documents
@@ -152,3 +154,12 @@ WITH articles AS (
 )
 SELECT page_id, url, text, length(text) AS n_chars FROM texts
 """
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """What was wrong with every damaged conversation, and its cheapest repair."""
+    return report_damage(_table(spark, folder, "conversations"))
+
+
+ORACLES["op12_conversation_repair"] = conversation_sql.ORACLE
