@@ -10,6 +10,7 @@ from formlake.llm import conversation_sql
 from formlake.llm.byte_bpe import encode_and_decode
 from formlake.llm.conversation_repair import report_damage
 from formlake.llm.exact_dedup import exact_duplicates
+from formlake.llm.hard_negatives import mine_hard_negatives
 from formlake.llm.main_text import extract_main_text
 from formlake.llm.packing import pack_documents
 from formlake.llm.quality import score_quality
@@ -163,3 +164,36 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_conversation_repair"] = conversation_sql.ORACLE
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, with one label in seven moved on."""
+    vectors = _table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+           CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
