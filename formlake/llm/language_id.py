@@ -18,13 +18,11 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from formlake.llm.batches import named, text_slices
 from formlake.llm.labelled import held_out
-from formlake.llm.segments import SegmentCache
 from formlake.llm.written import written
 
 TRAIN_ROWS = 4_000  # documents of the sample, in all languages
@@ -37,34 +35,86 @@ LONGEST = 64  # characters of a piece; longer words are cut into pieces
 UNKNOWN = "und"
 
 _SEED = 11
-_EPOCHS, _BATCH, _RATE, _SHRINK = 12, 32, 0.5, 1e-4
+_BATCH, _EPOCHS, _STEPS = 32, 8, 800  # the more passes, the fewer texts there are
+_TABLE_RATE, _LAYER_RATE, _OFFSET_RATE, _SHRINK = 50.0, 1.0, 0.1, 1e-4
 _PARTS = 5  # one of so many is kept for calibration
-_SNIPPETS = (1, 3, 8, 30, 0)  # words of a text that training sees, in turn; 0: all
+_SNIPPETS = (1, 3, 8, 30, 100)  # words of a text that training sees, in turn
 _ACCEPTED = 0.95  # of the right answers of the calibration part are kept
 
+_AT_ONCE = 1 << 20  # characters whose words are listed at once
+_CACHED = 1 << 22  # numbers that a worker keeps of words it has seen
 _WORD = re.compile(r"[^\W\d_]+")
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)  # of the polynomial that hashes characters
+_POWERS = np.cumprod(np.full(LONGEST + 2, _FACTOR, np.uint64), dtype=np.uint64)
 
 
 def words_of(text: str) -> Counter[str]:
-    """Pieces of at most ``LONGEST`` letters, in lower case, with their counts."""
-    counts = Counter(_WORD.findall(text.lower()))
-    for word in [w for w in counts if len(w) > LONGEST]:
+    """Words with a letter, in lower case, in pieces of at most ``LONGEST`` characters, with their counts."""
+    text = text.lower()
+    found = _WORD.findall(text) if len(text) < _AT_ONCE else (m.group() for m in _WORD.finditer(text))
+    counts = Counter(found)
+    for word in [w for w in counts if len(w) > LONGEST or not w.isalpha()]:
         times = counts.pop(word)
-        for at in range(0, len(word), LONGEST):
-            counts[word[at : at + LONGEST]] += times
+        if any(map(str.isalpha, word)):  # the pattern also takes signs such as fractions
+            for at in range(0, len(word), LONGEST):
+                counts[word[at : at + LONGEST]] += times
     return counts
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of a word and of the sequences in it."""
-    marked = f"<{word}>"
-    parts = [marked, *(marked[i : i + n] for n in LENGTHS for i in range(len(marked) - n + 1))]
-    return [xxhash.xxh32_intdigest(p.encode("utf-8", "surrogatepass"), _SEED) % BUCKETS for p in parts]
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words and of the sequences in them, and the place of the word each belongs to."""
+    text = "".join([f"<{w}>" for w in words])
+    signs = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    word = np.repeat(np.arange(len(words)), sizes)
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(len(signs)) - np.repeat(starts, sizes)
+    hashes, places = [np.add.reduceat(signs * _POWERS[at], starts)], [np.arange(len(words))]
+    running = np.zeros(len(signs), np.uint64)
+    for n in range(1, max(LENGTHS) + 1):
+        running = running[: len(signs) - n + 1] * _FACTOR + signs[n - 1 :]
+        if n in LENGTHS:
+            inside = word[: len(running)] == word[n - 1 :]
+            hashes.append((running + np.uint64(n))[inside])
+            places.append(word[: len(running)][inside])
+    mixed = np.concatenate(hashes)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _FACTOR
+    return (mixed >> np.uint64(40)).astype(np.int64) % BUCKETS, np.concatenate(places)
+
+
+class WordScores(dict):
+    """Words' shares of every language's score and their numbers of subwords, as rows of a table.
+
+    All words are forgotten when they hold too much, but not within a text.
+    """
+
+    def __init__(self, scores: np.ndarray):
+        super().__init__()
+        self.scores, self.most = scores, max(1024, _CACHED // (scores.shape[1] + 1))
+        self.rows = np.empty((1024, scores.shape[1] + 1))
+
+    def of(self, words: Counter[str]) -> np.ndarray:
+        if len(self) >= self.most:
+            self.clear()
+            self.rows = self.rows[:1024].copy()
+        new = [w for w in words if w not in self]
+        if new:
+            buckets, word = subwords(new)
+            first, last = len(self), len(self) + len(new)
+            while last > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+            order = np.argsort(word, kind="stable")
+            counts = np.bincount(word)
+            starts = np.cumsum(counts) - counts
+            self.rows[first:last, :-1] = np.add.reduceat(self.scores[buckets[order]], starts, axis=0)
+            self.rows[first:last, -1] = counts
+            self.update(zip(new, range(first, last)))
+        return self.rows[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
 
 
 @dataclass
 class LanguageModel:
-    """Sizes are fixed by the parameters, not by the corpus."""
+    """Sizes follow from the parameters, not from the corpus."""
 
     languages: list[str]
     table: np.ndarray  # bucket by width, single precision
@@ -74,23 +124,15 @@ class LanguageModel:
     accept: float  # answers of a lower probability are rejected
 
     @cached_property
-    def word_scores(self) -> SegmentCache:  # made once in each worker
-        """A word's share of every language's score, and its number of rows."""
-        scores = self.table.astype(np.float64) @ self.layer
-
-        def of(word: str) -> np.ndarray:
-            rows = subwords(word)
-            return np.append(scores[rows].sum(axis=0), len(rows))
-
-        return SegmentCache(of, limit=200_000)
+    def words(self) -> WordScores:  # made once in each worker
+        return WordScores(self.table.astype(np.float64) @ self.layer)
 
     def logits(self, text: str) -> np.ndarray | None:
         """Nothing for a text without a letter."""
         words = words_of(text)
         if not words:
             return None
-        each = np.array([self.word_scores[w] for w in words])
-        total = np.fromiter(words.values(), np.float64, len(words)) @ each
+        total = np.fromiter(words.values(), np.float64, len(words)) @ self.words.of(words)
         return total[:-1] / total[-1] + self.offset
 
     def predict(self, text: str) -> tuple[str, float, bool]:
@@ -111,43 +153,44 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 def train(texts: list[str], answers: list[int], languages: int, seed: int = _SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Embedding table, layer and offset, by gradient descent over parts of the texts.
 
-    Each epoch sees another part of a text, from one word to all, so that short texts are
-    learned too. Languages weigh alike, however many texts they have.
+    Each epoch sees another part of a text, from one word to a hundred, so that short texts
+    are learned too. Languages weigh alike, however many texts they have.
     """
     pick = np.random.default_rng(seed)
-    table = ((pick.random((BUCKETS, WIDTH)) - 0.5) / WIDTH).astype(np.float32)
+    table = (pick.random((BUCKETS, WIDTH)) - 0.5) / WIDTH
     layer, offset = np.zeros((WIDTH, languages)), np.zeros(languages)
-    rows_of = SegmentCache(lambda word: np.array(subwords(word), np.int64), limit=200_000)
-    words = [_WORD.findall(t.lower()) for t in texts]
-    words = [[w[:LONGEST] for w in some] for some in words]
+    words = [[w[:LONGEST] for w in _WORD.findall(t.lower())] for t in texts]
     answers = np.array(answers)
-    weight = 1 / np.maximum(np.bincount(answers, minlength=languages), 1)
-    weight = (weight / (weight[answers].mean() if len(answers) else 1))[answers]
-    steps, done = _EPOCHS * -(-len(texts) // _BATCH), 0
-    for epoch in range(_EPOCHS):
+    weight = 1 / np.maximum(np.bincount(answers, minlength=languages), 1)[answers]
+    weight /= weight.mean()
+    batches, done = -(-len(texts) // _BATCH), 0
+    epochs = max(_EPOCHS, -(-_STEPS // batches))
+    for epoch in range(epochs):
         order = pick.permutation(len(texts))
         for first in range(0, len(order), _BATCH):
             some = order[first : first + _BATCH]
-            rows, sizes = [], []
+            parts = []
             for i in some:
-                size = _SNIPPETS[(epoch + i) % len(_SNIPPETS)] or len(words[i])
+                size = _SNIPPETS[(epoch + i) % len(_SNIPPETS)]
                 at = int(pick.integers(0, max(1, len(words[i]) - size + 1)))
-                found = [rows_of[w] for w in words[i][at : at + size]]
-                rows += found
-                sizes.append(sum(map(len, found)))
-            rows, sizes = np.concatenate(rows), np.array(sizes)
-            starts = np.cumsum(sizes) - sizes
-            means = np.add.reduceat(table[rows], starts, axis=0) / sizes[:, None]
+                parts.append(words[i][at : at + size])
+            buckets, word = subwords([w for part in parts for w in part])
+            text = np.repeat(np.arange(len(parts)), [len(part) for part in parts])[word]
+            used, row = np.unique(buckets, return_inverse=True)
+            # How often each text has each bucket, as shares: the mean is one product.
+            shares = np.bincount(text * len(used) + row, minlength=len(parts) * len(used)).reshape(len(parts), -1)
+            shares = shares / shares.sum(axis=1, keepdims=True)
+            means = shares @ table[used]
             error = _softmax(means @ layer + offset)
             error[np.arange(len(some)), answers[some]] -= 1
-            error *= weight[some][:, None]
-            rate = _RATE * (1 - done / steps)
-            back = np.repeat((error @ layer.T) / sizes[:, None], sizes, axis=0)
-            np.subtract.at(table, rows, (rate * back * WIDTH).astype(np.float32))
-            layer -= rate * (means.T @ error + _SHRINK * layer)
-            offset -= rate * error.mean(axis=0)
+            error *= (weight[some] / len(some))[:, None]
+            rate = 1 - done / (epochs * batches)
+            step = rate * _TABLE_RATE * (shares.T @ (error @ layer.T))
+            table[used] -= step / max(1.0, float(np.abs(step).max()))  # no number moves by more than 1
+            layer -= rate * _LAYER_RATE * (means.T @ error + _SHRINK * layer)
+            offset -= rate * _OFFSET_RATE * error.sum(axis=0)
             done += 1
-    return table, layer, offset
+    return table.astype(np.float32), layer, offset
 
 
 def fitted_temperature(logits: np.ndarray, answers: np.ndarray) -> float:
@@ -194,7 +237,9 @@ def fit_language(
     )
     cut = F.greatest(F.lit(0), F.floor((F.length("text") - characters) / 2)).cast("int")
     picked = picked.where("place <= bound").select("lang", "place", F.substring("text", cut + 1, F.lit(characters)).alias("text"))
-    order = F.row_number().over(_by_place())
+    # Repeated rows of an id are one, so that no more than about 2 * share rows of a language are ranked.
+    picked = picked.groupBy("lang", "place").agg(F.min("text").alias("text"))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
     sample = written(picked.withColumn("rank", order).where(F.col("rank") <= share), "language-sample")
     rows = sample.orderBy("lang", "rank").collect()  # at most train_rows rows of ``characters``
     rows = [r for r in rows if _WORD.search(r["text"])]
@@ -214,16 +259,10 @@ def fit_language(
         right = shares.argmax(axis=1) == answers
         if right.any():
             model.accept = float(np.quantile(shares.max(axis=1)[right], 1 - _ACCEPTED, method="lower"))
-    del model.__dict__["word_scores"]  # each worker makes its own
+    model.__dict__.pop("words", None)  # each worker makes its own
     return model
 
 
-def _by_place():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("lang").orderBy("place", "text")
-
-
 _PREDICTED = "doc_id bigint, held_out boolean, lang_pred string, score double, accepted boolean"
 
 

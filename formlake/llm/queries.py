@@ -11,6 +11,7 @@ from formlake.llm.byte_bpe import encode_and_decode
 from formlake.llm.conversation_repair import report_damage
 from formlake.llm.exact_dedup import exact_duplicates
 from formlake.llm.hard_negatives import mine_hard_negatives
+from formlake.llm.language_id import predict_language
 from formlake.llm.main_text import extract_main_text
 from formlake.llm.packing import pack_documents
 from formlake.llm.quality import score_quality
@@ -157,6 +158,12 @@ SELECT page_id, url, text, length(text) AS n_chars FROM texts
 """
 
 
+@_query
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, and whether the answer is sure enough."""
+    return predict_language(_table(spark, folder, "documents"))
+
+
 @_query
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """What was wrong with every damaged conversation, and its cheapest repair."""
