@@ -7,9 +7,9 @@ a single projection on the lazy input.
 
 from __future__ import annotations
 
-import math
 import warnings
 from dataclasses import dataclass, field
+from decimal import Context, Decimal, InvalidOperation
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,22 +171,61 @@ def _possible_fields(column: str) -> list[str]:
     return out
 
 
-def _as_number(code: str) -> float | None:
+def _as_number(code: str) -> Decimal | None:
     try:
-        value = float(code)
-    except ValueError:
+        value = Decimal(code.strip().replace("_", "x"))
+    except InvalidOperation:
         return None
-    return None if math.isnan(value) else value
+    return value if value.is_finite() else None
 
 
 def _compare_on_number(data_type: T.DataType, codes: list[str]) -> bool:
     return isinstance(data_type, _NUMERIC) and all(_as_number(c) is not None for c in codes)
 
 
+def _places(data_type: T.DataType) -> int | None:
+    """Decimal places of a type whose numbers are exact; None for doubles and floats."""
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return None
+    return data_type.scale if isinstance(data_type, T.DecimalType) else 0
+
+
+def _key_type(data_type: T.DataType) -> str:
+    """The type on which a numeric column's cells meet codes, without loss."""
+    places = _places(data_type)
+    if places is None:
+        return "double"
+    return f"decimal(38,{places})" if isinstance(data_type, T.DecimalType) else "bigint"
+
+
+def _key(code: str, data_type: T.DataType) -> float | Decimal | int | None:
+    """A numeric code in that type; None for one that no cell of the type can equal."""
+    value, places = _as_number(code), _places(data_type)
+    if places is None:
+        return float(value)
+    if value.adjusted() >= 38 - places or value != round(value, places):
+        return None
+    if isinstance(data_type, T.DecimalType):
+        return value.quantize(Decimal(1).scaleb(-places), context=Context(prec=60))
+    return int(value) if -(2**63) <= value < 2**63 else None
+
+
+def _numeric_codes(data_type: T.DataType, pairs: list[tuple[str, str]]) -> dict:
+    """Labels by code in the column's key type; of several labels for a code the first."""
+    known: dict = {}
+    for code, text in pairs:
+        key = _key(code, data_type)
+        if key is not None:
+            known.setdefault(key, text)
+    return known
+
+
 def holds_code(column: Column, data_type: T.DataType, codes: list[str]) -> Column:
     """Whether a cell is one of the codes: on numbers if both sides are numeric."""
     if _compare_on_number(data_type, codes):
-        return column.cast("double").isin([_as_number(c) for c in codes])
+        kind = _key_type(data_type)
+        keys = _numeric_codes(data_type, [(c, c) for c in codes])
+        return column.cast(kind).isin([F.lit(k).cast(kind) for k in keys]) & F.lit(bool(keys))
     return as_character(column, data_type).isin(codes)
 
 
@@ -219,14 +258,15 @@ def decode(column: Column, data_type: T.DataType, pairs: list[tuple[str, str]])
     if not pairs:
         return raw
     if _compare_on_number(data_type, [c for c, _ in pairs]):
-        numbers: dict[float, str] = {}
-        for code, text in pairs:
-            numbers.setdefault(_as_number(code), text)
-        key, known = column.cast("double"), numbers
+        kind = _key_type(data_type)
+        key, known = column.cast(kind), _numeric_codes(data_type, pairs)
+        if not known:
+            return raw
+        cells = [x for code, text in known.items() for x in (F.lit(code).cast(kind), F.lit(text))]
     else:
         key, known = raw, dict(reversed(pairs))
-        known = {c: known[c] for c, _ in pairs}
-    table = F.create_map(*[F.lit(x) for item in known.items() for x in item])
+        cells = [F.lit(x) for c in dict.fromkeys(c for c, _ in pairs) for x in (c, known[c])]
+    table = F.create_map(*cells)
     return F.coalesce(F.try_element_at(table, key), raw)
 
 
@@ -243,6 +283,24 @@ def decode_checkbox(column: Column, data_type: T.DataType, label: str) -> Column
     )
 
 
+def _common_type(one: T.DataType, other: T.DataType) -> str:
+    """The type on which numbers of two columns meet."""
+    places = [p for p in (_places(one), _places(other)) if p is not None]
+    if not places:
+        return "double"
+    if max(places) == 0 and not isinstance(one, T.DecimalType) and not isinstance(other, T.DecimalType):
+        return "bigint"
+    return f"decimal(38,{min(max(places), 18)})"
+
+
+def _exactly(column: Column, data_type: T.DataType, kind: str) -> Column:
+    """Numbers in another type; null for those it can't hold without loss."""
+    if data_type.simpleString() == kind:
+        return column
+    moved = column.try_cast(kind)
+    return F.when(moved.cast(data_type) == column, moved)
+
+
 def decode_by_table(
     df: DataFrame,
     column: str,
@@ -258,11 +316,18 @@ def decode_by_table(
     """
     data_type = df.schema[column].dataType
     metadata = df.schema[column].metadata
-    numeric = isinstance(data_type, _NUMERIC) and isinstance(codes.schema[code].dataType, _NUMERIC)
+    code_type = codes.schema[code].dataType
+    numeric = isinstance(data_type, _NUMERIC) and isinstance(code_type, _NUMERIC)
     kept = [f.name for f in df.schema.fields]
+    coded = F.col(f"`{code}`")
+    if numeric:
+        kind = _common_type(data_type, code_type)
+        own = _exactly(coded, code_type, kind)
+    else:
+        kind, own = "string", coded.cast("string")
     keyed = materialise(
         codes.select(
-            (F.col(code).cast("double") if numeric else F.col(code).cast("string")).alias("_code"),
+            own.alias("_code"),
             F.col(label).alias("_label"),
             (F.col(order) if order else F.monotonically_increasing_id()).alias("_order"),
         )
@@ -271,7 +336,7 @@ def decode_by_table(
         .agg(F.min_by("_label", "_order").alias("_label"))
     )
     cell = F.col(f"`{column}`")
-    key = cell.cast("double") if numeric else as_character(cell, data_type)
+    key = _exactly(cell, data_type, kind) if numeric else as_character(cell, data_type)
     joined = attach(df.withColumn("_code", key), keyed, ["_code"])
     return joined.select(
         *[
@@ -352,13 +417,12 @@ def label(
 
 def _decode_long(df: DataFrame, name: str, pairs: list[tuple[str, str]]) -> DataFrame:
     """Decode against a list too long for the plan; it came from one dictionary cell."""
-    numeric = _compare_on_number(df.schema[name].dataType, [c for c, _ in pairs])
-    rows: dict = {}
-    for code, text in pairs:
-        rows.setdefault(_as_number(code) if numeric else code, text)
-    codes = df.sparkSession.createDataFrame(
-        list(rows.items()), f"code {'double' if numeric else 'string'}, label string"
-    )
+    data_type = df.schema[name].dataType
+    if _compare_on_number(data_type, [c for c, _ in pairs]):
+        rows, kind = _numeric_codes(data_type, pairs), _key_type(data_type)
+    else:
+        rows, kind = dict(reversed(pairs)), "string"
+    codes = df.sparkSession.createDataFrame(list(rows.items()), f"code {kind}, label string")
     return decode_by_table(df, name, codes)
 
 

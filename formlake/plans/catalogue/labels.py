@@ -9,6 +9,7 @@ from formlake.operators.dictionary import conform
 from formlake.operators.lookup import attach
 from formlake.plans.catalogue.dictionary import _BLANKS_SQL, CHOICE_ROWS_SQL
 from formlake.plans.catalogue.projects import (
+    _dictionary,
     CUSTOMER_PROJECT_SQL,
     PART_COLUMNS_SQL,
     PART_DICTIONARY_SQL,
@@ -298,3 +299,32 @@ def label_metadata_rows(spark, folder):
     )
     written = F.transform("value_labels", lambda v: F.concat(v["code"], F.lit("="), v["label"]))
     return L.label_rows(labelled).withColumn("value_labels", F.array_join(written, " | "))
+
+
+# Beyond 2^53 neighbouring whole numbers are one double.
+_LARGE = 2**53
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_linenumber <= 3 THEN 'Line ' || CAST(l_linenumber AS VARCHAR)
+            ELSE CAST(l_linenumber + {_LARGE} AS VARCHAR) END AS line,
+       coalesce(o_orderpriority, CAST(l_orderkey + {_LARGE} AS VARCHAR)) AS parent,
+       CASE WHEN l_linenumber IN (1, 2) THEN 'Deep ' || CAST(l_linenumber AS VARCHAR)
+            ELSE CAST(CAST(l_linenumber AS DECIMAL(38, 0)) + 100000000000000000000 AS VARCHAR) END AS deep
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderkey % 2 = 1
+""")
+def decode_large_codes(spark, folder):
+    """Codes of more than 53 bits, from a choice list and from a table; neighbours stay apart."""
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", f"l_linenumber + {_LARGE} AS line", f"l_orderkey + {_LARGE} AS parent",
+        "cast(l_linenumber AS decimal(38,0)) + 100000000000000000000BD AS deep",
+    )
+    choices = " | ".join(f"{_LARGE + n}, Line {n}" for n in (1, 2, 3))
+    deep = " | ".join(f"{10**20 + n}, Deep {n}" for n in (1, 2))
+    dictionary = _dictionary(
+        spark, [("line", "main", "radio", "Line", choices), ("deep", "main", "radio", "Deep", deep)]
+    )
+    codes = table(spark, folder, "orders").where("o_orderkey % 2 = 1")
+    codes = codes.selectExpr(f"o_orderkey + {_LARGE} AS code", "o_orderpriority AS label")
+    return L.decode_by_table(L.label(lines, dictionary), "parent", codes)

@@ -246,3 +246,33 @@ def test_gray_status(spark, study):
     ).coalesce(1)
     shown = blank_gray_status(df, study, "record_id")
     assert [r["health_complete"] for r in shown.collect()] == [None, 2]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)", "decimal(20,2)", "int", "double"])
+def test_codes_are_compared_exactly(spark, kind):
+    base = 2**53 if kind in ("bigint", "decimal(38,0)") else 1000
+    codes = [(str(base), "even"), (f"{base + 1}.0", "odd"), (str(base + 1), "second label"), ("0.5", "half"), ("1e3", "thousand")]
+    df = spark.createDataFrame([(base,), (base + 1,), (base + 2,), (None,)], "v bigint").selectExpr(f"cast(v as {kind}) v")
+    data_type = df.schema["v"].dataType
+    got = [r[0] for r in df.select(L.decode(F.col("v"), data_type, codes)).collect()]
+    assert got[:2] == ["even", "odd"] and got[2].startswith(str(base + 2)) and got[3] is None
+    held = [r[0] for r in df.select(L.holds_code(F.col("v"), data_type, [c for c, _ in codes])).collect()]
+    assert held == [True, True, False, None]
+    only = [r[0] for r in df.select(L.holds_code(F.col("v"), data_type, ["0.25"])).collect()]
+    assert not any(only)
+    table = spark.createDataFrame([(base, "even", 1), (base + 1, "odd", 2), (base + 1, "later", 3)], "code bigint, label string, o int")
+    for code_kind in ("bigint", "decimal(38,0)", "decimal(30,3)"):
+        coded = table.selectExpr(f"cast(code as {code_kind}) code", "label", "o")
+        out = [r[0] for r in L.decode_by_table(df, "v", coded, order="o").orderBy("v").collect()]
+        assert [o for o in out if o in ("even", "odd")] == ["even", "odd"] and len(out) == 4
+
+
+def test_long_lists_of_large_codes(spark):
+    pairs = [(str(2**60 + i), f"label {i}") for i in range(300)]
+    dictionary = spark.createDataFrame(
+        [("v", "f", "radio", "V", " | ".join(f"{c}, {t}" for c, t in pairs))],
+        "field_name string, form_name string, field_type string, field_label string, select_choices_or_calculations string",
+    )
+    df = spark.createDataFrame([(2**60 + i,) for i in range(305)], "v bigint")
+    got = sorted(r["v"] for r in L.label(df, dictionary).collect())
+    assert got == sorted([t for _, t in pairs] + [str(2**60 + i) for i in range(300, 305)])
