@@ -21,6 +21,7 @@ from formlake.sources.file_answers import FileAnswers, write_answers, write_file
 from formlake.plans.ingest import TransferError, ingest
 from formlake.project import Project
 from formlake.session import scratch_path
+from formlake.sources.export_folder import read_folder
 from formlake.sources.projects import FolderSource, RequestSource, TableSource
 
 _CHUNKS_SQL = """
@@ -251,6 +252,70 @@ def folder_load_isolated(spark, folder):
     return project.records()
 
 
+_CELL = "nullif(nullif(trim({0}, ' ' || chr(9)), ''), 'NA')"
+_DOCUMENT_CELLS = f"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, {_CELL.format("lang")} AS lang, {_CELL.format("text")} AS text FROM documents
+"""
+_RANGE = 256 << 10
+_EXACT = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+          "ignoreTrailingWhiteSpace": "false"}
+
+
+def _document_files(spark, folder, path: str, files: int = 4):
+    """Documents as CSV exports; their texts hold line breaks, quotes and separators."""
+    rows = as_text(table(spark, folder, "documents").select("doc_id", "lang", "text"))
+    parts = rows.repartitionById(files, F.pmod(F.crc32(F.col("doc_id").cast("binary")), F.lit(files)).cast("int"))
+    parts.write.mode("overwrite").options(**_EXACT).csv(path)
+
+
+@query(_DOCUMENT_CELLS)
+def scan_split_exports(spark, folder):
+    """A few large export files with line breaks in their cells, each read by many tasks."""
+    path = scratch_path(spark, "split")
+    _document_files(spark, folder, path)
+    return read_folder(spark, path, range_bytes=_RANGE)
+
+
+@query(f"""
+SELECT doc_id, lang, length(text) AS length, md5(text) AS digest FROM (
+  SELECT CAST(doc_id AS INTEGER) AS doc_id, lang, text FROM ({_DOCUMENT_CELLS})
+  UNION ALL
+  SELECT -1, 'long', {_CELL.format("repeat(text || chr(10), CAST(ceil(20e6 / (length(text) + 1)) AS BIGINT))")}
+  FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents WHERE length(text) > 100)
+  UNION ALL SELECT CAST(-2 - doc_id AS INTEGER), 'short', NULL FROM documents WHERE doc_id < 100
+  UNION ALL SELECT -1000, 'warnings', 'log' FROM range(1) UNION ALL SELECT -1001, 'errors', 'log' FROM range(2)
+)
+""")
+def folder_load_odd_files(spark, folder):
+    """Documents beside a cell of 20 MB, short rows, a header that isn't text and a row too long.
+
+    What can be read lands; the log has a warning of the short rows and an error for each of two files.
+    """
+    root = scratch_path(spark, "odd")
+    _document_files(spark, folder, f"{root}/export/records")
+    documents = table(spark, folder, "documents")
+    first = documents.where("length(text) > 100").agg(F.min("doc_id")).first()[0]
+    long = documents.where(F.col("doc_id") == first).selectExpr(
+        "'-1' AS doc_id", "'long' AS lang", "repeat(text || '\n', cast(ceil(20e6 / (length(text) + 1)) AS int)) AS text"
+    )
+    long.coalesce(1).write.options(**_EXACT).csv(f"{root}/export/records/long")
+    short = documents.where("doc_id < 100").selectExpr("concat(-2 - doc_id, ',short') AS `doc_id,lang,text`")
+    bare = {"quote": "", "escapeQuotes": "false", "quoteAll": "false", "sep": "\t"}
+    short.coalesce(1).write.options(header="true", **bare).csv(f"{root}/export/records/short")
+    for name, text in (("wide", "doc_id,lang,text\n1,2,3,4\n"), ("twice", "doc_id,lang,lang\n1,2,3\n")):
+        write_file(spark, f"{root}/export/records/{name}.csv", text)
+    write_file(spark, f"{root}/export/metadata.csv", "field_name,form_name\ndoc_id,main\n")
+    project = Project(spark, root=f"{root}/project", record_id="doc_id", audit_log=None)
+    ingest(project, FolderSource(spark, f"{root}/export", "doc_id", range_bytes=_RANGE))
+    rows = project.records().select("doc_id", "lang", F.length("text").cast("bigint").alias("length"), F.md5("text").alias("digest"))
+    files = project.log().where("message like 'Unable to read%' or message like 'Read with remarks%'")
+    told = files.selectExpr(
+        "if(type = 'ERROR', -1001, -1000) AS doc_id", "if(type = 'ERROR', 'errors', 'warnings') AS lang",
+        "3L AS length", "md5('log') AS digest",
+    )
+    return rows.unionByName(told)
+
+
 @query("SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS c_custkey FROM customer")
 def folder_record_ids(spark, folder):
     """Record IDs of an export folder; only that column of its files is parsed."""

@@ -214,17 +214,20 @@ def _chunk_status(project: Project, source, chunks: DataFrame, run: str) -> Data
     )
 
 
-def _file_faults(project: Project, source, run: str) -> DataFrame | None:
-    """Messages about files of this run that could not be read; their rows count as not landed."""
+def _file_notes(project: Project, source, run: str, status: str, begin: str) -> DataFrame | None:
+    """What this run has to say about files of a status, once for each file and message."""
     if source.reports_status or not project.exists(project.raw):
         return None
     raw = project.read(project.raw)
     if ERROR not in raw.columns:
         return None
-    bad = raw.filter((F.col(RUN) == run) & (F.col(STATUS) == C.ERROR))
-    return bad.select(
-        F.concat(F.lit("Unable to read "), F.col(KEY), F.lit(": "), F.col(ERROR)).alias("message")
-    )
+    told = raw.filter((F.col(RUN) == run) & (F.col(STATUS) == status) & F.col(ERROR).isNotNull())
+    return told.select(F.concat(F.lit(begin), F.col(KEY), F.lit(": "), F.col(ERROR)).alias("message")).distinct()
+
+
+def _file_faults(project: Project, source, run: str) -> DataFrame | None:
+    """Messages about files of this run that could not be read; their rows count as not landed."""
+    return _file_notes(project, source, run, C.ERROR, "Unable to read ")
 
 
 def _runs(project: Project, table: str) -> set[str]:
@@ -387,16 +390,18 @@ def _done_files(project: Project) -> DataFrame | None:
     raw = project.read(project.raw)
     if ERROR not in raw.columns:
         return None
-    return materialise(raw.filter(F.col(STATUS) == C.SUCCESS).select(KEY).distinct())
+    # A large file lands in slices: it is whole if none of a run's slices failed.
+    told = raw.filter(F.col(STATUS).isNotNull()).groupBy(RUN, KEY).agg(F.max(F.col(STATUS) == C.ERROR).alias("failed"))
+    return materialise(told.filter("NOT failed").select(KEY).distinct())
 
 
-def _log_faults(journal: Journal, faults: DataFrame | None) -> int:
+def _log_faults(journal: Journal, faults: DataFrame | None, kind: str = C.ERROR) -> int:
     if faults is None:
         return 0
     faults = materialise(faults)
     journal.add_many(
         faults.select(
-            stamp_literal(now()).alias("timestamp"), F.lit(C.ERROR).alias("type"), "message"
+            stamp_literal(now()).alias("timestamp"), F.lit(kind).alias("type"), "message"
         )
     )
     return faults.count()
@@ -416,6 +421,7 @@ def _finish(
 ) -> TransferResult:
     closing = C.outcome(C.tallies(status)).first()
     n_faults = _log_faults(journal, _file_faults(project, source, run))
+    _log_faults(journal, _file_notes(project, source, run, C.SUCCESS, "Read with remarks: "), C.WARNING)
     failed = closing["failed_chunks"]
     if failed:
         lost = C.failed_ids(chunked, status, source.record_id).count()

@@ -7,12 +7,15 @@ instead of failing the job.
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -28,11 +31,14 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from formlake.sources.csv_stream import align, csv_batches, read_header
+from formlake.sources.csv_ranges import RANGE_BYTES, plan_slices, read_slices, slice_batches
+from formlake.sources.csv_stream import HeaderError, align, csv_batches, read_header
 
 FORMAT = "project_export"
 FILE, STATUS, ERROR, ROWS = "_file", "_status", "_error", "_rows"
 _SUFFIX = ".csv"
+UNREADABLE = (OSError, pa.ArrowException, UnicodeError, HeaderError, csv.Error)
+FEW_FILES = 16  # headers of no more than these are read without a Spark job
 _RANGES = {
     GreaterThan: pc.greater,
     GreaterThanOrEqual: pc.greater_equal,
@@ -69,40 +75,43 @@ def _header_of(store: fs.FileSystem, path: str) -> list[str]:
     try:
         with store.open_input_stream(path) as stream:
             return read_header(stream)
-    except OSError:
+    except UNREADABLE:
         return []
 
 
-def merged_header(path: str) -> list[str]:
-    """Columns of all files in order of first appearance, read one file after the other."""
+def headers(path: str) -> list[tuple[str, int, list[str]]]:
+    """Path, size and columns of every file, read one file after the other."""
     store, _ = _filesystem(path)
-    headers = [_header_of(store, file) for file, _ in list_files(path)]
-    return list(dict.fromkeys(name for header in headers for name in header))
+    return [(file, size, _header_of(store, file)) for file, size in list_files(path)]
 
 
-def merged_header_in_tasks(spark, path: str) -> list[str]:
-    """The same, with the files' headers read by Spark tasks; one row a column comes back."""
-    files = [(i, file) for i, (file, _) in enumerate(list_files(path))]
+def headers_in_tasks(spark, path: str) -> list[tuple[str, int, list[str]]]:
+    """The same, with the files' headers read by Spark tasks; one row a file comes back."""
+    files = list_files(path)
     if not files:
         return []
 
     def read(batches):
         store, _ = _filesystem(path)
         for batch in batches:
-            rows = [
-                (number, at, name)
-                for number, file in zip(*(c.to_pylist() for c in batch.columns))
-                for at, name in enumerate(_header_of(store, file))
-            ]
-            kinds = (pa.int64(), pa.int64(), pa.string())
-            cells = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ([], [], []), kinds)]
-            yield pa.RecordBatch.from_arrays(cells, names=["file_no", "at", "name"])
-
-    listed = spark.createDataFrame(files, "file_no bigint, file string")
+            numbers, paths = (c.to_pylist() for c in batch.columns)
+            found = pa.array([_header_of(store, file) for file in paths], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), found], names=["file_no", "names"])
+
+    listed = spark.createDataFrame([(i, file) for i, (file, _) in enumerate(files)], "file_no bigint, file string")
     spread = listed.repartition(min(len(files), 4 * spark.sparkContext.defaultParallelism))
-    names = spread.mapInArrow(read, "file_no bigint, at bigint, name string")
-    first = names.groupBy("name").agg(F.min(F.struct("file_no", "at")).alias("first"))
-    return [row["name"] for row in first.orderBy("first").collect()]
+    rows = spread.mapInArrow(read, "file_no bigint, names array<string>").collect()
+    names = {row["file_no"]: list(row["names"]) for row in rows}
+    return [(file, size, names[i]) for i, (file, size) in enumerate(files)]
+
+
+def merged(files: list[tuple[str, int, list[str]]]) -> list[str]:
+    """Columns of all files in order of first appearance."""
+    return list(dict.fromkeys(name for _, _, names in files for name in names))
+
+
+def merged_header(path: str) -> list[str]:
+    return merged(headers(path))
 
 
 def export_schema(names: list[str], mode: str) -> StructType:
@@ -127,7 +136,7 @@ class FilePack(InputPartition):
 
 class ExportFolder(DataSource):
     """Options: ``path``, ``fields`` (comma-separated, default all), ``mode``
-    (``failfast`` or ``isolate``), ``bytes_per_task``."""
+    (``failfast`` or ``isolate``), ``bytes_per_task``, ``smaller_than`` (bytes of the files to read)."""
 
     @classmethod
     def name(cls) -> str:
@@ -152,6 +161,7 @@ class ExportFolderReader(DataSourceReader):
         self._path = options["path"]
         self._isolate = options.get("mode", "failfast") == "isolate"
         self._limit = int(options.get("bytes_per_task", 64 << 20))
+        self._below = int(options.get("smaller_than", 0))
         self._columns = [
             f.name for f in schema.fields if f.name not in (FILE, STATUS, ERROR, ROWS)
         ]
@@ -160,7 +170,10 @@ class ExportFolderReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         packs: list[FilePack] = []
         room = 0
+        store, _ = _filesystem(self._path)
         for path, size in list_files(self._path):
+            if self._below and size >= self._below and _header_of(store, path):
+                continue  # others read its slices
             if not packs or size > room:
                 packs.append(FilePack([]))
                 room = self._limit
@@ -189,24 +202,38 @@ class ExportFolderReader(DataSourceReader):
             batch = batch.filter(mask)
         return batch
 
-    def read(self, partition: FilePack):
+    def read(self, partition: FilePack | None):
+        store, _ = _filesystem(self._path)
+        for path in partition.files if partition else ():  # none where all files are cut
+            yield from self.rows_of(path, lambda notes, p=path: self._whole(store, p, notes))
+
+    def _whole(self, store: fs.FileSystem, path: str, notes: Counter) -> Iterator[pa.RecordBatch]:
+        with store.open_input_stream(path) as stream:
+            yield from csv_batches(stream, self._columns, notes=notes)
+
+    def read_slice(self, part: dict) -> Iterator[pa.RecordBatch]:
+        """Rows of a slice of a file; in isolate mode each slice has a status row."""
         store, _ = _filesystem(self._path)
-        for path in partition.files:
-            rows = 0
-            try:
-                with store.open_input_stream(path) as stream:
-                    for batch in csv_batches(stream, self._columns):
-                        batch = self._kept(batch)
-                        rows += batch.num_rows
-                        if batch.num_rows:
-                            yield self._out(align(batch, self._columns), batch.num_rows, path)
-                error = None if rows else "returned no data"
-            except (OSError, pa.ArrowException, UnicodeError) as e:
-                if not self._isolate:
-                    raise
-                error = f"{type(e).__name__}: {e}"
-            if self._isolate:
-                yield self._status(path, error, rows)
+        place = (store, part["file"], part["names"], part["begin"], part["end"], self._columns)
+        yield from self.rows_of(part["file"], lambda notes: slice_batches(*place, notes))
+
+    def rows_of(self, path: str, batches) -> Iterator[pa.RecordBatch]:
+        rows, notes = 0, Counter()
+        try:
+            for batch in batches(notes):
+                batch = self._kept(batch)
+                rows += batch.num_rows
+                if batch.num_rows:
+                    yield self._out(align(batch, self._columns), batch.num_rows, path)
+            status, error = ("SUCCESS", None) if rows else ("ERROR", "returned no data")
+        except UNREADABLE as e:
+            if not self._isolate:
+                raise
+            status, error = "ERROR", f"{type(e).__name__}: {e}"
+        if self._isolate:
+            if status == "SUCCESS" and notes:
+                error = ", ".join(f"{n} {what}" for what, n in notes.items())
+            yield self._status(path, status, error, rows)
 
     def _out(self, cells: list, n: int, path: str) -> pa.RecordBatch:
         names = list(self._columns)
@@ -217,12 +244,12 @@ class ExportFolderReader(DataSourceReader):
             names += [FILE, STATUS, ERROR, ROWS]
         return pa.RecordBatch.from_arrays(cells, names=names)
 
-    def _status(self, path: str, error: str | None, rows: int) -> pa.RecordBatch:
+    def _status(self, path: str, status: str, error: str | None, rows: int) -> pa.RecordBatch:
         text = pa.string()
         cells = [pa.nulls(1, text) for _ in self._columns]
         cells += [
             pa.array([path], text),
-            pa.array(["ERROR" if error else "SUCCESS"], text),
+            pa.array([status], text),
             pa.array([error], text),
             pa.array([rows], pa.int64()),
         ]
@@ -247,12 +274,41 @@ class FilteringReader(ExportFolderReader):
                 yield f
 
 
-def read_folder(spark, path: str, **options):
-    """All CSV exports under a folder as one all-text DataFrame."""
+@dataclass
+class FolderPlan:
+    """The files of a folder with their columns, and the slices of the large ones."""
+
+    files: list[tuple[str, int, list[str]]]
+    range_bytes: int
+    slices: DataFrame | None
+
+
+def plan_folder(spark, path: str, range_bytes: int = RANGE_BYTES) -> FolderPlan:
+    """Read headers, and cut files of more than ``range_bytes`` into slices."""
+    few = len(list_files(path)) <= FEW_FILES
+    files = headers(path) if few else headers_in_tasks(spark, path)
+    large = [f for f in files if f[1] >= range_bytes and f[2]]
+    slices = plan_slices(spark, large, lambda: _filesystem(path)[0], range_bytes) if large else None
+    return FolderPlan(files, range_bytes, slices)
+
+
+def read_folder(spark, path: str, plan: FolderPlan | None = None, range_bytes: int = RANGE_BYTES, **options):
+    """All CSV exports under a folder as one all-text DataFrame.
+
+    Files of more than ``range_bytes`` are read in slices by many tasks, whatever line breaks
+    their cells hold. ``plan`` is what ``plan_folder`` found, where a folder is read often.
+    """
     spark.dataSource.register(ExportFolder)
     options.setdefault("push", spark.conf.get(_PUSHDOWN, "false"))
+    plan = plan or plan_folder(spark, path, range_bytes)
+    fields = options.get("fields")
+    names = [f.strip() for f in fields.split(",")] if fields else merged(plan.files)
+    schema = export_schema(names, options.get("mode", "failfast"))
+    if plan.slices is not None:
+        options["smaller_than"] = str(plan.range_bytes)
     reader = spark.read.format(FORMAT).options(path=path, **options)
-    if "fields" not in options:
-        names = merged_header_in_tasks(spark, path)
-        reader = reader.schema(export_schema(names, options.get("mode", "failfast")))
-    return reader.load()
+    rows = (reader if fields else reader.schema(schema)).load()
+    if plan.slices is None:
+        return rows
+    large = ExportFolderReader(schema, {**options, "path": path})
+    return rows.unionByName(read_slices(plan.slices, large.read_slice, schema))

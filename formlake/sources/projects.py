@@ -23,9 +23,10 @@ from formlake.operators.ids import restrict_to_ids
 from formlake.operators.lookup import attach
 from formlake.operators.narrowing import as_text
 from formlake.session import materialise, spread_if_few
+from formlake.sources.csv_ranges import RANGE_BYTES
 from formlake.sources.csv_stream import read_header
 from formlake.sources.export_folder import ERROR as FILE_ERROR
-from formlake.sources.export_folder import FILE, read_folder
+from formlake.sources.export_folder import FILE, plan_folder, read_folder
 from formlake.sources.export_folder import STATUS as FILE_STATUS
 from formlake.sources.requests import (
     CONTROL,
@@ -148,10 +149,12 @@ class FolderSource(TableSource):
         record_id: str,
         options: ExportOptions | None = None,
         modified_column: str | None = None,
+        range_bytes: int = RANGE_BYTES,
     ) -> None:
         base = path.rstrip("/")
         self._spark, self._path = spark, f"{base}/records"
-        self._all = read_folder(spark, self._path, mode="isolate")
+        self._plan = plan_folder(spark, self._path, range_bytes)
+        self._all = read_folder(spark, self._path, self._plan, mode="isolate")
         records = self._all.filter(F.col(FILE_STATUS).isNull()).drop(*_FILE_CONTROL)
         dictionary = read_folder(spark, f"{base}/metadata.csv")
         try:
@@ -173,7 +176,7 @@ class FolderSource(TableSource):
         if self._modified_column:
             wanted.add(self._modified_column)
         fields = ",".join(c for c in self._all.columns if c in wanted)
-        return read_folder(self._spark, self._path, mode="isolate", fields=fields)
+        return read_folder(self._spark, self._path, self._plan, mode="isolate", fields=fields)
 
     def _kept(self, rows: DataFrame) -> DataFrame:
         """The rows that this source's filters let through, with all their columns."""
