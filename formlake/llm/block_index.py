@@ -1,108 +1,137 @@
 """Exact cosine neighbours from an inverted index with block maxima.
 
-Examples are numbered so that similar ones are near each other, and cut into blocks. For
-each term the index holds its postings and, for the blocks it occurs in, where they begin
-and the largest weight there. A query adds up the maxima of its terms for a bound on every block.
-It reads the blocks of the highest bounds, and after them, in growing groups, those whose
-bound is not under the k-th similarity found so far.
+Examples are numbered so that similar ones are near each other, and cut into blocks. A term
+of few examples has a list of postings; one of many has a row of weights over all examples,
+and the largest weight in each block. A query adds up its postings. With the block maxima of
+its frequent terms that bounds each example's similarity. Examples whose bound is not under
+the k-th similarity found so far are compared in full; where these are many, the frequent
+terms of all such queries are first multiplied with their rows at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 
 BLOCK = 64
-_FIRST = 4  # blocks in the first group; each group is four times the last
+FREQUENT = 8  # a term in one of so many examples has a row
+_ALONE = 256  # examples that are compared in full without looking at rows
+_AT_ONCE = 64  # queries whose rows are multiplied together
+_ROUNDED = 1e-5  # far more than single precision loses in a similarity
+
+Vector = tuple[np.ndarray, np.ndarray]
 
 
 class BlockMaxIndex:
-    """Vectors are (term numbers, weights) of length 1; ``terms`` is the size of the vocabulary."""
+    """Vectors are (term numbers in order, weights) of length 1; ``terms`` is the size of the vocabulary."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
+    def __init__(self, vectors: Sequence[Vector], terms: int):
         leading = [int(t[np.argmax(w)]) if len(t) else terms for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (leading[i], i)), np.int64)
-        self.count, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
-        sizes = [len(vectors[i][0]) for i in self.order]
-        term = np.concatenate([vectors[i][0].astype(np.int32) for i in self.order]) if sizes else np.zeros(0, np.int32)
-        by_term = np.argsort(term, kind="stable")  # so by example within a term
-        term = term[by_term]
-        self.example = np.repeat(np.arange(self.count, dtype=np.int32), sizes)[by_term]
-        weight = np.concatenate([vectors[i][1] for i in self.order]) if sizes else np.zeros(0)
-        self.weight = weight[by_term]
-        self.postings = np.searchsorted(term, np.arange(terms + 1))  # where each term's begin
-        block = self.example // BLOCK
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        begin = np.flatnonzero(new)  # cells: a term in a block
-        self.block = block[begin]
-        self.maxima = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
-        self.cells = np.searchsorted(term[begin], np.arange(terms + 1))  # where each term's begin
-        self.begin = np.append(begin, len(term)).astype(np.int32)
-
-    def nearest(
-        self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and similarities of the k most similar examples that share a term, ties by number."""
-        if not len(terms) or not self.count:
-            return np.zeros(0, np.int64), np.zeros(0)
-        cells = _ranges(self.cells[terms], self.cells[terms + 1])
-        weight = np.repeat(weights, self.cells[terms + 1] - self.cells[terms])
-        block = self.block[cells]
-        bounds = np.bincount(block, weight * self.maxima[cells], minlength=self.blocks)
-        order = np.argsort(-bounds, kind="stable")
-        found, likeness = np.zeros(0, np.int64), np.zeros(0)
-        at, group = 0, _FIRST
-        while at < self.blocks:
-            least = likeness.min() - 1e-12 if len(found) == k else 0.0
-            some = order[at : at + group]
-            some = some[(bounds[some] >= least) & (bounds[some] > 0)]
-            if not len(some):
-                break
-            if len(some) * 4 > self.blocks:  # so many that whole postings are read faster
-                some = order[at:]
-                some = some[(bounds[some] >= least) & (bounds[some] > 0)]
-                group = self.blocks
-                sums = self._read_all(terms, weights)
+        self.place = np.argsort(self.order)
+        self.count, self.terms = len(vectors), terms
+        sizes = np.array([len(vectors[i][0]) for i in self.order], np.int64)
+        self.own = np.concatenate([[0], np.cumsum(sizes)])  # where each example's own terms begin
+        self.own_terms = np.concatenate([vectors[i][0].astype(np.int32) for i in self.order] or [np.zeros(0, np.int32)])
+        self.own_weights = np.concatenate([vectors[i][1] for i in self.order] or [np.zeros(0)])
+        example = np.repeat(np.arange(self.count, dtype=np.int32), sizes)
+        lengths = np.bincount(self.own_terms, minlength=terms)
+        frequent = np.flatnonzero(lengths * FREQUENT > max(self.count, BLOCK))
+        self.row = np.full(terms, -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        row = self.row[self.own_terms]
+        blocks = -(-max(1, self.count) // BLOCK)
+        self.rows = np.zeros((len(frequent), blocks * BLOCK), np.float32)
+        self.rows[row[row >= 0], example[row >= 0]] = self.own_weights[row >= 0]
+        self.maxima = np.nextafter(self.rows.reshape(len(frequent), blocks, BLOCK).max(axis=2), np.float32(np.inf))
+        rare = np.flatnonzero(row < 0)
+        rare = rare[np.argsort(self.own_terms[rare], kind="stable")]
+        self.example, self.weight = example[rare], self.own_weights[rare].astype(np.float32)
+        self.postings = np.searchsorted(self.own_terms[rare], np.arange(terms + 1)).astype(np.int32)
+        self._query = np.zeros(terms)  # the weights of the query at work
+        self.compared = self.multiplied = 0
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> Vector:
+        return self.nearest_many([(terms, weights)], k, [without])[0]
+
+    def nearest_many(self, queries: Sequence[Vector], k: int, without: Sequence[int] | None = None) -> list[Vector]:
+        """Numbers and similarities of each query's k most similar examples that share a term, ties by number."""
+        out: list[Vector] = []
+        for first in range(0, len(queries), _AT_ONCE):
+            some = queries[first : first + _AT_ONCE]
+            out += self._together(some, k, [-1] * len(some) if without is None else without[first : first + _AT_ONCE])
+        return out
+
+    def _together(self, queries: Sequence[Vector], k: int, without: Sequence[int]) -> list[Vector]:
+        out: list[Vector] = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        if not self.count:
+            return out
+        frequent = np.zeros((len(queries), len(self.rows)), np.float32)
+        for weights, (terms, own) in zip(frequent, queries):
+            row = self.row[terms]
+            weights[row[row >= 0]] = own[row >= 0]
+        bounds = frequent @ self.maxima + _ROUNDED
+        open_: list[tuple[int, np.ndarray, float]] = []
+        for i, (terms, weights) in enumerate(queries):
+            if not len(terms):
+                continue
+            sums = self._rare(terms, weights)
+            least = self._least(queries[i], sums, k, without[i])
+            reach = (sums.reshape(-1, BLOCK) + bounds[i][:, None]).reshape(-1)[: self.count]
+            near = np.flatnonzero(reach >= least)
+            if len(near) <= _ALONE:
+                out[i] = self._best(queries[i], near, k, without[i])
             else:
-                sums = self._read(some, cells, block, weight)
-            numbers = (some[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            numbers = numbers[numbers < self.count]
-            sums = sums[numbers]
-            kept = (sums > 0) & (sums >= least)
-            numbers, sums = self.order[numbers[kept]], sums[kept]
-            kept = numbers != without
-            found, likeness = np.concatenate([found, numbers[kept]]), np.concatenate([likeness, sums[kept]])
-            if len(found) > k:  # what lies under the k-th can't be among the best
-                least = np.partition(likeness, -k)[-k] - 1e-12
-                found, likeness = found[likeness >= least], likeness[likeness >= least]
-                best = np.lexsort((found, -np.round(likeness, 12)))[:k]
-                found, likeness = found[best], likeness[best]
-            at, group = at + group, group * 4
-        best = np.lexsort((found, -np.round(likeness, 12)))
-        return found[best], np.minimum(likeness[best], 1.0)
-
-    def _read(self, blocks: np.ndarray, cells: np.ndarray, block: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Similarities by example, of the examples in these blocks."""
-        chosen = np.zeros(self.blocks, bool)
-        chosen[blocks] = True
-        inside = chosen[block]
-        cells = cells[inside]
-        begin, end = self.begin[cells], self.begin[cells + 1]
-        postings = _ranges(begin, end)
-        weight = np.repeat(weight[inside], end - begin) * self.weight[postings]
-        return np.bincount(self.example[postings], weight, minlength=self.count)
-
-    def _read_all(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Similarities by example, of all examples."""
+                open_.append((i, sums, least))
+        if open_:
+            self.multiplied += len(open_)
+            more = frequent[[i for i, _, _ in open_]] @ self.rows
+            for (i, sums, least), add in zip(open_, more):
+                sums = (sums + add)[: self.count]
+                sums[self.place[without[i]] if without[i] >= 0 else []] = -1
+                if self.count > k:
+                    least = max(least, float(np.partition(sums, -k)[-k]) - 2 * _ROUNDED)
+                near = np.flatnonzero((sums >= least) & (sums > 0))
+                out[i] = self._best(queries[i], near, k, without[i])
+        return out
+
+    def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What rare terms add to each example's similarity, in whole blocks."""
         begin, end = self.postings[terms], self.postings[terms + 1]
-        spans = list(zip(begin.tolist(), end.tolist()))
+        some = np.flatnonzero(end > begin)
+        spans = list(zip(begin[some].tolist(), end[some].tolist()))
+        if not spans:
+            return np.zeros(self.rows.shape[1])
         example = np.concatenate([self.example[a:b] for a, b in spans])
         weight = np.concatenate([self.weight[a:b] for a, b in spans])
-        weight *= np.repeat(weights, end - begin)
-        return np.bincount(example, weight, minlength=self.count)
+        return np.bincount(example, weight * np.repeat(weights[some], (end - begin)[some]), minlength=self.rows.shape[1])
+
+    def _least(self, query: Vector, sums: np.ndarray, k: int, without: int) -> float:
+        """A similarity that k examples reach: the k-th of those that share the weightiest rare terms."""
+        some = sums[: self.count]
+        take = min(2 * k, self.count)
+        likely = np.argpartition(-some, take - 1)[:take]
+        likely = likely[self.order[likely] != without]
+        if len(likely) < k:
+            return 0.0
+        return max(0.0, float(np.partition(self._compare(query, likely), -k)[-k]) - _ROUNDED)
 
+    def _compare(self, query: Vector, places: np.ndarray) -> np.ndarray:
+        """Similarities in full."""
+        self.compared += len(places)
+        self._query[query[0]] = query[1]
+        sizes = self.own[places + 1] - self.own[places]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.own[places] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        each = np.append(self._query[self.own_terms[at]] * self.own_weights[at], 0.0)
+        self._query[query[0]] = 0.0
+        return np.where(sizes > 0, np.add.reduceat(each, ends - sizes), 0.0)
 
-def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The numbers from each begin up to its end, one range after the other."""
-    sizes = end - begin
-    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    def _best(self, query: Vector, places: np.ndarray, k: int, without: int) -> Vector:
+        likeness = self._compare(query, places) if len(places) else np.zeros(0)
+        numbers = self.order[places]
+        kept = (likeness > 0) & (numbers != without)
+        numbers, likeness = numbers[kept], likeness[kept]
+        best = np.lexsort((numbers, -np.round(likeness, 12)))[:k]
+        return numbers[best], np.minimum(likeness[best], 1.0)

@@ -1,8 +1,9 @@
 """Toxicity by the nearest labelled examples in exact TF-IDF cosine.
 
-Terms are all words and beginnings of words in a bounded sample of labelled rows. Terms
-that the sample ties to label 1 weigh more, by the strength of the tie. Document frequencies come
-from all documents; terms of a text that no example has count in its length as the rarest.
+Terms are all words in a bounded sample of labelled rows, and those beginnings of words that
+the sample ties to label 1. Terms tied to label 1 weigh more, by the strength of the tie.
+Document frequencies come from all documents; words of a text that no example has count in its
+length as the rarest.
 Neighbours vote with weights that fall with distance, and votes become probabilities by a
 monotone fit to the examples' own votes, each without itself.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.batches import id_and_text, named, text_slices
-from formlake.llm.block_index import BlockMaxIndex
+from formlake.llm.block_index import BlockMaxIndex, Vector
 from formlake.llm.labelled import TRAIN_ROWS, held_out, training_labels
 from formlake.llm.segments import SegmentCache
 from formlake.llm.written import written
@@ -35,6 +36,7 @@ EVIDENCE = 1.5  # log-likelihood ratio of a full tie, over the log of the terms
 UNTIED = 0.05  # weight of a term without a tie; a full tie weighs 1
 NEIGHBOURS = 10
 PRIOR = 0.2  # weight of the vote that every document gets for the base rate
+TIED = 0.25  # squared tie from which a beginning is a term beside its words
 THRESHOLD = 0.3
 CLOSE = 0.02  # added to the distance that a vote is divided by
 _SPREAD = 1024  # examples searched in a task
@@ -58,11 +60,15 @@ class Terms:
         number = {term: i for i, term in enumerate(vocabulary)}
         none = len(vocabulary)
         self.size = none
-        # A word's terms, with one number past the vocabulary for each term that is not in it.
-        self.of_word = SegmentCache(lambda word: tuple(number.get(t, none) for t in word_terms(word)), limit=200_000)
+
+        def of_word(word: str) -> tuple[int, ...]:
+            """The word, or one number past the vocabulary, and the beginnings that are terms."""
+            return (number.get(word, none), *(number[t] for t in word_terms(word)[1:] if t in number))
+
+        self.of_word = SegmentCache(of_word, limit=100_000)
 
     def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Terms, their counts, the words, and the distinct words' terms outside the vocabulary."""
+        """Terms, their counts, the words, and the distinct words outside the vocabulary."""
         words = Counter(_WORD.findall(text.lower()))
         lists = list(map(self.of_word.__getitem__, words))
         numbers = np.fromiter(chain.from_iterable(lists), np.int64)
@@ -111,20 +117,18 @@ class ToxicityModel:
         ]
         return BlockMaxIndex(vectors, len(self.weights))
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, terms: np.ndarray, counts: np.ndarray, outside: int) -> Vector:
         weights = (1 + np.log(counts)) * self.weights[terms]
         return terms, weights / max(1e-300, math.sqrt(float(weights @ weights) + outside * self.rarest**2))
 
-    def vote(self, vector: tuple[np.ndarray, np.ndarray], without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        found, likeness = self.index.nearest(*vector, NEIGHBOURS, without)
-        weights = likeness**2 / (1 + CLOSE - likeness**2)
-        total = float(weights @ self.labels[found]) + PRIOR * self.base / 2
-        return total / (float(weights.sum()) + PRIOR), found, likeness
-
-    def vote_on(self, text: str) -> tuple[float, np.ndarray, np.ndarray] | None:
-        """Nothing for a text without a word."""
-        terms, counts, words, outside = self.terms.arrays(text)
-        return self.vote(self.vector(terms, counts, outside)) if words else None
+    def votes(self, vectors: list[Vector], without: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each vector the neighbours' vote, their numbers and similarities."""
+        out = []
+        for found, likeness in self.index.nearest_many(vectors, NEIGHBOURS, without):
+            weights = likeness**2 / (1 + CLOSE - likeness**2)
+            total = float(weights @ self.labels[found]) + PRIOR * self.base / 2
+            out.append((total / (float(weights.sum()) + PRIOR), found, likeness))
+        return out
 
 
 @dataclass
@@ -136,17 +140,19 @@ class Scorer:
     steps: np.ndarray | None = None
     heights: np.ndarray | None = None
 
-    def score(self, text: str) -> tuple[float, list[tuple[int, float, int]]]:
-        """Probability, and the neighbours it rests on."""
+    def scores(self, texts: list[str]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        """For each text its probability, and the neighbours it rests on."""
         if self.shared is None:
-            return 0.0, []
+            return [(0.0, [])] * len(texts)
         model = self.shared.value
-        voted = model.vote_on(text)
-        if voted is None:
-            return self.unmarked, []
-        vote, found, likeness = voted
-        evidence = [(model.doc_ids[i], float(s), int(model.labels[i])) for i, s in zip(found.tolist(), likeness.tolist())]
-        return float(np.interp(vote, self.steps, self.heights)), evidence
+        counted = [model.terms.arrays(text) for text in texts]
+        worded = [i for i, (_, _, words, _) in enumerate(counted) if words]
+        votes = model.votes([model.vector(*counted[i][:2], counted[i][3]) for i in worded])
+        out: list = [(self.unmarked, [])] * len(texts)
+        for i, (vote, found, likeness) in zip(worded, votes):
+            evidence = [(model.doc_ids[j], float(s), int(model.labels[j])) for j, s in zip(found.tolist(), likeness.tolist())]
+            out[i] = float(np.interp(vote, self.steps, self.heights)), evidence
+        return out
 
 
 def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,9 +168,10 @@ def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def tied_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, int, int]:
-    """All terms of a bounded sample (text, label), each one's tie to label 1, and the rows of labels 1 and 0.
+    """Terms of a bounded sample (text, label), each one's tie to label 1, and the rows of labels 1 and 0.
 
-    A tie goes from 0 to 1. Each task returns one row per term it has seen.
+    All words are terms, and the beginnings of words that are tied. A tie goes from 0 to 1.
+    Each task returns one row per term it has seen.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,8 +216,10 @@ def tied_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, int, int]:
         + part(clean - clean_with, (toxic + clean - both) * (1 - share))
     )
     full = EVIDENCE * math.log(max(2, len(both)))
-    ties = np.where(toxic_with > both * share, np.clip(ratio / full, 0, 1), 0.0)
-    return vocabulary[1:], ties**2, toxic, clean
+    ties = np.where(toxic_with > both * share, np.clip(ratio / full, 0, 1), 0.0) ** 2
+    words = [not term.endswith("*") for term in vocabulary[1:]]
+    kept = np.flatnonzero(np.array(words) | (ties >= TIED))
+    return [vocabulary[1 + i] for i in kept.tolist()], ties[kept], toxic, clean
 
 
 def document_frequencies(texts: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
@@ -261,7 +270,7 @@ def fit_toxicity(
     if not vocabulary:
         return Scorer(None)
     frequency, documents = document_frequencies(texts, vocabulary)
-    idf = np.log((1 + documents) / (1 + frequency)) + 1
+    idf = np.log((2 + documents) / (1 + frequency))  # next to nothing for a word of all documents
     words = zlib.compress("\n".join(vocabulary).encode(), 1)
     lines = docs.sparkSession.sparkContext.broadcast(words)
 
@@ -286,9 +295,8 @@ def fit_toxicity(
     plain = packed.filter(pc.invert(with_words)).column("label").to_pylist()
     packed = packed.filter(with_words)
     numbers, counts = packed.column("numbers").to_pylist(), packed.column("counts").to_pylist()
-    idf = np.log((1 + documents) / (1 + frequency)) + 1
     model = ToxicityModel(
-        words, idf * (UNTIED + (1 - UNTIED) * ties), UNTIED * (math.log(1 + documents) + 1),
+        words, idf * (UNTIED + (1 - UNTIED) * ties), UNTIED * math.log(2 + documents),
         zlib.compress(b"".join(numbers), 1), zlib.compress(b"".join(counts), 1),
         np.array([len(n) // 4 for n in numbers], np.int64), packed.column("outside").to_numpy(),
         packed.column("label").to_numpy(), packed.column("doc_id").to_pylist(), (toxic + 0.5) / (toxic + clean + 1),
@@ -303,9 +311,9 @@ def fit_toxicity(
             pairs = zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist())
             at = [place.get(pair, -1) for pair in pairs]  # none for a text without a word
             rows = [(i, model.terms.arrays(text)) for i, text in zip(at, slice_texts) if i >= 0]
-            votes = [model.vote(model.vector(v[0], v[1], v[3]), without=i)[0] for i, v in rows]
+            votes = model.votes([model.vector(v[0], v[1], v[3]) for _, v in rows], [i for i, _ in rows])
             yield pa.RecordBatch.from_pydict(
-                {"place": pa.array([i for i, _ in rows], pa.int64()), "vote": pa.array(votes, pa.float64())}
+                {"place": pa.array([i for i, _ in rows], pa.int64()), "vote": pa.array([v[0] for v in votes], pa.float64())}
             )
 
     voted = spread.mapInArrow(vote, "place bigint, vote double").toArrow().sort_by("place")  # two numbers an example
@@ -325,7 +333,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, slice_texts in text_slices(batches):
-            scores = [scorer.score(text) for text in slice_texts]
+            scores = scorer.scores(slice_texts)
             evidence = [[{"doc_id": d, "similarity": s, "label": y} for d, s, y in e] for _, e in scores]
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
             yield pa.RecordBatch.from_pydict(
@@ -352,7 +360,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in texts:
             table = pa.RecordBatch.from_arrays([array.cast(pa.string())], names=["text"])
-            out = [scorer.score(t)[0] for _, part in text_slices([table]) for t in part]
+            out = [score for _, part in text_slices([table]) for score, _ in scorer.scores(part)]
             yield pa.array(out, pa.float64())
 
     score.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}

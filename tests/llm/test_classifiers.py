@@ -1,5 +1,10 @@
 """Toxicity and quality: exact neighbours, held-out accuracy, odd rows."""
 
+import math
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from odd_rows import ROWS, none, odd
@@ -49,6 +54,7 @@ def test_monotone_fit():
 def test_word_terms():
     assert word_terms("abcd") == ["abcd", "abc*"] and word_terms("ab") == ["ab"]
     assert Terms(["abc*", "x"]).count("ABCD x y abc") == ([0, 1], [1, 1], 4)
+    assert Terms(["abc*", "x"]).arrays("ABCD x y abc")[3] == 3  # words outside the vocabulary
 
 
 def accuracy(rows, label):
@@ -102,6 +108,66 @@ def test_copies_of_toxic_examples_are_toxic(spark):
     assert all(r["evidence"] for r in rows if r["doc_id"] < 0)
 
 
+def plain_toxicity(docs, labels):
+    """Scores by dictionaries, every text against every example."""
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in docs}
+    train = sorted((i, y) for i, y in labels.items() if i in docs and y in (0, 1) and not held[i])
+    words_of = {i: Counter(re.findall(r"\w+", (t or "").lower())) for i, t in docs.items()}
+    with_term = [Counter(), Counter()]
+    for i, y in train:
+        with_term[y].update({t for w in words_of[i] for t in word_terms(w)})
+    toxic = sum(y for _, y in train)
+    clean = len(train) - toxic
+    everything = set(with_term[0]) | set(with_term[1])
+    tie = {}
+    for t in everything:
+        a, b = with_term[1][t], with_term[0][t]
+        seen = [(a, (a + b) * toxic / len(train)), (b, (a + b) * clean / len(train))]
+        seen += [(toxic - a, (len(train) - a - b) * toxic / len(train)), (clean - b, (len(train) - a - b) * clean / len(train))]
+        ratio = sum(2 * n * math.log(n / e) for n, e in seen if n > 0)
+        tie[t] = min(1, max(0, ratio / (1.5 * math.log(len(everything))))) ** 2 if a > seen[0][1] else 0
+    terms = {t for t in everything if not t.endswith("*") or tie[t] >= 0.25}
+    found = {i: {t: sum(n for w, n in words.items() if t in word_terms(w)) for t in {t for w in words for t in word_terms(w)} & terms}
+             for i, words in words_of.items()}
+    seen_in = Counter(t for own in found.values() for t in own)
+    idf = {t: math.log((2 + len(docs)) / (1 + seen_in[t])) for t in terms}
+    vectors = {}
+    for i, own in found.items():
+        vector = {t: (1 + math.log(n)) * idf[t] * (0.05 + 0.95 * tie[t]) for t, n in own.items()}
+        outside = sum(w not in terms for w in words_of[i]) * (0.05 * math.log(2 + len(docs))) ** 2
+        length = math.sqrt(sum(x * x for x in vector.values()) + outside) or 1
+        vectors[i] = {t: x / length for t, x in vector.items()}
+    base = (toxic + 0.5) / (len(train) + 1)
+
+    def vote(i, without=None):
+        likeness = []
+        for n, (j, y) in enumerate(train):
+            own = vectors[j]
+            s = sum(x * own[t] for t, x in vectors[i].items() if t in own)
+            if words_of[j] and j != without and s > 0:
+                likeness.append((-round(s, 12), n, min(s, 1), y))
+        best = [(s * s / (1.02 - s * s), y) for _, _, s, y in sorted(likeness)[:10]]
+        return (sum(w * y for w, y in best) + 0.2 * base / 2) / (sum(w for w, _ in best) + 0.2)
+
+    voted = [(vote(i, i), y) for i, y in train if words_of[i]]
+    steps, heights = monotone_fit(np.array([v for v, _ in voted]), np.array([y for _, y in voted]))
+    plain = [y for i, y in train if not words_of[i]]
+    unmarked = (sum(plain) + 0.5 * base) / (len(plain) + 0.5)
+    return {i: float(np.interp(vote(i), steps, heights)) if words_of[i] else unmarked for i in docs}
+
+
+def test_toxicity_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    wanted = plain_toxicity(docs, labels)
+    got = QUERIES["op3_toxicity"](spark, folder).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert abs(r["score"] - wanted[r["doc_id"]]) < 1e-6, r["doc_id"]
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
 def test_quality_on_held_out_rows(spark):
     scored = QUERIES["op6_quality"](spark, FOLDER)
     rows = scored.join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id").collect()
