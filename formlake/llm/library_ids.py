@@ -10,6 +10,7 @@ from functools import lru_cache
 import numpy as np
 
 from formlake.llm.segments import BYTE_LEVEL, LETTERS, WORD_END, SegmentCache
+from formlake.llm.workers import holds
 
 
 def _byte_characters() -> dict[int, int]:
@@ -78,3 +79,7 @@ def byte_level_ids(path: str, added: bool = False) -> LibraryIds:
 @lru_cache(maxsize=2)
 def word_end_ids(path: str, added: bool = False) -> LibraryIds:
     return LibraryIds(path, WORD_END, lower=True, remembered=300_000, added=added)
+
+
+holds("token_files", byte_level_ids.cache_clear)
+holds("packing", word_end_ids.cache_clear)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from formlake.llm.batches import id_and_text, text_slices
 from formlake.llm.grouping_plan import best_plan
 from formlake.llm.library_ids import word_end_ids
+from formlake.llm.workers import enter
 from formlake.llm.written import written
 from formlake.operators.chunks import number_rows
 
@@ -31,6 +32,7 @@ def cut_pieces(
     """Every document's ids and its end id in pieces of at most ``capacity``."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("packing")
         ids_of, end = word_end_ids(tokenizer, added_tokens), np.array([end_id], "<u4")
         for batch, texts in text_slices(batches):
             out = []

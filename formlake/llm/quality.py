@@ -13,6 +13,7 @@ from formlake.llm import additive_model
 from formlake.llm.additive_model import AdditiveModel
 from formlake.llm.batches import id_and_text, named, text_slices
 from formlake.llm.labelled import TRAIN_ROWS, held_out, training_labels
+from formlake.llm.workers import enter
 
 THRESHOLD = 0.3
 _SCORED = "doc_id bigint, held_out boolean, score double, predicted int"
@@ -103,6 +104,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int
     names = {k: options[k] for k in ("id_column", "text_column") if k in options}
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("quality")
         for batch, texts in text_slices(batches):
             scores = model.score(np.array([features(t) for t in texts]))
             yield pa.RecordBatch.from_pydict(
@@ -126,6 +128,7 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, text_column: str = "tex
     model = fit_quality(docs, labels, text_column=text_column, **options)
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        enter("quality")
         for array in texts:
             table = pa.RecordBatch.from_arrays([array.cast(pa.string())], names=["text"])
             rows = [features(t) for _, part in text_slices([table]) for t in part]

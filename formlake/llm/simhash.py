@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from formlake.llm.batches import named, text_slices
 from formlake.llm.components import connected
 from formlake.llm.pinned import bitmaps, flagged, pin
+from formlake.llm.workers import enter
 from formlake.llm.written import written
 
 SHARDS = 64  # at least; more where a shard would get more than SHARD_MEMBERS
@@ -52,6 +53,7 @@ def with_fingerprints(docs: DataFrame, text_column: str = "text", words: int = 4
     """All columns as ``document``, and ``fingerprint``; null text counts as empty."""
 
     def prints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        enter("simhash")
         for array in texts:
             table = pa.RecordBatch.from_arrays([array.cast(pa.string())], names=["text"])
             out = [fingerprint(t.encode("utf-8"), words) for _, part in text_slices([table]) for t in part]

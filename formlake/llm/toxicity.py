@@ -17,7 +17,6 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from formlake.llm.batches import id_and_text, named, text_slices
 from formlake.llm.block_index import BlockMaxIndex, Vector
 from formlake.llm.labelled import TRAIN_ROWS, held_out, training_labels
-from formlake.llm.segments import SegmentCache
+from formlake.llm.workers import enter
 from formlake.llm.written import written
 
 EVIDENCE = 1.5  # log-likelihood ratio of a full tie, over the log of the terms looked at
@@ -53,35 +52,47 @@ def word_terms(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in _BEGINNINGS if len(word) > k)]
 
 
+class _Numbers(dict):
+    """Numbers of vocabulary terms; any other term has the number past them."""
+
+    def __missing__(self, term: str) -> int:
+        return self.none
+
+
 class Terms:
     """Counts of vocabulary terms in texts."""
 
     def __init__(self, vocabulary: list[str]):
-        number = {term: i for i, term in enumerate(vocabulary)}
-        none = len(vocabulary)
-        self.size = none
-
-        def of_word(word: str) -> tuple[int, ...]:
-            """The word, or one number past the vocabulary, and the beginnings that are terms."""
-            return (number.get(word, none), *(number[t] for t in word_terms(word)[1:] if t in number))
-
-        self.of_word = SegmentCache(of_word, limit=100_000)
+        self.number = _Numbers((term, i) for i, term in enumerate(vocabulary))
+        self.size = self.number.none = len(vocabulary)
+        # Few words share their first letters with a beginning that is a term.
+        self.heads = {term[: _BEGINNINGS[0]] for term in vocabulary if term.endswith("*")}
 
     def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
         """Terms, their counts, the words, and the distinct words outside the vocabulary."""
         words = Counter(_WORD.findall(text.lower()))
-        lists = list(map(self.of_word.__getitem__, words))
-        numbers = np.fromiter(chain.from_iterable(lists), np.int64)
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, lists), np.int64, len(words)))
-        outside = numbers == self.size
-        numbers, times = numbers[~outside], times[~outside]
-        terms, places = np.unique(numbers, return_inverse=True)
-        counts = np.bincount(places, times, minlength=len(terms)).astype(np.int64)
-        return terms, counts, sum(words.values()), int(outside.sum())
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        counts = np.fromiter(words.values(), np.int64, len(words))
+        total, inside = int(counts.sum()), numbers < self.size
+        outside = len(words) - int(inside.sum())
+        if outside:
+            numbers, counts = numbers[inside], counts[inside]
+        heads, first = self.heads, _BEGINNINGS[0]
+        begun: dict[int, int] = {}
+        for word in [w for w in words if w[:first] in heads]:
+            for term in word_terms(word)[1:]:
+                number = self.number[term]
+                if number < self.size:
+                    begun[number] = begun.get(number, 0) + words[word]
+        if begun:
+            numbers = np.concatenate([numbers, np.fromiter(begun, np.int64, len(begun))])
+            counts = np.concatenate([counts, np.fromiter(begun.values(), np.int64, len(begun))])
+        return numbers, counts, total, outside
 
     def count(self, text: str) -> tuple[list[int], list[int], int]:
         terms, counts, words, _ = self.arrays(text)
-        return terms.tolist(), counts.tolist(), words
+        order = np.argsort(terms)
+        return terms[order].tolist(), counts[order].tolist(), words
 
 
 @dataclass
@@ -140,19 +151,36 @@ class Scorer:
     steps: np.ndarray | None = None
     heights: np.ndarray | None = None
 
-    def scores(self, texts: list[str]) -> list[tuple[float, list[tuple[int, float, int]]]]:
-        """For each text its probability, and the neighbours it rests on."""
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, list[Vector]]:
+        """Each text's probability, and the numbers and similarities of the examples it rests on."""
+        nothing = np.zeros(0, np.int64), np.zeros(0)
         if self.shared is None:
-            return [(0.0, [])] * len(texts)
+            return np.zeros(len(texts)), [nothing] * len(texts)
         model = self.shared.value
         counted = [model.terms.arrays(text) for text in texts]
         worded = [i for i, (_, _, words, _) in enumerate(counted) if words]
         votes = model.votes([model.vector(*counted[i][:2], counted[i][3]) for i in worded])
-        out: list = [(self.unmarked, [])] * len(texts)
-        for i, (vote, found, likeness) in zip(worded, votes):
-            evidence = [(model.doc_ids[j], float(s), int(model.labels[j])) for j, s in zip(found.tolist(), likeness.tolist())]
-            out[i] = float(np.interp(vote, self.steps, self.heights)), evidence
-        return out
+        scores, found = np.full(len(texts), self.unmarked), [nothing] * len(texts)
+        scores[worded] = np.interp([v[0] for v in votes], self.steps, self.heights) if votes else []
+        for i, (_, numbers, likeness) in zip(worded, votes):
+            found[i] = numbers, likeness
+        return scores, found
+
+    def evidence(self, found: list[Vector]) -> pa.Array:
+        """Examples with their similarity and label, as a list for each text."""
+        numbers = np.concatenate([n for n, _ in found]) if found else np.zeros(0, np.int64)
+        doc_ids, labels = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        if self.shared is not None:
+            doc_ids, labels = np.array(self.shared.value.doc_ids, np.int64), self.shared.value.labels
+        rows = pa.StructArray.from_arrays(
+            [
+                pa.array(doc_ids[numbers], pa.int64()),
+                pa.array(np.concatenate([s for _, s in found]) if found else np.zeros(0), pa.float64()),
+                pa.array(labels[numbers].astype(np.int32), pa.int32()),
+            ],
+            names=["doc_id", "similarity", "label"],
+        )
+        return pa.ListArray.from_arrays(np.cumsum([0, *(len(n) for n, _ in found)]).astype(np.int32), rows)
 
 
 def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -278,6 +306,8 @@ def fit_toxicity(
         terms = Terms(zlib.decompress(lines.value).decode().split("\n"))
         for batch, slice_texts in text_slices(batches):
             found = [terms.arrays(text) for text in slice_texts]
+            orders = [np.argsort(f[0]) for f in found]
+            found = [(f[0][o], f[1][o], *f[2:]) for f, o in zip(found, orders)]
             columns = [
                 batch.column("doc_id"),
                 batch.column("label"),
@@ -332,17 +362,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
     scorer = fit_toxicity(docs, labels, folds, fold, **options)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
         for batch, slice_texts in text_slices(batches):
-            scores = scorer.scores(slice_texts)
-            evidence = [[{"doc_id": d, "similarity": s, "label": y} for d, s, y in e] for _, e in scores]
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
+            scores, found = scorer.scores(slice_texts)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "held_out": batch.column("held_out"),
-                    "score": pa.array([s for s, _ in scores], pa.float64()),
-                    "predicted": pa.array([int(s >= THRESHOLD) for s, _ in scores], pa.int32()),
-                    "evidence": pa.array(evidence, kind),
+                    "score": pa.array(scores, pa.float64()),
+                    "predicted": pa.array((scores >= THRESHOLD).astype(np.int32), pa.int32()),
+                    "evidence": scorer.evidence(found),
                 }
             )
 
@@ -358,10 +387,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **
     scorer = fit_toxicity(docs, labels, text_column=text_column, **options)
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        enter("toxicity")
         for array in texts:
             table = pa.RecordBatch.from_arrays([array.cast(pa.string())], names=["text"])
-            out = [score for _, part in text_slices([table]) for score, _ in scorer.scores(part)]
-            yield pa.array(out, pa.float64())
+            out = [scorer.scores(part)[0] for _, part in text_slices([table])]
+            yield pa.array(np.concatenate(out) if out else [], pa.float64())
 
     score.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     toxicity = F.arrow_udf(score, "double")

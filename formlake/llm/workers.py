@@ -3,7 +3,10 @@ task, and Arrow batches of a few megabytes, so that texts in flight stay small b
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +28,28 @@ def share_package(spark: SparkSession) -> None:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+_held: dict[str, list[Callable[[], None]]] = {}  # in a worker: what frees the memory of an operator
+_now: list[str] = [""]
+
+
+def holds(operator: str, free: Callable[[], None]) -> None:
+    """Name what a worker keeps for an operator between tasks."""
+    _held.setdefault(operator, []).append(free)
+
+
+def enter(operator: str) -> None:
+    """Called at the start of a task: a worker that last served another operator frees its memory."""
+    if _now[0] == operator:
+        return
+    _now[0] = operator
+    for name, frees in _held.items():
+        if name != operator:
+            for free in frees:
+                free()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library gives memory back by itself
+        pass
