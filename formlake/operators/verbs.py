@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlake.operators.dictionary import form_names, record_id_name
+from formlake.operators.exact import exact_mean
 from formlake.operators.lookup import attach, sort_spread
 from formlake.session import materialise
 
@@ -41,8 +42,8 @@ def arrange(df: DataFrame, *keys: str, descending: bool | list[bool] = False) ->
 
 
 def group_mean(df: DataFrame, by: list[str], value: str, name: str = "mean") -> DataFrame:
-    """Mean per group, missing values ignored."""
-    return df.groupBy(*by).agg(F.avg(value).alias(name))
+    """Mean per group, missing values ignored; the same however the rows are partitioned."""
+    return exact_mean(df, by, value, name)
 
 
 def with_group_mean(df: DataFrame, by: list[str], value: str, name: str = "mean") -> DataFrame:
