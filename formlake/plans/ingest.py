@@ -85,7 +85,7 @@ def landed(project: Project, runs: list[str] | None = None) -> DataFrame:
     if runs is not None:
         raw = raw.filter(F.col(RUN).isin(runs))
     rows = raw.filter(F.col(STATUS).isNull())
-    failed = raw.filter(F.col(STATUS) == C.ERROR).select(RUN, KEY).distinct()
+    failed = _failed_with_rows(project, raw)
     if not failed.isEmpty():
         rows = attach(rows, materialise(failed), [RUN, KEY], "left_anti")
     extra = _extra_columns(raw)
@@ -103,6 +103,16 @@ def landed(project: Project, runs: list[str] | None = None) -> DataFrame:
     )
 
 
+def _failed_with_rows(project: Project, raw: DataFrame) -> DataFrame:
+    """Failed chunks and files that have rows in the raw table.
+
+    Where chunks land whole these are only files that landed in slices, some of which failed.
+    """
+    told = raw.filter(F.col(STATUS).isNotNull()).groupBy(RUN, KEY)
+    told = told.agg(F.max(F.col(STATUS) == C.ERROR).alias("failed"), F.max(F.col(STATUS) != C.ERROR).alias("landed"))
+    return told.filter("failed AND landed" if project.lands_whole_chunks else "failed").select(RUN, KEY)
+
+
 def _extra_columns(raw: DataFrame) -> list[str]:
     """Columns that only some answers brought; as many as the schema drifted by."""
     if EXTRA not in raw.columns:
@@ -371,7 +381,7 @@ def _ingest(
         part = chunked.filter(F.col("chunk").between(low, low + wave - 1))
         try:
             rows = source.fetch(part if wave < figures["chunks"] else chunked, not has_raw, done, unlanded)
-            project.write(rows.withColumn(RUN, F.lit(run)), project.raw, "append", RUN)
+            project.land(rows, run)
         except Exception as e:  # the other waves still land
             upto = min(low + wave - 1, figures["chunks"])
             journal.add(C.ERROR, f"Chunks {low} to {upto}: lost with their job, {_brief(e)}")

@@ -6,11 +6,13 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from formlake.operators.audit import AUDIT_COLUMNS
 from formlake.operators.dictionary import DICTIONARY_COLUMNS
 from formlake.operators.journal import JOURNAL_SCHEMA, in_time_order
 from formlake.sinks.inspect import inspect
+from formlake.sinks.landing import land
 
 RUN = "_run"
 
@@ -76,6 +78,18 @@ class Project:
                 return
             writer.format("parquet").saveAsTable(self._place(table))
 
+    @property
+    def lands_whole_chunks(self) -> bool:
+        """Whether rows of a failed chunk stay out of the raw table; a catalog table is written by Spark alone."""
+        return self.database is None
+
+    def land(self, rows: DataFrame, run: str) -> None:
+        """Append what a source has brought to the raw table, as the partition of a run."""
+        if self.lands_whole_chunks:
+            land(rows, self._place(self.raw), f"{RUN}={run}")
+        else:
+            self.write(rows.withColumn(RUN, F.lit(run)), self.raw, "append", RUN)
+
     def replace_partitions(self, df: DataFrame, table: str, partition_by: str) -> None:
         """Write ``df`` over the partitions it has rows for; all others stay."""
         if not self.exists(table):

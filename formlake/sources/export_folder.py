@@ -54,6 +54,9 @@ def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path
 
 
+filesystem = _filesystem
+
+
 def list_files(path: str) -> list[tuple[str, int]]:
     """CSV files under a folder (or the one file named) with their sizes, by name."""
     store, inner = _filesystem(path)
