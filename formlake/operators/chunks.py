@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlake.operators.ids import distinct_ids
-from formlake.session import materialise
+from formlake.session import materialise, scratch_path
 
 DEFAULT_CHUNK_SIZE = 1000
 
@@ -60,6 +60,19 @@ def assign_chunks(
     )
 
 
+def laid_out_in_waves(chunks: DataFrame, wave_chunks: int) -> DataFrame:
+    """Numbered IDs with the wave of their chunk (from 0), written once with a partition for each wave.
+
+    IDs are numbered in sorted order, so a task has rows of few waves, and reading one wave
+    opens that wave's files alone.
+    """
+    path = scratch_path(chunks.sparkSession, "waves")
+    wave = F.floor((F.col("chunk") - 1) / wave_chunks).cast("int").alias("wave")
+    chunks.select("*", wave).write.partitionBy("wave").parquet(path)
+    schema = f"{chunks._jdf.schema().toDDL()}, wave int"
+    return chunks.sparkSession.read.schema(schema).parquet(path)
+
+
 def chunk_label(chunk: Column) -> Column:
     """Chunk number as written in log messages."""
     text = chunk.cast("string")

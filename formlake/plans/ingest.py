@@ -377,10 +377,11 @@ def _ingest(
 
     run = now().strftime("%Y%m%dT%H%M%S%f")
     wave = source.wave_chunks or figures["chunks"]
+    waves = C.laid_out_in_waves(chunked, wave) if wave < figures["chunks"] else None
     for low in range(1, figures["chunks"] + 1, wave):
-        part = chunked.filter(F.col("chunk").between(low, low + wave - 1))
+        part = chunked if waves is None else waves.filter(F.col("wave") == low // wave).drop("wave")
         try:
-            rows = source.fetch(part if wave < figures["chunks"] else chunked, not has_raw, done, unlanded)
+            rows = source.fetch(part, not has_raw, done, unlanded)
             project.land(rows, run)
         except Exception as e:  # the other waves still land
             upto = min(low + wave - 1, figures["chunks"])

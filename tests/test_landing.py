@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from formlake import Project, ingest
+from formlake.operators import chunks as C
 from formlake.plans.ingest import landed
 from formlake.sinks import landing
 from formlake.sinks.landing import LandingWriter, land
@@ -80,3 +81,17 @@ def test_reading_needs_no_join(spark, tmp_path, folder):
     assert raw.filter(F.col(STATUS).isNull()).count() == 2 and raw.filter(F.col(STATUS) == "ERROR").count() == 1
     plan = landed(project)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and landed(project).count() == 2
+
+
+def test_a_wave_reads_its_own_rows(spark):
+    ids = spark.createDataFrame([(f"{i:04d}",) for i in range(1000)], "`record id` string")
+    chunks = C.assign_chunks(ids, "record id", 7)
+    waves = C.laid_out_in_waves(chunks, 20)
+    assert waves.columns == ["record id", "chunk", "wave"] and waves.count() == 1000
+    every = set(waves.inputFiles())
+    for wave in range(8):
+        part = waves.filter(F.col("wave") == wave)
+        read = set(spark.read.parquet(*part.inputFiles()).inputFiles())
+        assert {f.split("wave=")[1].split("/")[0] for f in read} == {str(wave)} or read == every
+        assert "PartitionFilters: [isnotnull(wave" in part._jdf.queryExecution().executedPlan().toString()
+        assert {r["chunk"] for r in part.collect()} == set(range(20 * wave + 1, min(143, 20 * wave + 20) + 1))
