@@ -32,14 +32,14 @@ def study(spark):
     return dictionary(
         spark,
         [
-            ("record_id", "demographics", "text", "Study ID", None),
-            ("name_last", "demographics", "text", "Last Name", None),
-            ("email", "demographics", "text", "E-mail", None),
-            ("sex", "demographics", "radio", "Gender", "0, Female | 1, Male"),
-            ("bmi", "health", "calc", "BMI", "round([w]/[h],1)"),
-            ("race", "race", "checkbox", "Race", "1, Alpha | 2, Beta, both"),
-            ("notes", "race", "notes", "", None),
-            ("sex", "race", "radio", "Second entry", "0, X | 1, Y"),
+            ("record_id", "planting", "text", "Tree number", None),
+            ("grower", "planting", "text", "Grower", None),
+            ("plot", "planting", "text", "Plot", None),
+            ("stock", "planting", "radio", "Root stock", "0, Own root | 1, Grafted"),
+            ("girth", "growth", "calc", "Girth", "round([w]/[h],1)"),
+            ("soil", "soil", "checkbox", "Soil", "1, Alpha | 2, Beta, both"),
+            ("notes", "soil", "notes", "", None),
+            ("stock", "soil", "radio", "Second entry", "0, X | 1, Y"),
         ],
     )
 
@@ -54,15 +54,15 @@ def people(spark):
         (5, "Varga", "e@x", 1, 36.5, None, 0, None, None),
     ]
     schema = (
-        "record_id int, name_last string, email string, sex int, bmi double, race___1 int, "
-        "race___2 int, notes string, health_complete int"
+        "record_id int, grower string, plot string, stock int, girth double, soil___1 int, "
+        "soil___2 int, notes string, growth_complete int"
     )
     return spark.createDataFrame(rows, schema).coalesce(1)
 
 
 def test_choice_lists(spark):
     texts = {
-        "1, Yes | 0, No | 99, Unknown": [("1", "Yes"), ("0", "No"), ("99", "Unknown")],
+        "1, Ripe | 0, Green | 99, Unseen": [("1", "Ripe"), ("0", "Green"), ("99", "Unseen")],
         "1, Yes, maybe | 2": [("1", "Yes, maybe")],
         "1,A|2,B": [("1", "A"), ("2", "B")],
         "": None,
@@ -101,31 +101,31 @@ def test_elapsed(spark):
 
 def test_full_labelling(people, study):
     out = L.label(people, study)
-    assert [r["sex"] for r in out.collect()] == ["Female", "Male", "Male", "Female", "Male"]
-    assert [r["race___1"] for r in out.collect()] == ["Alpha", None, None, "Alpha", None]
-    assert [r["race___2"] for r in out.collect()] == [None, "Beta, both", None, "Beta, both", None]
-    assert [r["health_complete"] for r in out.collect()] == [
+    assert [r["stock"] for r in out.collect()] == ["Own root", "Grafted", "Grafted", "Own root", "Grafted"]
+    assert [r["soil___1"] for r in out.collect()] == ["Alpha", None, None, "Alpha", None]
+    assert [r["soil___2"] for r in out.collect()] == [None, "Beta, both", None, "Beta, both", None]
+    assert [r["growth_complete"] for r in out.collect()] == [
         "Complete", "Incomplete", "Unverified", "Complete", None,
     ]
     labels = {f.name: f.metadata.get("label") for f in out.schema.fields}
-    assert labels["sex"] == "Gender"
-    assert labels["race___2"] == "Race (Beta, both)"
-    assert labels["health_complete"] == "Complete? Health"
+    assert labels["stock"] == "Root stock"
+    assert labels["soil___2"] == "Soil (Beta, both)"
+    assert labels["growth_complete"] == "Complete? Growth"
     assert labels["notes"] is None
-    assert out.schema["bmi"].dataType == T.DoubleType()
+    assert out.schema["girth"].dataType == T.DoubleType()
 
 
 def test_flag_combinations(people, study):
     raw = L.label(people, study, convert=False)
-    assert raw.schema["sex"].dataType == T.IntegerType()
-    assert raw.schema["sex"].metadata["value_labels"] == [
-        {"code": "0", "label": "Female"}, {"code": "1", "label": "Male"},
+    assert raw.schema["stock"].dataType == T.IntegerType()
+    assert raw.schema["stock"].metadata["value_labels"] == [
+        {"code": "0", "label": "Own root"}, {"code": "1", "label": "Grafted"},
     ]
-    assert "value_labels" not in raw.schema["bmi"].metadata
+    assert "value_labels" not in raw.schema["girth"].metadata
     vals = L.label(people, study, cols=False, convert=False)
-    assert "label" not in vals.schema["sex"].metadata
+    assert "label" not in vals.schema["stock"].metadata
     cols = L.label(people, study, vals=False)
-    assert [r["sex"] for r in cols.collect()] == [0, 1, 1, 0, 1]
+    assert [r["stock"] for r in cols.collect()] == [0, 1, 1, 0, 1]
     with pytest.raises(ValueError):
         L.label(people, study, cols=False, vals=False)
 
@@ -139,13 +139,13 @@ def test_no_dictionary_returns_data_unchanged(spark, people, study):
 
 def test_labels_survive_parquet(spark, people, study, folder):
     L.label(people, study).write.parquet(folder + "/t")
-    assert spark.read.parquet(folder + "/t").schema["sex"].metadata == {"label": "Gender"}
+    assert spark.read.parquet(folder + "/t").schema["stock"].metadata == {"label": "Root stock"}
 
 
 def test_guard_skips_columns_without_codes(spark, study):
-    df = spark.createDataFrame([(1, 7), (2, 8)], "record_id int, sex int")
-    assert [r["sex"] for r in L.label(df, study).collect()] == [7, 8]
-    assert L.label(df, study, guard="none").schema["sex"].dataType == T.StringType()
+    df = spark.createDataFrame([(1, 7), (2, 8)], "record_id int, stock int")
+    assert [r["stock"] for r in L.label(df, study).collect()] == [7, 8]
+    assert L.label(df, study, guard="none").schema["stock"].dataType == T.StringType()
 
 
 def test_mixed_codes_turn_a_numeric_column_to_text(spark):
@@ -199,18 +199,18 @@ def test_decode_then_encode_gives_the_codes_back(spark, mapping):
 
 def test_split(people, study):
     forms = split_forms(people, study)
-    assert list(forms) == ["demographics", "health", "race"]
-    assert forms["demographics"].columns == ["record_id", "name_last", "email", "sex"]
-    assert forms["health"].columns == ["record_id", "bmi", "health_complete"]
-    assert forms["race"].columns == ["record_id", "notes", "sex", "race___1", "race___2"]
-    assert forms["race"].count() == 5
-    two = split_forms(people.filter("name_last = 'Abara'"), study)
+    assert list(forms) == ["planting", "growth", "soil"]
+    assert forms["planting"].columns == ["record_id", "grower", "plot", "stock"]
+    assert forms["growth"].columns == ["record_id", "girth", "growth_complete"]
+    assert forms["soil"].columns == ["record_id", "notes", "stock", "soil___1", "soil___2"]
+    assert forms["soil"].count() == 5
+    two = split_forms(people.filter("grower = 'Abara'"), study)
     assert {f.count() for f in two.values()} == {2}
-    chosen = split_forms(people.select("record_id", "email", "bmi"), study)
+    chosen = split_forms(people.select("record_id", "plot", "girth"), study)
     assert [len(f.columns) for f in chosen.values()] == [2, 2, 1]
     labelled = split_forms_labeled(people, study)
-    assert labelled["demographics"].schema["sex"].metadata == {"label": "Gender"}
-    assert split_forms(people, study, convert=True)["health"].first()["health_complete"] == "Complete"
+    assert labelled["planting"].schema["stock"].metadata == {"label": "Root stock"}
+    assert split_forms(people, study, convert=True)["growth"].first()["growth_complete"] == "Complete"
     assert split_forms(people, None) == {"data": people}
     with pytest.raises(ValueError):
         single_form(forms)
@@ -218,13 +218,13 @@ def test_split(people, study):
 
 
 def test_verbs(people, study):
-    assert select_fields(people, "email", "sex").columns == ["email", "sex"]
-    kept = select_fields(people, "email", dictionary=study, keep_record_id=True)
-    assert kept.columns == ["record_id", "email"]
-    below = arrange(below_group_mean(people, ["sex"], "bmi"), "bmi")
-    assert [r["bmi"] for r in below.collect()] == [18.75, 22.25]
-    assert [r["email"] for r in arrange(people, "email").collect()][-1] is None
-    assert [r["email"] for r in arrange(people, "email", descending=True).collect()][-1] is None
+    assert select_fields(people, "plot", "stock").columns == ["plot", "stock"]
+    kept = select_fields(people, "plot", dictionary=study, keep_record_id=True)
+    assert kept.columns == ["record_id", "plot"]
+    below = arrange(below_group_mean(people, ["stock"], "girth"), "girth")
+    assert [r["girth"] for r in below.collect()] == [18.75, 22.25]
+    assert [r["plot"] for r in arrange(people, "plot").collect()][-1] is None
+    assert [r["plot"] for r in arrange(people, "plot", descending=True).collect()][-1] is None
     assert record_id_name(study) == "record_id"
 
 
@@ -235,17 +235,17 @@ def test_column_families(spark, people, study):
     assert project_families(wide, study).columns == people.columns
     both = project_families(wide, study, survey_fields=True, access_groups=True)
     assert both.columns == wide.columns
-    assert project_fields(people, ["race", "bmi"], "record_id").columns == [
-        "record_id", "race___1", "race___2", "bmi",
+    assert project_fields(people, ["soil", "girth"], "record_id").columns == [
+        "record_id", "soil___1", "soil___2", "girth",
     ]
 
 
 def test_gray_status(spark, study):
     df = spark.createDataFrame(
-        [(1, None, 0), (2, 20.0, 2)], "record_id int, bmi double, health_complete int"
+        [(1, None, 0), (2, 20.0, 2)], "record_id int, girth double, growth_complete int"
     ).coalesce(1)
     shown = blank_gray_status(df, study, "record_id")
-    assert [r["health_complete"] for r in shown.collect()] == [None, 2]
+    assert [r["growth_complete"] for r in shown.collect()] == [None, 2]
 
 
 @pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)", "decimal(20,2)", "int", "double"])
