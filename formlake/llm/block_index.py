@@ -15,14 +15,20 @@ from collections.abc import Sequence
 import numpy as np
 
 BLOCK = 64
-FREQUENT = 8  # a term in one of so many examples has a row
-_ALONE = 256  # examples that are compared in full without looking at rows
+FREQUENT = 16  # a term in one of so many examples has a row
+_ALONE = 64  # examples that are compared in full without looking at rows
 _AT_ONCE = 64  # queries whose rows are multiplied together
 _ROUNDED = 1e-5  # far more than single precision loses in a similarity
 
 Vector = tuple[np.ndarray, np.ndarray]
 
 
+def spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each span of ``size``, one span after the other."""
+    ends = np.cumsum(size, dtype=np.int64)
+    return np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 class BlockMaxIndex:
     """Vectors are (term numbers in order, weights) of length 1; ``terms`` is the size of the vocabulary."""
 
@@ -98,14 +104,11 @@ class BlockMaxIndex:
 
     def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What rare terms add to each example's similarity, in whole blocks."""
-        begin, end = self.postings[terms], self.postings[terms + 1]
-        some = np.flatnonzero(end > begin)
-        spans = list(zip(begin[some].tolist(), end[some].tolist()))
-        if not spans:
-            return np.zeros(self.rows.shape[1])
-        example = np.concatenate([self.example[a:b] for a, b in spans])
-        weight = np.concatenate([self.weight[a:b] for a, b in spans])
-        return np.bincount(example, weight * np.repeat(weights[some], (end - begin)[some]), minlength=self.rows.shape[1])
+        begin = self.postings[terms]
+        size = self.postings[terms + 1] - begin
+        at = spans(begin, size)
+        each = self.weight[at] * np.repeat(weights, size)
+        return np.bincount(self.example[at], each, minlength=self.rows.shape[1])
 
     def _least(self, query: Vector, sums: np.ndarray, k: int, without: int) -> float:
         """A similarity that k examples reach: the k-th of those that share the weightiest rare terms."""
@@ -122,11 +125,11 @@ class BlockMaxIndex:
         self.compared += len(places)
         self._query[query[0]] = query[1]
         sizes = self.own[places + 1] - self.own[places]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.own[places] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        at = spans(self.own[places], sizes)
         each = np.append(self._query[self.own_terms[at]] * self.own_weights[at], 0.0)
         self._query[query[0]] = 0.0
-        return np.where(sizes > 0, np.add.reduceat(each, ends - sizes), 0.0)
+        return np.where(sizes > 0, np.add.reduceat(each, starts), 0.0)
 
     def _best(self, query: Vector, places: np.ndarray, k: int, without: int) -> Vector:
         likeness = self._compare(query, places) if len(places) else np.zeros(0)

@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.batches import id_and_text, named, text_slices
-from formlake.llm.block_index import BlockMaxIndex, Vector
+from formlake.llm.block_index import BlockMaxIndex, Vector, spans
 from formlake.llm.labelled import TRAIN_ROWS, held_out, training_labels
 from formlake.llm.workers import enter
 from formlake.llm.written import written
@@ -42,6 +43,7 @@ _SPREAD = 1024  # examples searched in a task
 _BEGINNINGS = (3, 4, 5, 6)
 _WORD = re.compile(r"\w+")
 
+_COUNTED = "numbers binary, counts binary, words bigint, outside bigint"
 _SCORED = (
     "doc_id bigint, held_out boolean, score double, predicted int, "
     "evidence array<struct<doc_id: bigint, similarity: double, label: int>>"
@@ -52,6 +54,10 @@ def word_terms(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in _BEGINNINGS if len(word) > k)]
 
 
+#: Terms of a text, their counts, the words, and the distinct words outside the vocabulary.
+Counted = tuple[np.ndarray, np.ndarray, int, int]
+
+
 class _Numbers(dict):
     """Numbers of vocabulary terms; any other term has the number past them."""
 
@@ -65,28 +71,48 @@ class Terms:
     def __init__(self, vocabulary: list[str]):
         self.number = _Numbers((term, i) for i, term in enumerate(vocabulary))
         self.size = self.number.none = len(vocabulary)
+        begun = [i for i, term in enumerate(vocabulary) if term.endswith("*")]
+        self.begun = np.array(begun, np.int64)
+        self.begins = {vocabulary[i]: k for k, i in enumerate(begun)}
         # Few words share their first letters with a beginning that is a term.
-        self.heads = {term[: _BEGINNINGS[0]] for term in vocabulary if term.endswith("*")}
-
-    def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Terms, their counts, the words, and the distinct words outside the vocabulary."""
+        self.heads = {term[: _BEGINNINGS[0]] for term in self.begins}
+        # The beginnings of vocabulary words are looked up once: word i has own[first[i] : first[i + 1]].
+        own: list[int] = []
+        sizes = np.zeros(self.size + 1, np.int64)
+        for i, word in enumerate(vocabulary):
+            if word[: _BEGINNINGS[0]] in self.heads and not word.endswith("*"):
+                found = self.beginnings(word)
+                sizes[i + 1] = len(found)
+                own += found
+        self.first, self.own = np.cumsum(sizes), np.array(own, np.int32)
+
+    def beginnings(self, word: str) -> list[int]:
+        """Places among the beginnings of those that the word has."""
+        return [self.begins[term] for term in word_terms(word)[1:] if term in self.begins]
+
+    def arrays(self, text: str) -> Counted:
         words = Counter(_WORD.findall(text.lower()))
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         counts = np.fromiter(words.values(), np.int64, len(words))
         total, inside = int(counts.sum()), numbers < self.size
         outside = len(words) - int(inside.sum())
+        heads, first = self.heads, _BEGINNINGS[0]
+        begun: list[int] = []
+        times: list[int] = []
         if outside:
+            for word in compress(words, (~inside).tolist()):
+                if word[:first] in heads:
+                    found = self.beginnings(word)
+                    begun += found
+                    times += [words[word]] * len(found)
             numbers, counts = numbers[inside], counts[inside]
-        heads, first = self.heads, _BEGINNINGS[0]
-        begun: dict[int, int] = {}
-        for word in [w for w in words if w[:first] in heads]:
-            for term in word_terms(word)[1:]:
-                number = self.number[term]
-                if number < self.size:
-                    begun[number] = begun.get(number, 0) + words[word]
-        if begun:
-            numbers = np.concatenate([numbers, np.fromiter(begun, np.int64, len(begun))])
-            counts = np.concatenate([counts, np.fromiter(begun.values(), np.int64, len(begun))])
+        if len(self.begun):
+            begin, size = self.first[numbers], self.first[numbers + 1] - self.first[numbers]
+            places = np.concatenate([self.own[spans(begin, size)], np.array(begun, np.int32)])
+            often = np.concatenate([np.repeat(counts, size), np.array(times, np.int64)])
+            seen = np.bincount(places, often, minlength=len(self.begun)).astype(np.int64)
+            some = np.flatnonzero(seen)
+            numbers, counts = np.concatenate([numbers, self.begun[some]]), np.concatenate([counts, seen[some]])
         return numbers, counts, total, outside
 
     def count(self, text: str) -> tuple[list[int], list[int], int]:
@@ -95,15 +121,48 @@ class Terms:
         return terms[order].tolist(), counts[order].tolist(), words
 
 
+@dataclass
+class Vocabulary:
+    """Terms as they are sent, a line each, compressed; every executor keeps what is sent."""
+
+    lines: bytes
+
+    @cached_property
+    def terms(self) -> Terms:  # made once in each worker
+        return Terms(zlib.decompress(self.lines).decode().split("\n"))
+
+
+def with_counts(batches: Iterable[pa.RecordBatch], terms: Terms) -> Iterator[pa.RecordBatch]:
+    """The text's terms, as steps from the one before, and their counts in its place."""
+    for batch, texts in text_slices(batches):
+        found = [terms.arrays(text) for text in texts]
+        orders = [np.argsort(f[0]) for f in found]
+        columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+        columns |= {
+            "numbers": pa.array([np.diff(f[0][o], prepend=0).astype("<i4").tobytes() for f, o in zip(found, orders)], pa.binary()),
+            "counts": pa.array([f[1][o].astype("<i4").tobytes() for f, o in zip(found, orders)], pa.binary()),
+            "words": pa.array([f[2] for f in found], pa.int64()),
+            "outside": pa.array([f[3] for f in found], pa.int64()),
+        }
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def read_counts(batch: pa.RecordBatch) -> list[Counted]:
+    columns = [batch.column(name).to_pylist() for name in ("numbers", "counts", "words", "outside")]
+    return [
+        (np.cumsum(np.frombuffer(n, "<i4"), dtype=np.int32), np.frombuffer(c, "<i4"), words, outside)
+        for n, c, words, outside in zip(*columns)
+    ]
+
+
 @dataclass
 class ToxicityModel:
     """All that a search needs; its size is bounded by the sample's texts.
 
-    Every executor keeps what is sent, so terms and examples go compressed, and workers build
-    the index from them.
+    Every executor keeps what is sent, so examples go compressed, and workers build the index
+    from them.
     """
 
-    words: bytes  # the vocabulary, a line each, compressed
     weights: np.ndarray  # of terms
     rarest: float  # weight of a term that no example has
     numbers: bytes  # each example's terms as steps from the one before, compressed
@@ -114,10 +173,6 @@ class ToxicityModel:
     doc_ids: list[int]
     base: float
 
-    @cached_property
-    def terms(self) -> Terms:  # made once in each worker
-        return Terms(zlib.decompress(self.words).decode().split("\n"))
-
     @cached_property
     def index(self) -> BlockMaxIndex:
         ends = np.cumsum(self.sizes)[:-1]
@@ -147,20 +202,26 @@ class Scorer:
     """A shared model with its calibration: votes and the probabilities there."""
 
     shared: Broadcast[ToxicityModel] | None
+    vocabulary: Broadcast[Vocabulary] | None = None
     unmarked: float = 0.0  # score of a text without a word
     steps: np.ndarray | None = None
     heights: np.ndarray | None = None
 
-    def scores(self, texts: list[str]) -> tuple[np.ndarray, list[Vector]]:
+    def scores_of_texts(self, texts: list[str]) -> np.ndarray:
+        if self.vocabulary is None:
+            return np.zeros(len(texts))
+        terms = self.vocabulary.value.terms
+        return self.scores([terms.arrays(text) for text in texts])[0]
+
+    def scores(self, counted: list[Counted]) -> tuple[np.ndarray, list[Vector]]:
         """Each text's probability, and the numbers and similarities of the examples it rests on."""
         nothing = np.zeros(0, np.int64), np.zeros(0)
         if self.shared is None:
-            return np.zeros(len(texts)), [nothing] * len(texts)
+            return np.zeros(len(counted)), [nothing] * len(counted)
         model = self.shared.value
-        counted = [model.terms.arrays(text) for text in texts]
         worded = [i for i, (_, _, words, _) in enumerate(counted) if words]
         votes = model.votes([model.vector(*counted[i][:2], counted[i][3]) for i in worded])
-        scores, found = np.full(len(texts), self.unmarked), [nothing] * len(texts)
+        scores, found = np.full(len(counted), self.unmarked), [nothing] * len(counted)
         scores[worded] = np.interp([v[0] for v in votes], self.steps, self.heights) if votes else []
         for i, (_, numbers, likeness) in zip(worded, votes):
             found[i] = numbers, likeness
@@ -250,26 +311,30 @@ def tied_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, int, int]:
     return [vocabulary[1 + i] for i in kept.tolist()], ties[kept], toxic, clean
 
 
-def document_frequencies(texts: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
-    """In how many rows of ``texts`` each term is, and how many rows there are."""
-    shared, size = texts.sparkSession.sparkContext.broadcast(vocabulary), len(vocabulary)
+def document_frequencies(rows: DataFrame, vocabulary: Broadcast[Vocabulary], size: int) -> tuple[np.ndarray, int]:
+    """In how many rows each of ``size`` terms is, and how many rows there are.
+
+    Rows have counts already, or a text.
+    """
+    ready = "text" not in rows.columns
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, seen = Terms(shared.value), np.zeros(size + 1, np.int64)
-        for _, slice_texts in text_slices(batches):
-            for text in slice_texts:
-                seen[terms.arrays(text)[0]] += 1
-            seen[size] += len(slice_texts)
+        enter("toxicity")
+        seen = np.zeros(size + 1, np.int64)
+        for batch in batches if ready else with_counts(batches, vocabulary.value.terms):
+            found = [numbers for numbers, _, _, _ in read_counts(batch)]
+            if found:
+                seen[:size] += np.bincount(np.concatenate(found), minlength=size)
+            seen[size] += batch.num_rows
         some = np.flatnonzero(seen)
         for first in range(0, len(some), 50_000):
             part = some[first : first + 50_000]
             yield pa.RecordBatch.from_pydict({"term": pa.array(part, pa.int64()), "rows": pa.array(seen[part], pa.int64())})
 
-    parts = texts.select("text").mapInArrow(count, "term bigint, rows bigint")
+    parts = rows.mapInArrow(count, "term bigint, rows bigint")
     summed = parts.groupBy("term").agg(F.sum("rows").alias("rows")).toArrow()  # one row a term
     frequency = np.zeros(size + 1)
     frequency[summed.column("term").to_numpy()] = summed.column("rows").to_numpy()
-    shared.unpersist()
     return frequency[:size], int(frequency[size])
 
 
@@ -282,74 +347,70 @@ def fit_toxicity(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
-) -> Scorer:
-    """Examples are at most ``train_rows`` labelled rows outside the held-out fold.
+    keep_counts: bool = False,
+) -> tuple[Scorer, DataFrame | None]:
+    """A scorer, and with ``keep_counts`` every row's id and term counts, written.
 
+    Examples are at most ``train_rows`` labelled rows outside the held-out fold.
     All of them are searched, over all their terms. Without rows of both labels nothing is
-    known against any document, and every score is 0.
+    known against any document, every score is 0, and no counts are kept.
     """
+    spark = docs.sparkSession
     texts = id_and_text(docs, id_column, text_column)
     train = written(training_labels(labels, label_column, folds, fold, train_rows), "training-labels")
     # At most train_rows rows of two numbers. Repeated rows of an id are one example.
     sample = texts.join(F.broadcast(train), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     examples = written(sample, "examples")
-    spread = examples.repartition(max(1, -(-examples.count() // _SPREAD)))
+    tasks = max(1, -(-examples.count() // _SPREAD))
+    spread = examples.repartition(tasks)
     vocabulary, ties, toxic, clean = tied_terms(spread)
     if not vocabulary:
-        return Scorer(None)
-    frequency, documents = document_frequencies(texts, vocabulary)
+        return Scorer(None), None
+    shared_terms = spark.sparkContext.broadcast(Vocabulary(zlib.compress("\n".join(vocabulary).encode(), 1)))
+
+    def counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
+        yield from with_counts(batches, shared_terms.value.terms)
+
+    counted = written(texts.mapInArrow(counts, f"doc_id bigint, {_COUNTED}"), "term-counts") if keep_counts else None
+    frequency, documents = document_frequencies(
+        texts.select("text") if counted is None else counted, shared_terms, len(vocabulary)
+    )
     idf = np.log((2 + documents) / (1 + frequency))  # next to nothing for a word of all documents
-    words = zlib.compress("\n".join(vocabulary).encode(), 1)
-    lines = docs.sparkSession.sparkContext.broadcast(words)
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(zlib.decompress(lines.value).decode().split("\n"))
-        for batch, slice_texts in text_slices(batches):
-            found = [terms.arrays(text) for text in slice_texts]
-            orders = [np.argsort(f[0]) for f in found]
-            found = [(f[0][o], f[1][o], *f[2:]) for f, o in zip(found, orders)]
-            columns = [
-                batch.column("doc_id"),
-                batch.column("label"),
-                pa.array([np.diff(f[0], prepend=0).astype("<i4").tobytes() for f in found], pa.binary()),
-                pa.array([f[1].astype("<i4").tobytes() for f in found], pa.binary()),
-                pa.array([f[2] for f in found], pa.int64()),
-                pa.array([f[3] for f in found], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "numbers", "counts", "words", "outside"])
-
-    kind = "doc_id bigint, label int, numbers binary, counts binary, words bigint, outside bigint"
+    kind = f"doc_id bigint, label int, {_COUNTED}"
+    packed_rows = written(spread.select("doc_id", "label", "text").mapInArrow(counts, kind), "example-counts")
     # Eight bytes a term of an example.
-    packed = spread.mapInArrow(pack, kind).toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    packed = packed_rows.toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     with_words = pc.greater(packed.column("words"), 0)
     plain = packed.filter(pc.invert(with_words)).column("label").to_pylist()
     packed = packed.filter(with_words)
-    numbers, counts = packed.column("numbers").to_pylist(), packed.column("counts").to_pylist()
+    numbers, times = packed.column("numbers").to_pylist(), packed.column("counts").to_pylist()
     model = ToxicityModel(
-        words, idf * (UNTIED + (1 - UNTIED) * ties), UNTIED * math.log(2 + documents),
-        zlib.compress(b"".join(numbers), 1), zlib.compress(b"".join(counts), 1),
+        idf * (UNTIED + (1 - UNTIED) * ties), UNTIED * math.log(2 + documents),
+        zlib.compress(b"".join(numbers), 1), zlib.compress(b"".join(times), 1),
         np.array([len(n) // 4 for n in numbers], np.int64), packed.column("outside").to_numpy(),
         packed.column("label").to_numpy(), packed.column("doc_id").to_pylist(), (toxic + 0.5) / (toxic + clean + 1),
     )
-    lines.unpersist()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
     def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
         model = shared.value
         place = {pair: i for i, pair in enumerate(zip(model.doc_ids, model.labels.tolist()))}
-        for batch, slice_texts in text_slices(batches):
+        for batch in batches:
             pairs = zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist())
             at = [place.get(pair, -1) for pair in pairs]  # none for a text without a word
-            rows = [(i, model.terms.arrays(text)) for i, text in zip(at, slice_texts) if i >= 0]
+            rows = [(i, found) for i, found in zip(at, read_counts(batch)) if i >= 0]
             votes = model.votes([model.vector(v[0], v[1], v[3]) for _, v in rows], [i for i, _ in rows])
             yield pa.RecordBatch.from_pydict(
                 {"place": pa.array([i for i, _ in rows], pa.int64()), "vote": pa.array([v[0] for v in votes], pa.float64())}
             )
 
-    voted = spread.mapInArrow(vote, "place bigint, vote double").toArrow().sort_by("place")  # two numbers an example
+    # Files of examples are small, and a search is long.
+    voted = packed_rows.repartition(tasks).mapInArrow(vote, "place bigint, vote double").toArrow().sort_by("place")  # two numbers an example
     steps, heights = monotone_fit(voted.column("vote").to_numpy(), model.labels[voted.column("place").to_numpy()])
     unmarked = (sum(plain) + 0.5 * model.base) / (len(plain) + 0.5)
-    return Scorer(shared, unmarked, steps, heights)
+    return Scorer(shared, shared_terms, unmarked, steps, heights), counted
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, **options) -> DataFrame:
@@ -359,12 +420,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
     are all alike all scores are 0. A null id is not held out; repeated rows give repeated
     rows; other columns are not read; an empty table gives no rows.
     """
-    scorer = fit_toxicity(docs, labels, folds, fold, **options)
+    scorer, counted = fit_toxicity(docs, labels, folds, fold, keep_counts=True, **options)
+    if counted is None:  # every score is 0, whatever the text
+        ids = id_and_text(docs, options.get("id_column", "doc_id"), options.get("text_column", "text")).select("doc_id")
+        return ids.select(
+            "doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), F.lit(0.0).alias("score"),
+            F.lit(0).alias("predicted"), F.expr("cast(array() as array<struct<doc_id: bigint, similarity: double, label: int>>)").alias("evidence"),
+        )
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("toxicity")
-        for batch, slice_texts in text_slices(batches):
-            scores, found = scorer.scores(slice_texts)
+        for batch in batches:
+            scores, found = scorer.scores(read_counts(batch))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -375,8 +442,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
                 }
             )
 
-    texts = id_and_text(docs, options.get("id_column", "doc_id"), options.get("text_column", "text"))
-    return texts.withColumn("held_out", held_out(F.col("doc_id"), folds, fold)).mapInArrow(score, _SCORED)
+    return counted.withColumn("held_out", held_out(F.col("doc_id"), folds, fold)).mapInArrow(score, _SCORED)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **options) -> DataFrame:
@@ -384,13 +450,13 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", **
 
     Odd rows are scored as ``score_toxicity`` says; columns of any name pass through.
     """
-    scorer = fit_toxicity(docs, labels, text_column=text_column, **options)
+    scorer, _ = fit_toxicity(docs, labels, text_column=text_column, **options)
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enter("toxicity")
         for array in texts:
             table = pa.RecordBatch.from_arrays([array.cast(pa.string())], names=["text"])
-            out = [scorer.scores(part)[0] for _, part in text_slices([table])]
+            out = [scorer.scores_of_texts(part) for _, part in text_slices([table])]
             yield pa.array(np.concatenate(out) if out else [], pa.float64())
 
     score.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
