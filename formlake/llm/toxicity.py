@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from formlake.llm.batches import id_and_text, named, text_slices
 from formlake.llm.block_index import BlockMaxIndex, Vector, spans
 from formlake.llm.labelled import TRAIN_ROWS, held_out, training_labels
-from formlake.llm.workers import enter
+from formlake.llm.workers import enter, give_back
 from formlake.llm.written import written
 
 EVIDENCE = 1.5  # log-likelihood ratio of a full tie, over the log of the terms looked at
@@ -181,7 +181,10 @@ class ToxicityModel:
         vectors = [
             self.vector(np.cumsum(n, dtype=np.int32), c, o) for n, c, o in zip(numbers, counts, self.outside.tolist())
         ]
-        return BlockMaxIndex(vectors, len(self.weights))
+        made = BlockMaxIndex(vectors, len(self.weights))
+        del vectors
+        give_back()  # the vectors took as much as the index
+        return made
 
     def vector(self, terms: np.ndarray, counts: np.ndarray, outside: int) -> Vector:
         weights = (1 + np.log(counts)) * self.weights[terms]

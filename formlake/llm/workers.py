@@ -48,6 +48,11 @@ def enter(operator: str) -> None:
         if name != operator:
             for free in frees:
                 free()
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that is free again to the system."""
     gc.collect()
     try:
         ctypes.CDLL(None).malloc_trim(0)
