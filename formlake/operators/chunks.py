@@ -85,7 +85,12 @@ def delivered_status(rows: DataFrame, chunks: DataFrame, record_id: str) -> Data
     Rows are counted per ID before the join, so an ID with very many rows meets
     its chunk as one row.
     """
-    per_id = rows.groupBy(record_id).agg(F.count("*").alias("_rows"))
+    return counted_status(rows.groupBy(record_id).agg(F.count("*").alias("n_rows")), chunks, record_id)
+
+
+def counted_status(counts: DataFrame, chunks: DataFrame, record_id: str) -> DataFrame:
+    """Status of each chunk from the ``n_rows`` of each ID that arrived."""
+    per_id = counts.select(record_id, F.col("n_rows").alias("_rows"))
     return (
         chunks.join(per_id, record_id, "left")
         .groupBy("chunk")

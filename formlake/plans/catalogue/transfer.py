@@ -18,7 +18,7 @@ from formlake.plans.catalogue.projects import (
 )
 from formlake.plans.catalogue.registry import query, table
 from formlake.sources.file_answers import FileAnswers, write_answers, write_file
-from formlake.plans.ingest import TransferError, ingest
+from formlake.plans.ingest import TransferError, ingest, pending_record_ids as ids_to_load
 from formlake.project import Project
 from formlake.session import scratch_path
 from formlake.sources.export_folder import read_folder
@@ -169,6 +169,50 @@ def resume_append(spark, folder):
     return project.records()
 
 
+@query("""
+SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS o_orderkey FROM orders WHERE o_orderdate >= '1998-01-01'
+""")
+def pending_after_load(spark, folder):
+    """What a second load would ask for, told from the index of landed IDs without the raw table."""
+    orders = table(spark, folder, "orders")
+    project = Project(spark, root=scratch_path(spark, "project"), record_id="o_orderkey", audit_log=None)
+    ingest(project, TableSource(orders.filter("o_orderdate < '1998-01-01'"), None, "o_orderkey"))
+    return ids_to_load(project, TableSource(orders, None, "o_orderkey"))
+
+
+_VERSION_SQL = """
+SELECT '{name}' AS version, '{kind}' AS type, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders
+"""
+
+
+@query(
+    _VERSION_SQL.format(name="held", kind="varchar") + "WHERE o_orderdate < '1998-01-01' UNION ALL"
+    + _VERSION_SQL.format(name="1", kind="varchar") + "WHERE o_orderdate < '1998-01-01' UNION ALL"
+    + _VERSION_SQL.format(name="2", kind="bigint")
+)
+def published_versions(spark, folder):
+    """A second load changes a column's type and so rewrites the table; readers keep what they had.
+
+    The version before can still be read, and so can a DataFrame made before the second load.
+    """
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey", "o_orderkey + 3000000000 AS big", "o_orderdate")
+    project = Project(spark, root=scratch_path(spark, "project"), record_id="o_orderkey", audit_log=None)
+    first = orders.filter("o_orderdate < '1998-01-01'")
+    ingest(project, TableSource(first, None, "o_orderkey"))
+    held = project.records()
+    ingest(project, TableSource(orders, None, "o_orderkey"), refresh=True, overflow="bigint")
+    seen = {"held": held}
+    seen |= {str(n): project.records(version=n) for n in project.versions(project.data).numbers()}
+    parts = [
+        df.agg(
+            F.lit(name).alias("version"), F.lit(dict(df.dtypes)["big"].replace("string", "varchar")).alias("type"),
+            F.count("*").alias("n"), F.sum(F.col("big").cast("bigint") - 3_000_000_000).cast("bigint").alias("total"),
+        )
+        for name, df in seen.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(f"""
 WITH chunks AS (
   SELECT chunk, count(*) AS n FROM (

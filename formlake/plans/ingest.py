@@ -2,8 +2,8 @@
 
 Rows land as text in a raw table, one partition per run, beside the status rows of
 failed and finished chunks or files. Chunks land in waves, each a Spark job of its own:
-a wave that dies takes none of the others with it. What has landed is read back from the
-raw table alone, so the next run asks only for what is missing.
+a wave that dies takes none of the others with it. The IDs of what has landed are kept beside
+the raw table, run by run, so the next run asks only for what is missing and rereads no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ from formlake.operators.narrowing import (
     decide_types,
     merge_counts,
 )
+from formlake.plans.landed_index import index_run, indexed_ids, unindexed_runs, unlanded_ids
 from formlake.project import RUN, Project
 from formlake.session import materialise
 from formlake.sources.requests import CONTROL, ERROR, EXTRA, KEY, ROWS, SECONDS, STATUS
@@ -196,10 +197,32 @@ def _brief(e: Exception) -> str:
     return re.sub(r"^\[USER_RAISED_EXCEPTION\] | SQLSTATE: \w+$", "", line)
 
 
+def _index_landed(project: Project, record_id: str) -> None:
+    """Index the IDs of runs that have landed: the last one's, and those whose load died."""
+    for run in unindexed_runs(project):
+        index_run(project, run, landed(project, [run]), record_id)
+
+
+def unlanded(project: Project, ids: DataFrame, record_id: str) -> DataFrame:
+    """Those of ``ids`` that have not landed, whichever way the project knows."""
+    if not project.indexes_ids:
+        return pending_ids(ids, landed(project), record_id)
+    _index_landed(project, record_id)
+    return unlanded_ids(project, ids, record_id)
+
+
+def pending_record_ids(project: Project, source) -> DataFrame:
+    """Record IDs of the source that a load would ask for now."""
+    ids = materialise(source.counted_ids().select(source.record_id).filter(F.col(source.record_id).isNotNull()))
+    return unlanded(project, ids, source.record_id) if project.exists(project.raw) else ids
+
+
 def _chunk_status(project: Project, source, chunks: DataFrame, run: str) -> DataFrame:
     """Status of this run's chunks, from what the raw table holds."""
     arrived = project.exists(project.raw)
     if not source.reports_status:
+        if arrived and project.indexes_ids:
+            return C.counted_status(indexed_ids(project, source.record_id, run), chunks, source.record_id)
         rows = landed(project, [run]) if arrived else chunks.select(source.record_id).limit(0)
         return C.delivered_status(rows, chunks, source.record_id)
     sizes = chunks.groupBy("chunk").agg(F.count("*").alias("n_ids"))
@@ -356,9 +379,9 @@ def _ingest(
     if nameless:
         journal.add(C.WARNING, f"Record IDs: {nameless[0]} rows without one are left out")
 
-    pending = unlanded = ids.select(record_id)
+    pending = new = ids.select(record_id)
     if has_raw:
-        pending = unlanded = materialise(pending_ids(ids, landed(project), record_id))
+        pending = new = materialise(unlanded(project, ids, record_id))
         if done is not None:  # a file that never landed may hold more rows of a landed record
             pending = pending.union(ids.filter("in_new_file").select(record_id)).distinct()
     chunked = C.assign_chunks(materialise(pending), record_id, chunk_size, already_distinct=True)
@@ -381,13 +404,15 @@ def _ingest(
     for low in range(1, figures["chunks"] + 1, wave):
         part = chunked if waves is None else waves.filter(F.col("wave") == low // wave).drop("wave")
         try:
-            rows = source.fetch(part, not has_raw, done, unlanded)
+            rows = source.fetch(part, not has_raw, done, new)
             project.land(rows, run)
         except Exception as e:  # the other waves still land
             upto = min(low + wave - 1, figures["chunks"])
             journal.add(C.ERROR, f"Chunks {low} to {upto}: lost with their job, {_brief(e)}")
             journal.flush()
 
+    if project.indexes_ids and project.exists(project.raw):
+        _index_landed(project, record_id)
     status = materialise(_chunk_status(project, source, chunked, run))
     project.write(status.withColumn(RUN, F.lit(run)), project.chunk_status, "append", RUN)
     journal.add_many(

@@ -13,6 +13,7 @@ from formlake.operators.dictionary import DICTIONARY_COLUMNS
 from formlake.operators.journal import JOURNAL_SCHEMA, in_time_order
 from formlake.sinks.inspect import inspect
 from formlake.sinks.landing import land
+from formlake.sinks.versions import VersionedTable
 
 RUN = "_run"
 
@@ -21,7 +22,8 @@ RUN = "_run"
 class Project:
     """Tables of one project, as Parquet folders under ``root`` or in a catalog ``database``.
 
-    ``transfer_log=None`` turns logging off; ``audit_log=None`` skips the audit log.
+    ``transfer_log=None`` turns logging off; ``audit_log=None`` skips the audit log. Under
+    ``root`` the typed records and the dictionary have versions; a catalog's are overwritten.
     """
 
     spark: SparkSession
@@ -35,6 +37,7 @@ class Project:
     raw: str = field(default="raw", kw_only=True)
     chunk_status: str = field(default="chunk_status", kw_only=True)
     type_counts: str = field(default="type_counts", kw_only=True)
+    landed_ids: str = field(default="landed_ids", kw_only=True)
 
     def __post_init__(self) -> None:
         if (self.root is None) == (self.database is None):
@@ -49,21 +52,35 @@ class Project:
         if self.database is not None:
             return self.spark.catalog.tableExists(self._place(table))
         try:
-            self.spark.read.parquet(self._place(table))
+            self.read(table) if self._is_versioned(table) else self.spark.read.parquet(self._place(table))
         except AnalysisException as e:
             if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return False
             raise
         return True
 
+    def _is_versioned(self, table: str) -> bool:
+        return self.database is None and table in (self.data, self.metadata, self.landed_ids)
+
+    def versions(self, table: str) -> VersionedTable:
+        """The versions of the typed records, the dictionary or the landed IDs."""
+        if not self._is_versioned(table):
+            raise ValueError(f"{table} has no versions")
+        return VersionedTable(self.spark, self._place(table))
+
     def read(self, table: str) -> DataFrame:
         if self.database is not None:
             return self.spark.table(self._place(table))
+        if self._is_versioned(table):
+            return self.versions(table).read()
         return self.spark.read.option("mergeSchema", "true").parquet(self._place(table))
 
     def write(
         self, df: DataFrame, table: str, mode: str = "append", partition_by: str | None = None
     ) -> None:
+        if self._is_versioned(table):
+            self.versions(table).publish(df, mode == "append", partition_by)
+            return
         writer = df.write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(partition_by)
@@ -83,6 +100,18 @@ class Project:
         """Whether rows of a failed chunk stay out of the raw table; a catalog table is written by Spark alone."""
         return self.database is None
 
+    @property
+    def indexes_ids(self) -> bool:
+        """Whether the IDs of landed rows are kept apart from the raw table."""
+        return self.database is None
+
+    def landed_runs(self) -> list[str]:
+        """Runs that have a folder in the raw table; no file is opened."""
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._place(self.raw))
+        store = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
+        return [name.removeprefix(f"{RUN}=") for name in names if name.startswith(f"{RUN}=")]
+
     def land(self, rows: DataFrame, run: str) -> None:
         """Append what a source has brought to the raw table, as the partition of a run."""
         if self.lands_whole_chunks:
@@ -119,8 +148,10 @@ class Project:
     def is_filled(self, table: str) -> bool:
         return self.exists(table) and not self.read(table).isEmpty()
 
-    def records(self, table: str | None = None) -> DataFrame:
-        """The typed record table, lazily."""
+    def records(self, table: str | None = None, version: int | None = None) -> DataFrame:
+        """The typed record table, lazily; ``version`` is one that ``versions`` lists."""
+        if version is not None:
+            return self.versions(table or self.data).read(version).drop(RUN)
         return self.read(table or self.data).drop(RUN)
 
     def dictionary(self) -> DataFrame | None:
