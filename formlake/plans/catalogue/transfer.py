@@ -23,6 +23,7 @@ from formlake.project import Project
 from formlake.session import scratch_path
 from formlake.sources.export_folder import read_folder
 from formlake.sources.projects import FolderSource, RequestSource, TableSource
+from formlake.sources.transport import ExportOptions
 
 _CHUNKS_SQL = """
 SELECT o_orderkey, CAST(ceil(row_number() OVER (ORDER BY o_orderkey) / {size}.0) AS INTEGER) AS chunk
@@ -452,13 +453,14 @@ def transfer_result(spark, folder):
     )
 
 
-@query("SELECT 0 AS failed, count(*) AS entries FROM lineitem WHERE false")
+@query("SELECT 0 AS failed, count(*) AS entries FROM lineitem WHERE l_extendedprice < l_discount")
 def transfer_of_nothing(spark, folder):
-    """A source without records: the load ends in an error and leaves no table."""
+    """Filter logic that no record meets: the load looks at all, ends in an error and leaves no table."""
     project = Project(spark, root=scratch_path(spark, "project"), record_id="l_orderkey", audit_log=None)
     failed = 1
     try:
-        ingest(project, TableSource(table(spark, folder, "lineitem").limit(0), None, "l_orderkey"))
+        nothing = ExportOptions(filter_logic="l_extendedprice < l_discount")
+        ingest(project, TableSource(table(spark, folder, "lineitem"), None, "l_orderkey", options=nothing))
     except TransferError:
         failed = int(project.exists(project.data))
     entries = F.count_if(F.col("type") == "SUCCESS").alias("entries")
