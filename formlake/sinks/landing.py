@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
@@ -95,14 +96,12 @@ class _Chunk:
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[bool, bool, pa.RecordBatch]]:
     """Rows that follow each other under one key: whether they have a key, are a status row, and they."""
-    key, status = batch.column(KEY), pc.is_valid(batch.column(STATUS))
-    codes = pc.fill_null(key.dictionary_encode().indices, -1).to_pylist()
-    told = status.to_pylist()
-    start = 0
-    for at in range(1, batch.num_rows + 1):
-        if at == batch.num_rows or told[at] or told[start] or codes[at] != codes[start]:
-            yield codes[start] >= 0, told[start], batch.slice(start, at - start)
-            start = at
+    key, told = batch.column(KEY), pc.is_valid(batch.column(STATUS)).to_numpy(zero_copy_only=False)
+    codes = pc.fill_null(key.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+    bounds = np.flatnonzero(told[1:] | told[:-1] | (codes[1:] != codes[:-1])) + 1
+    starts = [0, *bounds.tolist(), batch.num_rows] if batch.num_rows else []
+    for start, end in zip(starts, starts[1:]):
+        yield bool(codes[start] >= 0), bool(told[start]), batch.slice(start, end - start)
 
 
 class LandingWriter(DataSourceArrowWriter):

@@ -66,7 +66,7 @@ def _answer(
                 n = batch.num_rows
                 rows += n
                 control = [
-                    pa.array([key] * n, pa.string()),
+                    pa.repeat(pa.scalar(key, pa.string()), n),
                     *[pa.nulls(n, _ARROW[c]) for c in (STATUS, ERROR, ROWS, SECONDS)],
                     _extra_cells(batch, columns),
                 ]
