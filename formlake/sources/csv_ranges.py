@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from formlake.session import materialise
@@ -33,6 +33,8 @@ _SCANNED_ARROW = [
     pa.string(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(),
 ]
 MAX_TASKS = 100_000
+TASK_BYTES = 64 << 20  # of short ranges or slices that one task reads one after the other
+_TASKS_A_CORE = 4
 
 
 def scan_range(file: pa.NativeFile, size: int, begin: int, end: int) -> tuple:
@@ -82,9 +84,12 @@ def _scan(store_of: Callable[[], fs.FileSystem], range_bytes: int) -> Callable:
     return scan
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """One row in each task, up to a bound."""
-    return rows.repartition(max(1, min(MAX_TASKS, rows.count())))
+def _spread(rows: DataFrame, size: Column) -> DataFrame:
+    """Rows over all cores, and over more tasks where one would read more than ``TASK_BYTES``; one row may be larger."""
+    seen = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(_TASKS_A_CORE * cores, -(-seen["bytes"] // TASK_BYTES))
+    return rows.repartition(max(1, min(MAX_TASKS, seen["rows"], tasks)))
 
 
 def plan_slices(
@@ -100,7 +105,7 @@ def plan_slices(
     listed = spark.createDataFrame(files, FILES)
     last = F.floor((F.col("size") - 1) / range_bytes).cast("bigint")
     ranges = listed.where("size > 0").select("file", "size", "names", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("no"))
-    scanned = materialise(_spread(ranges).mapInArrow(_scan(store_of, range_bytes), _SCANNED))
+    scanned = materialise(_spread(ranges, F.lit(range_bytes)).mapInArrow(_scan(store_of, range_bytes), _SCANNED))
     # One row a range: some ten thousand for a file of a terabyte.
     forwards = Window.partitionBy("file").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     backwards = Window.partitionBy("file").orderBy(F.desc("no")).rowsBetween(Window.unboundedPreceding, -1)
@@ -139,11 +144,11 @@ def slice_batches(
 
 
 def read_slices(slices: DataFrame, parse: Callable[[dict], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """What ``parse`` makes of each slice, one slice in a task."""
+    """What ``parse`` makes of each slice; a task takes short slices one after the other."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 yield from parse(row)
 
-    return _spread(slices).mapInArrow(read, schema)
+    return _spread(slices, F.col("end") - F.col("begin")).mapInArrow(read, schema)

@@ -9,6 +9,7 @@ import pytest
 from pyarrow import fs
 
 from formlake import Project, ingest
+from formlake.sources import csv_ranges
 from formlake.sources.csv_ranges import plan_slices, scan_range
 from formlake.sources.csv_stream import SHORT_ROWS, HeaderError, csv_batches, read_header, record_blocks
 from formlake.sources.export_folder import plan_folder, read_folder
@@ -163,3 +164,16 @@ def test_a_slice_that_fails_keeps_its_file_out(spark, tmp_path, folder):
     (records / "large.csv").write_bytes(b"id,v\n" + b"".join(good))
     assert ingest(project, FolderSource(spark, str(tmp_path), "id", range_bytes=2048), refresh=True)
     assert project.records().count() == 401
+
+
+def test_a_task_takes_many_short_slices(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("id,note\n" + "".join(f'{i},"a, {i}\nb"\n' for i in range(3000)))
+    plan = plan_folder(spark, str(tmp_path), 256)
+    few = 4 * spark.sparkContext.defaultParallelism
+    assert plan.slices.count() > 2 * few
+    rows = read_folder(spark, str(tmp_path), plan)
+    tasks = rows.rdd.getNumPartitions()
+    assert tasks <= few + 1  # one more for the small files
+    assert sorted((int(r["id"]), r["note"]) for r in rows.collect()) == [(i, f"a, {i}\nb") for i in range(3000)]
+    monkeypatch.setattr(csv_ranges, "TASK_BYTES", 512)  # more tasks where the bytes ask for them
+    assert read_folder(spark, str(tmp_path), plan).rdd.getNumPartitions() > tasks
