@@ -306,9 +306,18 @@ _EXACT = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpac
           "ignoreTrailingWhiteSpace": "false"}
 
 
-def _document_files(spark, folder, path: str, files: int = 4):
-    """Documents as CSV exports; their texts hold line breaks, quotes and separators."""
-    rows = as_text(table(spark, folder, "documents").select("doc_id", "lang", "text"))
+_FILE_BYTES = 64 << 20
+
+
+def _document_files(spark, folder, path: str, files: int = 4, file_bytes: int = _FILE_BYTES):
+    """Documents as CSV exports; their texts hold line breaks, quotes and separators.
+
+    There are ``files`` of them, and more where these would hold over ``file_bytes`` of text.
+    """
+    documents = table(spark, folder, "documents")
+    size = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    files = max(files, -(-size // file_bytes))
+    rows = as_text(documents.select("doc_id", "lang", "text"))
     parts = rows.repartitionById(files, F.pmod(F.crc32(F.col("doc_id").cast("binary")), F.lit(files)).cast("int"))
     parts.write.mode("overwrite").options(**_EXACT).csv(path)
 

@@ -9,6 +9,7 @@ import pytest
 from pyarrow import fs
 
 from formlake import Project, ingest
+from formlake.plans.catalogue import transfer
 from formlake.sources import csv_ranges
 from formlake.sources.csv_ranges import plan_slices, scan_range
 from formlake.sources.csv_stream import SHORT_ROWS, HeaderError, csv_batches, read_header, record_blocks
@@ -177,3 +178,14 @@ def test_a_task_takes_many_short_slices(spark, tmp_path, monkeypatch):
     assert sorted((int(r["id"]), r["note"]) for r in rows.collect()) == [(i, f"a, {i}\nb") for i in range(3000)]
     monkeypatch.setattr(csv_ranges, "TASK_BYTES", 512)  # more tasks where the bytes ask for them
     assert read_folder(spark, str(tmp_path), plan).rdd.getNumPartitions() > tasks
+
+
+def test_export_files_are_bounded(spark, tmp_path):
+    spark.range(200).selectExpr("id AS doc_id", "'en' AS lang", "repeat('text ', 20) AS text").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    transfer._document_files(spark, str(tmp_path), f"{tmp_path}/four")
+    transfer._document_files(spark, str(tmp_path), f"{tmp_path}/more", file_bytes=2000)
+    assert len(list((tmp_path / "four").glob("*.csv"))) == 4
+    assert len(list((tmp_path / "more").glob("*.csv"))) == 10
+    assert read_folder(spark, f"{tmp_path}/more").count() == 200
