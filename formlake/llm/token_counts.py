@@ -7,7 +7,6 @@ where it is read.
 
 from __future__ import annotations
 
-import heapq
 import os
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -47,30 +46,35 @@ def _segments(text: str) -> list[str]:
 
 
 def frequent_pretokens(
-    texts: DataFrame, entries: int = 32_768, sample_rows: int = 20_000, longest: int = 48
+    texts: DataFrame, entries: int = 32_768, sample_rows: int | None = None, longest: int = 48
 ) -> list[str]:
-    """The most frequent pre-tokens of a bounded sample of rows, picked by a hash of the row.
+    """The most frequent pre-tokens of all rows, by exact counts.
 
     At most ``entries`` strings of ``longest`` characters, so the table that is broadcast
-    has a fixed bound. It only decides where a length is looked up, never the length.
-    Each task returns its own most frequent ones, which are then added up.
+    has a fixed bound; one that occurs once is not frequent. It only decides where a length is
+    looked up, never the length. A task hands its counts on whenever it holds many, and all
+    are added up. With ``sample_rows`` only about so many rows are counted, by a hash of the row.
     """
-    rows = texts.count()
-    every = max(1, rows // sample_rows)
-    picked = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+    picked = texts.select("text")
+    if sample_rows is not None:
+        every = max(1, texts.count() // sample_rows)
+        picked = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+
+    def handed(seen: Counter[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"segment": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())}
+        )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for _, slice_texts in text_slices(batches):
             seen.update(s for s in chain.from_iterable(map(_segments, slice_texts)) if len(s) <= longest)
             if len(seen) > 8 * entries:
-                seen = Counter(dict(seen.most_common(4 * entries)))
-        top = heapq.nlargest(entries, seen.items(), key=lambda x: (x[1], x[0]))
-        yield pa.RecordBatch.from_pydict(
-            {"segment": pa.array([s for s, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())}
-        )
+                yield handed(seen)
+                seen = Counter()
+        yield handed(seen)
 
-    counted = picked.mapInArrow(count, "segment string, n bigint").groupBy("segment").agg(F.sum("n").alias("n"))
+    counted = picked.mapInArrow(count, "segment string, n bigint").groupBy("segment").agg(F.sum("n").alias("n")).where("n > 1")
     counted = written(counted, "pretokens")
     # The counts' own distribution tells from which count on the entries fit: some hundred
     # rows, where a sort would send the top of every task to the driver.
@@ -92,7 +96,7 @@ def count_tokens(
     id_column: str = "doc_id",
     text_column: str = "text",
     entries: int = 32_768,
-    sample_rows: int = 20_000,
+    sample_rows: int | None = None,
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit.
 

@@ -20,7 +20,7 @@ from formlake.llm.library_ids import byte_level_ids, word_end_ids
 from formlake.llm.packed_ids import TokenFile, pack, unpack
 from formlake.llm.queries import QUERIES
 from formlake.llm.segments import BYTE_LEVEL, SegmentCache
-from formlake.llm.token_counts import _segments, count_tokens
+from formlake.llm.token_counts import _segments, count_tokens, frequent_pretokens
 from formlake.llm.token_files import read_token_files, write_token_files
 
 FOLDER = "/root/testdata/sf0.001"
@@ -185,3 +185,17 @@ def test_token_counts(spark, entries):
         assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n_tokens"]) for r in got) == wanted
         assert all(r["over_limit"] == (r["n_tokens"] > 4096) for r in got)
     assert count_tokens(none(spark), PIECES).count() == 0
+
+
+def test_frequent_pretokens_come_from_all_rows(spark):
+    # One word a row, word k in 1,000 - 3 k rows: 45,000 rows, which were halved by a hash before.
+    words = [(f"w{k:02d}", 1000 - 3 * k) for k in range(50)]
+    texts = spark.createDataFrame(words, "text string, n int").selectExpr("text", "explode(sequence(1, n)) AS doc_id")
+    texts = texts.repartition(5)
+    assert texts.count() > 45_000
+    assert frequent_pretokens(texts, entries=64) == [" " + word for word, _ in words]
+
+    # Rare words that come between must not push out what a task has counted so far.
+    often = [f"{word} r{word}{i}" for word, n in (("a", 400), ("b", 200), ("c", 100), ("d", 50)) for i in range(n)]
+    mixed = spark.createDataFrame([(i, t) for i, t in enumerate(often)], "doc_id bigint, text string")
+    assert frequent_pretokens(mixed, entries=4) == [" a", " b", " c", " d"]
