@@ -228,9 +228,8 @@ def narrow(df: DataFrame, **options) -> DataFrame:
     return apply_types(df, profile_types(df, **options))
 
 
-def plain_number(column: Column) -> Column:
-    """A floating-point number's text without an exponent: its digits and zeros up to the point."""
-    text = column.cast("string")
+def _without_exponent(text: Column) -> Column:
+    """Digits and zeros of a number's text that has an exponent."""
 
     def part(group: int) -> Column:
         return F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", group)
@@ -241,7 +240,17 @@ def plain_number(column: Column) -> Column:
     rest = F.substring(digits, power + 2, F.length(digits))
     large = F.concat(whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    plain = F.concat(part(1), F.when(power >= 0, large).otherwise(small))
+    return F.concat(part(1), F.when(power >= 0, large).otherwise(small))
+
+
+def plain_number(column: Column) -> Column:
+    """A floating-point number's text without an exponent: its digits and zeros up to the point.
+
+    The patterns are in a function of their own, which few numbers need: as part of the
+    generated code of every column they would make it too large to be compiled.
+    """
+    text = column.cast("string")
+    plain = F.get(F.transform(F.array(text), _without_exponent), F.lit(0))
     return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
 
 

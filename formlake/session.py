@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SPREAD_BYTES = 16 << 20  # of packed files, some five times that as text
 _SETTING = "spark.checkpoint.dir"
 _own_folder: dict[str, str] = {}  # by application, for local sessions without the setting
 _cleared: set[str] = set()  # folders that go when the driver's JVM ends
@@ -66,13 +67,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{mine}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_bytes(spark: SparkSession, files: list[str]) -> int:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    places = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)) for file in files]
+    return sum(place.getFileSystem(conf).getFileStatus(place).getLen() for place in places)
+
+
 def spread_if_few(df: DataFrame) -> DataFrame:
-    """Use every core on input that arrives in few files.
+    """Use every core on input that arrives in few files, with no more than ``SPREAD_BYTES`` of them in a task.
 
     Only the file list is looked at, so no part of the plan runs for it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not 0 < len(files) < cores:
+        return df
+    return df.repartition(max(cores, -(-_file_bytes(spark, files) // SPREAD_BYTES)))
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -122,8 +122,8 @@ class TableSource:
 
         Rows without an ID are left out.
         """
-        rows = as_text(self.records()).filter(F.col(f"`{self.record_id}`").isNotNull())
-        rows = spread_if_few(rows)
+        rows = self.records().filter(F.col(f"`{self.record_id}`").isNotNull())
+        rows = as_text(spread_if_few(rows))
         if not everything:
             rows = restrict_to_ids(rows, chunks, self.record_id)
         return rows.withColumns(

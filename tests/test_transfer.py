@@ -408,3 +408,16 @@ def test_csv_headers_are_checked(spark, tmp_path):
     with pytest.raises(Exception, match="header|CSV"):
         out, state = str(tmp_path / "out"), str(tmp_path / "state")
         land_available(stream_exports(spark, str(tmp_path / "drop"), ["id", "v"]), out, state)
+
+
+def test_few_files_are_spread_by_their_size(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/records"
+    spark.range(20_000).selectExpr("id", "id / 3 AS weight").coalesce(1).write.parquet(path)
+    records = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert session.spread_if_few(records).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(session, "SPREAD_BYTES", 2048)
+    spread = session.spread_if_few(records)
+    assert spread.rdd.getNumPartitions() > 4 * cores
+    assert spread.count() == 20_000
+    assert TableSource(records, None, "id").fetch(None, True).rdd.getNumPartitions() > 4 * cores
