@@ -17,7 +17,7 @@ import numpy as np
 BLOCK = 64
 FREQUENT = 16  # a term in one of so many examples has a row
 _ALONE = 64  # examples that are compared in full without looking at rows
-_AT_ONCE = 64  # queries whose rows are multiplied together
+_AT_ONCE = 192  # queries whose rows are multiplied together: rows are read once for all of them
 _ROUNDED = 1e-5  # far more than single precision loses in a similarity
 
 Vector = tuple[np.ndarray, np.ndarray]
@@ -83,7 +83,7 @@ class BlockMaxIndex:
             if not len(terms):
                 continue
             sums = self._rare(terms, weights)
-            least = self._least(queries[i], sums, k, without[i])
+            least = self._least(sums, k, without[i])
             reach = (sums.reshape(-1, BLOCK) + bounds[i][:, None]).reshape(-1)[: self.count]
             near = np.flatnonzero(reach >= least)
             if len(near) <= _ALONE:
@@ -110,15 +110,12 @@ class BlockMaxIndex:
         each = self.weight[at] * np.repeat(weights, size)
         return np.bincount(self.example[at], each, minlength=self.rows.shape[1])
 
-    def _least(self, query: Vector, sums: np.ndarray, k: int, without: int) -> float:
-        """A similarity that k examples reach: the k-th of those that share the weightiest rare terms."""
+    def _least(self, sums: np.ndarray, k: int, without: int) -> float:
+        """A similarity that k examples reach: the k-th largest by rare terms alone, to which others only add."""
         some = sums[: self.count]
-        take = min(2 * k, self.count)
-        likely = np.argpartition(-some, take - 1)[:take]
-        likely = likely[self.order[likely] != without]
-        if len(likely) < k:
-            return 0.0
-        return max(0.0, float(np.partition(self._compare(query, likely), -k)[-k]) - _ROUNDED)
+        if without >= 0:
+            some = np.delete(some, self.place[without])
+        return max(0.0, float(np.partition(some, -k)[-k]) - _ROUNDED) if len(some) >= k else 0.0
 
     def _compare(self, query: Vector, places: np.ndarray) -> np.ndarray:
         """Similarities in full."""

@@ -206,3 +206,22 @@ def test_odd_rows(spark, labels, score, drop):
     nothing = labels.limit(0)
     assert score(odd(spark), nothing).count() == len(ROWS)
     assert drop(odd(spark), nothing).count() == len(ROWS)  # without labels nothing is rejected
+
+
+def test_few_examples_are_compared_in_full():
+    rng = np.random.default_rng(5)
+    def vector():
+        found = np.unique(rng.integers(0, 300, 40))
+        weights = rng.random(len(found))
+        return found.astype(np.int32), weights / np.sqrt(weights @ weights)
+
+    examples, queries = [vector() for _ in range(2000)], [vector() for _ in range(250)]
+    dense = np.zeros((2, 2000, 300))
+    for side, vectors in zip(dense, (examples, queries)):
+        for row, (found, weights) in zip(side, vectors):
+            row[found] = weights
+    index = BlockMaxIndex(examples, 300)
+    for query, (found, likeness) in zip(dense[1], index.nearest_many(queries, 10)):
+        sums = dense[0] @ query
+        assert np.allclose(likeness, np.sort(sums)[::-1][:10]) and np.allclose(likeness, sums[found])
+    assert index.compared < 20 * len(queries)  # twice the neighbours were compared before any bound
