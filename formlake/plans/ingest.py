@@ -92,6 +92,8 @@ def landed(project: Project, runs: list[str] | None = None) -> DataFrame:
     extra = _extra_columns(raw)
     keep = [c for c in raw.columns if c not in CONTROL and c != RUN]
     added = [n for n in extra if n not in keep]
+    # Rows of one run need no sort by run where they are written as a partition.
+    run = F.lit(runs[0]).alias(RUN) if runs is not None and len(runs) == 1 else F.col(RUN)
     return rows.select(
         *[
             F.coalesce(f"`{c}`", F.try_element_at(EXTRA, F.lit(c))).alias(c)
@@ -100,7 +102,7 @@ def landed(project: Project, runs: list[str] | None = None) -> DataFrame:
             for c in keep
         ],
         *[F.try_element_at(EXTRA, F.lit(n)).alias(n) for n in added],
-        RUN,
+        run,
     )
 
 
@@ -305,7 +307,7 @@ def publish_typed(project: Project, journal: Journal, **options) -> int:
             if missing:
                 project.write(apply_types(landed(project, missing), profile), project.data, "append", RUN)
             return project.read(project.data).count()
-    project.write(apply_types(landed(project), profile), project.data, "overwrite", RUN)
+    project.write(apply_types(landed(project, sorted(arrived)), profile), project.data, "overwrite", RUN)
     return project.read(project.data).count()
 
 
@@ -383,8 +385,8 @@ def _ingest(
     if has_raw:
         pending = new = materialise(unlanded(project, ids, record_id))
         if done is not None:  # a file that never landed may hold more rows of a landed record
-            pending = pending.union(ids.filter("in_new_file").select(record_id)).distinct()
-    chunked = C.assign_chunks(materialise(pending), record_id, chunk_size, already_distinct=True)
+            pending = materialise(pending.union(ids.filter("in_new_file").select(record_id)).distinct())
+    chunked = C.assign_chunks(pending, record_id, chunk_size, already_distinct=True)
     figures = chunked.agg(F.count("*").alias("ids"), F.max("chunk").alias("chunks")).first()
     if figures["ids"] == 0:
         journal.add(C.INFO, "Record IDs: none to load")
@@ -404,8 +406,7 @@ def _ingest(
     for low in range(1, figures["chunks"] + 1, wave):
         part = chunked if waves is None else waves.filter(F.col("wave") == low // wave).drop("wave")
         try:
-            rows = source.fetch(part, not has_raw, done, new)
-            project.land(rows, run)
+            project.land_from(source, run, part, not has_raw, done, new)
         except Exception as e:  # the other waves still land
             upto = min(low + wave - 1, figures["chunks"])
             journal.add(C.ERROR, f"Chunks {low} to {upto}: lost with their job, {_brief(e)}")

@@ -12,7 +12,7 @@ from formlake.operators.audit import AUDIT_COLUMNS
 from formlake.operators.dictionary import DICTIONARY_COLUMNS
 from formlake.operators.journal import JOURNAL_SCHEMA, in_time_order
 from formlake.sinks.inspect import inspect
-from formlake.sinks.landing import land
+from formlake.sinks.landing import land, land_where_made
 from formlake.sinks.versions import VersionedTable
 
 RUN = "_run"
@@ -119,6 +119,14 @@ class Project:
         else:
             self.write(rows.withColumn(RUN, F.lit(run)), self.raw, "append", RUN)
 
+    def land_from(self, source, run: str, *wanted) -> None:
+        """Append what a source brings for the ``wanted`` chunks; tasks that receive it write it where they can."""
+        if self.lands_whole_chunks and getattr(source, "takes_sink", False):
+            place = self._place(self.raw)
+            land_where_made(lambda sink: source.fetch(*wanted, sink=sink), place, f"{RUN}={run}")
+        else:
+            self.land(source.fetch(*wanted), run)
+
     def replace_partitions(self, df: DataFrame, table: str, partition_by: str) -> None:
         """Write ``df`` over the partitions it has rows for; all others stay."""
         if not self.exists(table):

@@ -9,7 +9,7 @@ repeated tasks have left goes with the staging folder, as does everything when t
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,11 +18,12 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from formlake.sources.export_folder import filesystem
-from formlake.sources.requests import KEY, STATUS
+from formlake.sources.requests import KEY, STATUS, TOLD, Sink
 
 FORMAT = "project_landing"
 STAGING = "_staging"
@@ -49,10 +50,11 @@ class _Files:
         name = f"part-{uuid.uuid4().hex}.parquet"
         return name, pq.ParquetWriter(f"{self.folder}/{name}", schema, filesystem=self.store)
 
-    def add(self, batch: pa.RecordBatch) -> None:
-        if batch.num_rows:
-            self.common = self.common or self.open(batch.schema)
-            self.common[1].write_batch(batch)
+    def add(self, *batches: pa.RecordBatch) -> None:
+        """Batches that are written together, so that they don't become a row group each."""
+        if rows := [batch for batch in batches if batch.num_rows]:
+            self.common = self.common or self.open(rows[0].schema)
+            self.common[1].write_table(pa.Table.from_batches(rows))
 
     def drop(self, name: str) -> None:
         self.store.delete_file(f"{self.folder}/{name}")
@@ -76,22 +78,34 @@ class _Chunk:
         self.size += batch.nbytes
         if self.size > HELD_BYTES:
             self.own = self.own or self.files.open(batch.schema)
-            for part in self.held:
-                self.own[1].write_batch(part)
+            self.own[1].write_table(pa.Table.from_batches(self.held))
             self.held, self.size = [], 0
 
     def end(self, status: pa.RecordBatch) -> None:
         """Keep the rows or drop them; the status row lands in either case."""
         well = status.column(STATUS)[0].as_py() != FAILED
         if self.own:
-            for part in self.held:
-                self.own[1].write_batch(part)
+            if self.held:
+                self.own[1].write_table(pa.Table.from_batches(self.held))
             self.own[1].close()
             self.files.done.append(self.own[0]) if well else self.files.drop(self.own[0])
-        elif well:
-            for part in self.held:
-                self.files.add(part)
-        self.files.add(status)
+            self.files.add(status)
+        else:
+            self.files.add(*(self.held if well else ()), status)
+
+
+def _without_empty_maps(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Empty maps become missing ones again."""
+    cells, schema = list(batch.columns), batch.schema
+    for at, column in enumerate(cells):
+        if pa.types.is_map(column.type):
+            filled = np.diff(column.offsets.to_numpy()) > 0
+            if filled.any():
+                cells[at] = pc.if_else(pa.array(filled), column, pa.scalar(None, column.type))
+            else:
+                cells[at] = pa.nulls(batch.num_rows, column.type)
+            schema = schema.set(at, schema.field(at).with_nullable(True))
+    return pa.RecordBatch.from_arrays(cells, schema=schema)
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[bool, bool, pa.RecordBatch]]:
@@ -118,7 +132,7 @@ class LandingWriter(DataSourceArrowWriter):
         files = _Files(store, stage)
         chunk: _Chunk | None = None
         for batch in iterator:
-            for keyed, status, rows in _runs(batch):
+            for keyed, status, rows in _runs(_without_empty_maps(batch)):
                 if not keyed:
                     files.add(rows)
                 elif status:
@@ -159,11 +173,40 @@ class LandingTable(DataSource):
         return LandingWriter(dict(self.options))
 
 
+def _with_empty_maps(rows: DataFrame) -> DataFrame:
+    """Missing maps as empty ones, on their way to the sink's tasks.
+
+    Spark asks for the size of an Arrow batch after each row, and Arrow then walks over all
+    missing maps at the batch's end: time in the square of its rows.
+    """
+    maps = {f.name: f.dataType for f in rows.schema.fields if isinstance(f.dataType, MapType)}
+    return rows.withColumns({n: F.coalesce(F.col(f"`{n}`"), F.create_map().cast(kind)) for n, kind in maps.items()})
+
+
 def land(rows: DataFrame, path: str, into: str) -> None:
     """Append rows and status rows to a Parquet table, chunks that failed without their rows.
 
     A chunk's rows follow each other in one task, and its status row follows them. Rows
-    without a key land as they are.
+    without a key land as they are. An empty map lands as a missing one.
     """
     rows.sparkSession.dataSource.register(LandingTable)
-    rows.write.format(FORMAT).options(path=path, into=into).mode("append").save()
+    _with_empty_maps(rows).write.format(FORMAT).options(path=path, into=into).mode("append").save()
+
+
+def land_where_made(make: Callable[[Sink], DataFrame], path: str, into: str) -> None:
+    """As ``land``, for rows that Python tasks make: these write them, and they don't pass through the JVM.
+
+    ``make`` is given the sink for a task's batches, and returns the names that the sinks tell.
+    """
+    writer = LandingWriter({"path": path, "into": into})
+
+    def sink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = writer.write(batches).files
+        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string())], names=[TOLD])
+
+    try:
+        told = make(sink).collect()  # a few files of each task, and only of tasks that count
+        writer.commit([Landed([row[0] for row in told])])
+    except BaseException:
+        writer.abort([])
+        raise

@@ -35,7 +35,9 @@ from formlake.sources.requests import (
     KEY,
     ROWS,
     STATUS,
+    Sink,
     chunk_requests,
+    counted_cells,
     day_requests,
     run_requests,
     single_request,
@@ -272,6 +274,7 @@ class RequestSource:
     """
 
     reports_status = True
+    takes_sink = True
 
     def __init__(
         self,
@@ -306,15 +309,18 @@ class RequestSource:
     def dictionary(self) -> DataFrame | None:
         return conform(self._one(DICTIONARY_REQUEST, DICTIONARY_COLUMNS))
 
+    def _id_params(self) -> dict[str, str]:
+        return {**self._options.record_params(scoped=False), "fields": self.record_id}
+
     def record_ids(self) -> DataFrame:
         """IDs as the service lists them: the column of their name, or else the only one."""
-        params = {**self._options.record_params(scoped=False), "fields": self.record_id}
-        answer = self._one(params, [self.record_id], keep=(EXTRA,))
+        answer = self._one(self._id_params(), [self.record_id], keep=(EXTRA,))
         only = F.get(F.map_values(EXTRA), F.lit(0))
         return answer.select(F.coalesce(F.col(self.record_id), only).alias(self.record_id))
 
     def counted_ids(self, done: DataFrame | None = None) -> DataFrame:
-        return self.record_ids().groupBy(self.record_id).agg(F.count("*").alias("n_rows"))
+        """Each of these IDs once with its rows, the missing one too."""
+        return counted_cells(single_request(self._spark, self._id_params()), self._transport, self.record_id)
 
     def audit_log(self, begin: date, end: date) -> DataFrame | None:
         """Entries of each day in the range; a failed day leaves a status row."""
@@ -334,8 +340,9 @@ class RequestSource:
         everything: bool,
         done: DataFrame | None = None,
         unlanded: DataFrame | None = None,
+        sink: Sink | None = None,
     ) -> DataFrame:
-        """Rows and status rows of every chunk.
+        """Rows and status rows of every chunk, or what a ``sink`` tells that takes them where they arrive.
 
         Columns come from the first answer's header; columns that other answers
         bring are kept in a map per row.
@@ -350,6 +357,7 @@ class RequestSource:
             self._transport,
             columns,
             self._parallel,
+            sink=sink,
         )
 
     def faults(self) -> DataFrame | None:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import closing
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,10 @@ KEY, STATUS, ERROR, ROWS, SECONDS, EXTRA = (
     "_key", "_status", "_error", "_rows", "_seconds", "_extra",
 )
 CONTROL = [KEY, STATUS, ERROR, ROWS, SECONDS, EXTRA]
+#: Takes a task's batches and gives batches of one text column, which tell what became of them.
+Sink = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+TOLD = "_told"
+TURN = "_turn"  # consecutive numbers of requests, where they have any
 _ARROW = {
     KEY: pa.string(),
     STATUS: pa.string(),
@@ -62,7 +67,7 @@ def _answer(
     started, rows, error = time.monotonic(), 0, None
     try:
         with closing(transport(params)) as stream:
-            for batch in csv_batches(stream):
+            for batch in csv_batches(stream, ahead=True):
                 n = batch.num_rows
                 rows += n
                 control = [
@@ -93,11 +98,13 @@ def run_requests(
     columns: list[str],
     parallel: int,
     empty_is_error: bool = True,
+    sink: Sink | None = None,
 ) -> DataFrame:
     """Answer a table of requests (``_key``, ``params`` as a map) with their rows.
 
     Rows stream through the task; a failed request leaves a status row, and its
-    partial rows carry its key so that readers can leave them out.
+    partial rows carry its key so that readers can leave them out. With a ``sink`` they
+    go to it in the task that asked, and what it tells is returned in their place.
     """
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,8 +114,50 @@ def run_requests(
                     row[KEY], dict(row["params"]), transport, columns, empty_is_error
                 )
 
-    spread = requests.select(KEY, "params").repartition(parallel)  # evenly, one task each
-    return spread.mapInArrow(answer, fetched_schema(columns))
+    if TURN in requests.columns:  # exactly as many for each task; in a round each partition begins anywhere
+        spread = requests.repartitionById(parallel, F.pmod(F.col(TURN), F.lit(parallel)).cast("int"))
+    else:
+        spread = requests.repartition(parallel)
+    spread = spread.select(KEY, "params")
+    if sink is None:
+        return spread.mapInArrow(answer, fetched_schema(columns))
+    return spread.mapInArrow(lambda batches: sink(answer(batches)), f"{TOLD} string")
+
+
+def _counted(batch: pa.RecordBatch, column: str) -> pa.RecordBatch:
+    """Each cell of a column once with its rows; a cell missing there comes from the first other column."""
+    names = batch.schema.names
+    wanted = [column] * (column in names) + [n for n in names if n != column][:1]
+    values, counts = pc.value_counts(pc.coalesce(*[batch.column(n) for n in wanted])).flatten()
+    return pa.RecordBatch.from_arrays([values, counts, pa.nulls(len(counts), pa.string())], names=[column, ROWS, ERROR])
+
+
+def counted_cells(requests: DataFrame, transport: Transport, column: str) -> DataFrame:
+    """Cells of a column in the answers to a few requests, with their rows; a failure fails the job.
+
+    They are counted as they arrive, so that fewer of them leave the task; then all counts meet.
+    """
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                try:
+                    with closing(transport(dict(row["params"]))) as stream:
+                        for found in csv_batches(stream, ahead=True):
+                            yield _counted(found, column)
+                except Exception as e:
+                    cells = [pa.nulls(1, pa.string()), pa.array([0], pa.int64()), pa.array([f"{type(e).__name__}: {e}"])]
+                    yield pa.RecordBatch.from_arrays(cells, names=[column, ROWS, ERROR])
+
+    schema = T.StructType(
+        [T.StructField(column, T.StringType()), T.StructField(ROWS, T.LongType()), T.StructField(ERROR, T.StringType())]
+    )
+    found = requests.select("params").repartition(1).mapInArrow(answer, schema)
+    failed = F.col(ERROR).isNotNull()
+    found = found.filter(F.when(failed, F.raise_error(F.col(ERROR)).cast("boolean")).otherwise(True))
+    cell = F.col(f"`{column}`")
+    # Without the shuffle one task would group all cells, and hand them on in one partition.
+    return found.repartition(cell).groupBy(cell).agg(F.sum(ROWS).alias("n_rows"))
 
 
 def chunk_requests(chunks: DataFrame, record_id: str, params: dict[str, str]) -> DataFrame:
@@ -123,6 +172,7 @@ def chunk_requests(chunks: DataFrame, record_id: str, params: dict[str, str]) ->
         .agg(ids.alias("_ids"))
         .select(
             F.col("chunk").cast("string").alias(KEY),
+            F.col("chunk").alias(TURN),
             F.map_concat(
                 F.create_map(*fixed), F.create_map(F.lit("records"), F.col("_ids"))
             ).alias("params"),
